@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import leakage, packing, termcount
+from lexmill.llm import leakage, packing, termcount, truncation
 from lexmill.session import table
 
 
@@ -47,6 +47,19 @@ def p8_clean(spark: SparkSession, d: str) -> DataFrame:
     return leakage.remove_leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
 
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.truncated(table(spark, d, "documents")).where("evidence IS NOT NULL").select("doc_id")
+
+
+def p9_rates(spark: SparkSession, d: str) -> DataFrame:
+    cut = F.count("evidence")
+    return (
+        truncation.truncated(table(spark, d, "documents"))
+        .groupBy("source")
+        .agg(F.count("*").alias("n_docs"), cut.alias("n_cut"), F.round(cut / F.count("*"), 6).alias("share"))
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         name: f
