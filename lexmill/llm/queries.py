@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import leakage, packing, termcount, truncation
+from lexmill.llm import encoding, leakage, packing, termcount, truncation
 from lexmill.session import table
 
 
@@ -20,6 +20,20 @@ def p2_frequency(spark: SparkSession, d: str) -> DataFrame:
     return termcount.term_marks(table(spark, d, "words")).withColumnRenamed("term", "word")
 
 
+def _scraped(spark: SparkSession, d: str) -> DataFrame:
+    source = F.coalesce("site", "channel").alias("source")
+    rows = table(spark, d, "baseseg").where("channel IN ('web', 'feed')")
+    return rows.select(F.col("sent_id").alias("row_id"), source, F.col("sentence").alias("text"))
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return encoding.garbled(_scraped(spark, d)).select(F.col("row_id").alias("sent_id"))
+
+
+def p6_restored(spark: SparkSession, d: str) -> DataFrame:
+    return encoding.garbled(_scraped(spark, d)).select(F.col("row_id").alias("sent_id"), "key", "restored", "lost")
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return packing.split_documents(table(spark, d, "documents"))
 
