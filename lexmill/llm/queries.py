@@ -7,10 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import encoding, leakage, packing, termcount, truncation
+from lexmill.llm import encoding, leakage, lookalike, packing, termcount, truncation
 from lexmill.session import table
 
 
+def _looks(spark: SparkSession, d: str) -> DataFrame:
+    sentences = table(spark, d, "baseseg").select(
+        F.lit("baseseg.sentence").alias("field"), F.col("sent_id").alias("row_id"), F.col("sentence").alias("text")
+    )
+    words = table(spark, d, "words").select(
+        F.lit("words.word").alias("field"), F.col("entry_id").alias("row_id"), F.col("word").alias("text")
+    )
+    return sentences.unionAll(words)
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    changed = lookalike.plain_forms(_looks(spark, d), changed_only=True).select("field", "row_id")
+    garbled = encoding.garbled(_scraped(spark, d)).select(F.lit("baseseg.sentence").alias("field"), "row_id").distinct()
+    return changed.join(garbled, ["field", "row_id"], "left_anti")
+
+
+def p1_plain(spark: SparkSession, d: str) -> DataFrame:
+    return lookalike.plain_forms(_looks(spark, d)).select("field", "row_id", "plain")
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     marks = F.array_compact(F.array(F.when(F.col("rare"), F.lit("rare")), F.when(F.col("common"), F.lit("common"))))
     return termcount.term_marks(table(spark, d, "words")).select(F.col("term").alias("word"), F.explode(marks).alias("mark"))
