@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import encoding, leakage, lookalike, packing, termcount, truncation
+from lexmill.llm import boilerplate, encoding, leakage, lookalike, packing, termcount, truncation
 from lexmill.session import table
 
 
@@ -46,6 +46,24 @@ def _scraped(spark: SparkSession, d: str) -> DataFrame:
     return rows.select(F.col("sent_id").alias("row_id"), source, F.col("sentence").alias("text"))
 
 
+def _pages(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of web pages; a garbled one with what could be restored of it."""
+    web = table(spark, d, "baseseg").where("channel = 'web'")
+    rows = web.select(F.col("sent_id").alias("row_id"), "page_id", "site", "line_no", F.col("sentence").alias("text"))
+    restored = encoding.garbled(rows.select("row_id", F.col("site").alias("source"), "text"))
+    restored = restored.where("restored IS NOT NULL").groupBy("row_id").agg(F.max("restored").alias("restored"))
+    return rows.join(restored, "row_id", "left").withColumn("text", F.coalesce("restored", "text")).drop("restored")
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return boilerplate.frame_lines(_pages(spark, d)).where("NOT main").select(F.col("row_id").alias("sent_id"), "seg_no")
+
+
+def p4_main(spark: SparkSession, d: str) -> DataFrame:
+    lines = boilerplate.frame_lines(_pages(spark, d)).where("main")
+    return lines.select("page_id", "line_no", F.col("row_id").alias("sent_id"), "seg_no", F.col("plain").alias("line"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return encoding.garbled(_scraped(spark, d)).select(F.col("row_id").alias("sent_id"))
 
