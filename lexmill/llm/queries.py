@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import boilerplate, encoding, leakage, lookalike, packing, termcount, truncation
+from lexmill.llm import boilerplate, encoding, leakage, lookalike, markup, packing, termcount, truncation
 from lexmill.session import table
 
 
@@ -46,6 +46,18 @@ def _scraped(spark: SparkSession, d: str) -> DataFrame:
     return rows.select(F.col("sent_id").alias("row_id"), source, F.col("sentence").alias("text"))
 
 
+def _sentences(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "baseseg").select(F.col("sent_id").alias("row_id"), F.col("sentence").alias("text"))
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return markup.marked_rows(_sentences(spark, d)).select(F.col("row_id").alias("sent_id"))
+
+
+def p3_clean(spark: SparkSession, d: str) -> DataFrame:
+    return markup.strip_markup(_sentences(spark, d)).withColumnRenamed("row_id", "sent_id")
+
+
 def _pages(spark: SparkSession, d: str) -> DataFrame:
     """Rows of web pages; a garbled one with what could be restored of it."""
     web = table(spark, d, "baseseg").where("channel = 'web'")
