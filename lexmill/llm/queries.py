@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import boilerplate, encoding, leakage, lookalike, markup, packing, termcount, truncation
+from lexmill.llm import boilerplate, encoding, leakage, lookalike, markup, packing, sentences, termcount, truncation
 from lexmill.session import table
 
 
@@ -76,6 +76,22 @@ def p4_main(spark: SparkSession, d: str) -> DataFrame:
     return lines.select("page_id", "line_no", F.col("row_id").alias("sent_id"), "seg_no", F.col("plain").alias("line"))
 
 
+def _prose(spark: SparkSession, d: str) -> DataFrame:
+    prose = table(spark, d, "baseseg").where("channel = 'prose'")
+    return prose.select(F.col("sent_id").alias("row_id"), "lang", F.col("sentence").alias("text"))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return sentences.split_sentences(_prose(spark, d)).select(F.col("row_id").alias("sent_id"), "end_pos")
+
+
+def p5_sentences(spark: SparkSession, d: str) -> DataFrame:
+    prose = _prose(spark, d)
+    found = sentences.split_sentences(prose).join(prose.select("row_id", "text"), "row_id")
+    text = F.trim(F.substring("text", F.col("start_pos").cast("int") + 1, (F.col("end_pos") - F.col("start_pos")).cast("int")))
+    return found.select(F.col("row_id").alias("sent_id"), "end_pos", text.alias("sentence"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return encoding.garbled(_scraped(spark, d)).select(F.col("row_id").alias("sent_id"))
 
