@@ -1,2 +1,466 @@
-def queries(): return {}
-def oracle_sql(): return {}
+"""The queries of the library's operators, each over its whole tables."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lexmill.functions import chars, hits, readings
+from lexmill.operators import corpus, ordering, webreadings, wordfilter, wordstore
+from lexmill.operators import lexicon as lex
+from lexmill.operators.crf import decode, features, train
+from lexmill.operators.crf.model import Model, number_features
+from lexmill.plans import pipelines
+from lexmill.session import table
+from lexmill.sources import sinks, text
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+
+KEEP_ABOVE = 30  # threshold on the frequencies of the word store
+
+
+def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    QUERIES[f.__name__] = f
+    return f
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    from lexmill.oracles import ORACLES
+
+    return dict(ORACLES)
+
+
+def _docs(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", "text")
+
+
+def _lexicon(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "lexicon_freq")
+
+
+def _store(spark: SparkSession, d: str) -> DataFrame:
+    """Total frequency of each stored word."""
+    words = table(spark, d, "words").where("word IS NOT NULL")
+    return words.groupBy("word").agg(F.sum(F.coalesce("freq", F.lit(0))).cast("bigint").alias("freq"))
+
+
+def _rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    return spark.createDataFrame(rows, schema)
+
+
+# Corpus
+
+
+@query
+def ascii_line_drop(spark: SparkSession, d: str) -> DataFrame:
+    return corpus.drop_ascii(corpus.lines(_docs(spark, d))).select(F.col("key").alias("doc_id"), "line_no", "line")
+
+
+@query
+def sentence_split(spark: SparkSession, d: str) -> DataFrame:
+    return corpus.process(_docs(spark, d)).select(F.col("key").alias("doc_id"), "line_no", "sent_no", sinks.spaced(F.col("tokens")).alias("tokens"))
+
+
+@query
+def token_counts(spark: SparkSession, d: str) -> DataFrame:
+    return corpus.process(_docs(spark, d)).select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+
+
+@query
+def sentence_lengths(spark: SparkSession, d: str) -> DataFrame:
+    return corpus.process(_docs(spark, d)).groupBy(F.size("tokens").alias("n_tokens")).agg(F.count("*").alias("n"))
+
+
+@query
+def char_class_profile(spark: SparkSession, d: str) -> DataFrame:
+    ch = F.col("ch")
+    each = corpus.lines(_docs(spark, d)).select(F.explode(F.split("line", "")).alias("ch")).where("ch <> ''").groupBy("ch").agg(F.count("*").alias("n"))
+    return each.groupBy(
+        chars.is_zh(ch).alias("zh"), chars.is_punct(ch).alias("punct"), chars.is_terminator(ch).alias("terminator"), chars.is_zh_number(ch).alias("number")
+    ).agg(F.sum("n").alias("n"))
+
+
+@query
+def segmented_word_files(spark: SparkSession, d: str) -> DataFrame:
+    return corpus.segmented_words(_docs(spark, d)).groupBy("word").agg(F.count("*").alias("n_docs"))
+
+
+@query
+def word_freq(spark: SparkSession, d: str) -> DataFrame:
+    return corpus.ngrams(corpus.process(_docs(spark, d)), 1)
+
+
+@query
+def ngram_counts(spark: SparkSession, d: str) -> DataFrame:
+    sentences = corpus.process(_docs(spark, d))
+    return corpus.ngrams(sentences, 2).withColumn("order", F.lit(2)).unionAll(corpus.ngrams(sentences, 3).withColumn("order", F.lit(3)))
+
+
+# Words
+
+
+@query
+def word_kill_reasons(spark: SparkSession, d: str) -> DataFrame:
+    judged = wordfilter.judge(_store(spark, d).select("word"), _lexicon(spark, d))
+    return judged.groupBy(F.coalesce("killed_by", F.lit("kept")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+@query
+def word_keep(spark: SparkSession, d: str) -> DataFrame:
+    return wordfilter.keep(_store(spark, d).select("word"))
+
+
+@query
+def stopword_affix(spark: SparkSession, d: str) -> DataFrame:
+    return _store(spark, d).where(wordfilter.is_stop_word(F.col("word"))).select("word")
+
+
+@query
+def known_word_anti(spark: SparkSession, d: str) -> DataFrame:
+    return wordfilter.keep(_store(spark, d).select("word"), _lexicon(spark, d))
+
+
+@query
+def known_word_semi(spark: SparkSession, d: str) -> DataFrame:
+    return wordstore.contains(_store(spark, d), _lexicon(spark, d).select("word").distinct())
+
+
+@query
+def new_minus_existing(spark: SparkSession, d: str) -> DataFrame:
+    return lex.new_words(corpus.segmented_words(_docs(spark, d)), _lexicon(spark, d))
+
+
+@query
+def extract_new_words(spark: SparkSession, d: str) -> DataFrame:
+    return pipelines.extract_from_segmented(_docs(spark, d), _lexicon(spark, d), _store(spark, d), KEEP_ABOVE)
+
+
+@query
+def extract_without_engine(spark: SparkSession, d: str) -> DataFrame:
+    return pipelines.extract_from_segmented(_docs(spark, d), _lexicon(spark, d))
+
+
+@query
+def freq_lookup_threshold(spark: SparkSession, d: str) -> DataFrame:
+    return wordfilter.above(_lexicon(spark, d).select("word").distinct(), _store(spark, d), KEEP_ABOVE)
+
+
+@query
+def freq_route_three_way(spark: SparkSession, d: str) -> DataFrame:
+    listed = table(spark, d, "char_readings").select(F.col("ch").alias("word"))
+    routed = wordfilter.route(_lexicon(spark, d).select("word").distinct(), _store(spark, d), KEEP_ABOVE, listed)
+    return routed.withColumn("freq", F.coalesce("freq", F.lit(-1)))
+
+
+@query
+def dict_filter(spark: SparkSession, d: str) -> DataFrame:
+    words = wordfilter.with_frequency(_lexicon(spark, d).select("word").distinct(), _store(spark, d))
+    return words.where((F.length("word") == 1) | (F.col("freq") != 0))
+
+
+PAGES = [
+    ("人间", "baidu", "<p>找到相关结果约1,234,567个</p>"),
+    ("大炮", "baidu", "<p>找到相关结果89个</p> 找到相关结果约5个"),
+    ("无", "baidu", "<p>没有</p>"),
+    ("人间", "google", "获得约 <b>23,400</b> 条结果，以下"),
+    ("无", "google", "获得约 23 条结果"),
+    ("知识", "baidu_dict", "<div>知识</div>"),
+    ("乱", "baidu_dict", "未找到和您的关键词相关的内容"),
+]
+
+
+@query
+def hit_count_parse(spark: SparkSession, d: str) -> DataFrame:
+    pages = _rows(spark, PAGES, "word string, engine string, page string")
+    each = [pages.where(F.col("engine") == e).select("word", "engine", hits.hit_count(F.col("page"), e).alias("freq")) for e in ("baidu", "google", "baidu_dict")]
+    return each[0].unionAll(each[1]).unionAll(each[2])
+
+
+# Word store
+
+
+@query
+def wordstore_upsert(spark: SparkSession, d: str) -> DataFrame:
+    return wordstore.upsert(table(spark, d, "words").where("freq IS NOT NULL").select("word", "freq", F.col("entry_id").alias("seq")))
+
+
+@query
+def wordstore_delete(spark: SparkSession, d: str) -> DataFrame:
+    return wordstore.delete(_store(spark, d), _lexicon(spark, d).select("word").distinct())
+
+
+@query
+def wordstore_get(spark: SparkSession, d: str) -> DataFrame:
+    found = wordstore.get(_store(spark, d), _lexicon(spark, d).select("word").distinct())
+    return found.withColumn("freq", F.coalesce("freq", F.lit(-1)))
+
+
+@query
+def wordstore_resume(spark: SparkSession, d: str) -> DataFrame:
+    rows = _lexicon(spark, d).where("word IS NOT NULL")
+    word = rows.orderBy(F.desc("freq"), "word").first()["word"]
+    return wordstore.resume_after(rows, word).select("line_no", "word")
+
+
+# Lexicon
+
+
+@query
+def lexicon_shrink(spark: SparkSession, d: str) -> DataFrame:
+    return lex.shrink(_lexicon(spark, d)).select("line_no", "word", sinks.lexicon_line(F.col("word"), F.coalesce("readings", F.array().cast("array<string>"))).alias("line"))
+
+
+@query
+def lexicon_counts(spark: SparkSession, d: str) -> DataFrame:
+    kept = (F.length("word") == 1) | (F.coalesce("freq", F.lit(0)) >= 8000)
+    return _lexicon(spark, d).agg(F.count("*").alias("n_in"), F.count_if(kept).alias("n_out"))
+
+
+@query
+def lexicon_plane_filter(spark: SparkSession, d: str) -> DataFrame:
+    extra = _rows(spark, [(900001, "𠀀", 1), (900002, "豈", 1), (900003, "豈更", 1)], "line_no int, word string, freq bigint")
+    return lex.drop_rare_planes(_lexicon(spark, d).select("line_no", "word", "freq").unionAll(extra)).select("line_no", "word")
+
+
+@query
+def lexicon_assign_id(spark: SparkSession, d: str) -> DataFrame:
+    return lex.assign_ids(_lexicon(spark, d)).select("word", "id", sinks.spaced(F.col("readings")).alias("readings"))
+
+
+@query
+def lexicon_head_union(spark: SparkSession, d: str) -> DataFrame:
+    merged = lex.with_head(lex.assign_ids(_lexicon(spark, d)))
+    return merged.select(sinks.numbered_line(F.col("word"), F.col("id"), F.col("readings")).alias("line"))
+
+
+@query
+def lexicon_concat(spark: SparkSession, d: str) -> DataFrame:
+    new = lex.new_words(corpus.segmented_words(_docs(spark, d)), _lexicon(spark, d))
+    return _lexicon(spark, d).select("word").unionByName(new)
+
+
+@query
+def lexicon_lint(spark: SparkSession, d: str) -> DataFrame:
+    single = table(spark, d, "char_readings").select(F.col("ch").alias("word"), "readings")
+    return lex.lint(_lexicon(spark, d).select("word", "readings").unionByName(single))
+
+
+@query
+def word_to_pinyin(spark: SparkSession, d: str) -> DataFrame:
+    return lex.with_readings(_store(spark, d).select("word"), table(spark, d, "char_readings"))
+
+
+@query
+def dictionary_build(spark: SparkSession, d: str) -> DataFrame:
+    built = pipelines.build_dictionary(_lexicon(spark, d), corpus.segmented_words(_docs(spark, d)), table(spark, d, "char_readings"), _store(spark, d))
+    return built.select("word", "id", sinks.spaced(F.col("readings")).alias("readings"))
+
+
+# Readings
+
+CEDICT = [
+    (0, "# comment"),
+    (1, "一分為二 一分为二 [yi1 fen1 wei2 er4] /x/"),
+    (2, "愛 爱 [Ai4] /love/"),
+    (3, "A A [A] /letter/"),
+    (4, "綠 绿 [lu:4] /green/"),
+    (5, "bad line"),
+]
+PINYIN = ["lüe4", "lu:e", "lu:", "lu:4", "zhong1", "a1:-3", "lüe4:2", "nü3", "ma0", "ma", "lu:e4:9", "5:3"]
+UNIHAN = [
+    (0, "U+4E2D", "kMandarin", "zhōng"),
+    (1, "U+4E2D", "kHanyuPinlu", "zhong1(5000) zhong4(20)"),
+    (2, "U+884C", "kXHC1983", "0448.020:háng 1290.030:xíng"),
+    (3, "U+884C", "kHanyuPinyin", "20811.010:xíng,háng,xìng"),
+    (4, "U+5973", "kMandarin", "nǚ"),
+    (5, "U+3400", "kMandarin", "qiū"),
+    (6, "U+20000", "kMandarin", "hē"),
+    (7, "U+5440", "kHanyuPinyin", "10000.010:yā,m̀"),
+    (8, "U+4E2D", "kTotalStrokes", "4"),
+    (9, "U+7565", "kHanyuPinlu", "lüe4(12)"),
+    (10, "U+5C71", "kMandarin", "shān"),
+]
+ZHUYIN = ["iā", "lüè", "de", "nǚ", "hànhàn", "gūniū", "bàba", "zhuàng", "ān", "ér", "lóng", "jiǎo", "shuǐ", "an", "qīng", "x"]
+
+
+@query
+def cedict_parse(spark: SparkSession, d: str) -> DataFrame:
+    return text.as_cedict(_rows(spark, CEDICT, "line_no int, line string"))
+
+
+@query
+def pinyin_normalize(spark: SparkSession, d: str) -> DataFrame:
+    rows = _rows(spark, [(p,) for p in PINYIN], "py string")
+    return rows.select("py", readings.normalize_py(F.col("py")).alias("normal"))
+
+
+@query
+def zhuyin_normalize(spark: SparkSession, d: str) -> DataFrame:
+    rows = _rows(spark, [(p,) for p in ZHUYIN], "py string")
+    return rows.select("py", readings.normalize_word_zhuyin(F.col("py")).alias("normal"))
+
+
+@query
+def unihan_priority(spark: SparkSession, d: str) -> DataFrame:
+    rows = lex.unihan_priority(_rows(spark, UNIHAN, "line_no int, cp string, prop string, value string"))
+    return rows.select("ch", "prop", sinks.spaced(F.col("readings")).alias("readings"))
+
+
+@query
+def unihan_merge(spark: SparkSession, d: str) -> DataFrame:
+    unihan = lex.unihan_priority(_rows(spark, UNIHAN, "line_no int, cp string, prop string, value string"))
+    merged = lex.unihan_merge(_lexicon(spark, d).where("word IS NOT NULL"), unihan)
+    return merged.select(F.coalesce("line_no", F.lit(0)).alias("line_no"), "word", sinks.spaced(F.coalesce("readings", F.array().cast("array<string>"))).alias("readings"))
+
+
+@query
+def reading_sort(spark: SparkSession, d: str) -> DataFrame:
+    return _lexicon(spark, d).where("readings IS NOT NULL").select("line_no", sinks.spaced(readings.sort_readings(F.col("readings"))).alias("readings"))
+
+
+DICTIONARY_PAGES = [
+    ("行", '<div class="tab-page"><span class="dicpy">háng</span><b>x</b><span class="dicpy">xíng</span></div><span class="dicpy">no</span>'),
+    ("中", '<div class="tab-page"><hr class="dichr"><span class="dicpy">zhōng</span></div>'),
+    ("山", "<p>nothing</p>"),
+]
+
+
+@query
+def html_reading_extract(spark: SparkSession, d: str) -> DataFrame:
+    pages = webreadings.page_readings(_rows(spark, DICTIONARY_PAGES, "word string, html string"))
+    return pages.select("word", sinks.spaced(F.col("readings")).alias("readings"))
+
+
+@query
+def reading_validate(spark: SparkSession, d: str) -> DataFrame:
+    words = lex.with_readings(_store(spark, d).select("word"), table(spark, d, "char_readings")).where("reading IS NOT NULL")
+    scraped = _lexicon(spark, d).where("word IS NOT NULL AND readings IS NOT NULL").groupBy("word").agg(F.min(F.element_at("readings", 1)).alias("scraped"))
+    return webreadings.validated(words, scraped)
+
+
+# Orders
+
+
+def _strokes(spark: SparkSession, d: str) -> DataFrame:
+    """Stand-in for a stroke table: a number by the code point."""
+    return table(spark, d, "char_readings").select("ch", (F.ascii("ch") % 23 + 1).alias("strokes"))
+
+
+@query
+def stroke_sort_rank(spark: SparkSession, d: str) -> DataFrame:
+    pairs = _strokes(spark, d).collect()
+    strokes = F.create_map(*[F.lit(x) for r in pairs for x in (r["ch"], r["strokes"])])
+    keyed = _lexicon(spark, d).where("word IS NOT NULL").select("line_no", "word", ordering.stroke_key(F.col("word"), strokes).alias("key")).where("key IS NOT NULL")
+    return lex.numbered(keyed, ["key", "line_no"], 1, "rank").select("line_no", "word", "rank")
+
+
+@query
+def collation_sort_rank(spark: SparkSession, d: str) -> DataFrame:
+    keyed = _lexicon(spark, d).where("word IS NOT NULL").select("line_no", "word", *ordering.collation_keys(F.col("word")))
+    return lex.numbered(keyed, ["n_chars", "collated", "word", "line_no"], 1, "rank").select("line_no", "word", "rank")
+
+
+ARPA = [
+    (0, "\\data\\"), (1, "ngram 1=3"), (2, ""), (3, "\\1-grams:"), (4, "-1.5 乙 -0.3"), (5, "-1.2 甲 -0.1"), (6, "-2.5 丙"), (7, ""), (8, "\\2-grams:"),
+    (9, "-0.4 丙 甲"), (10, "-0.2 甲 丙"), (11, "-0.7 乙 甲"), (12, "\\end\\"),
+]
+RANKS = ["甲", "乙", "丙", "-0.4"]
+
+
+@query
+def arpa_rank_sort(spark: SparkSession, d: str) -> DataFrame:
+    from pyspark.sql import Window
+
+    rows = ordering.arpa_sections(_rows(spark, ARPA, "line_no int, line string"))
+    ranks = F.create_map(*[F.lit(x) for k, w in enumerate(RANKS) for x in (w, k)])
+    order = Window.partitionBy("section").orderBy(F.desc("is_header"), ordering.arpa_key(F.col("line"), ranks), "line_no")
+    return rows.select("line_no", "line", F.coalesce("section", F.lit(0)).cast("bigint").alias("section"), F.row_number().over(order).cast("bigint").alias("place"))
+
+
+# Conditional random fields
+
+
+@query
+def crf_features(spark: SparkSession, d: str) -> DataFrame:
+    found = features.positions(features.gold(_docs(spark, d)))
+    return found.select(F.col("key").alias("doc_id"), "line_no", "i", F.array_join("features", " ").alias("features"))
+
+
+@query
+def crf_feature_counts(spark: SparkSession, d: str) -> DataFrame:
+    return features.feature_counts(features.gold(_docs(spark, d)), least=2)
+
+
+@query
+def crf_tagset(spark: SparkSession, d: str) -> DataFrame:
+    return features.tag_set(features.gold(_docs(spark, d)))
+
+
+TAGS = ["B", "E", "M", "S"]
+
+
+def literal_model() -> Model:
+    """A small model of fixed weights: stop affixes stand alone, the rest pairs up."""
+    templates = [features.Template(t) for t in ("U02:%x[0,0]", "B")]
+    feats = [f"U02:{c}" for c in "的了在是一不，。！？、"] + ["B"]
+    ids, size = number_features(feats, len(TAGS))
+    w = np.zeros(size)
+    for f, k in ids.items():
+        if f != "B":
+            w[k : k + 4] = [-1.0, -1.0, -2.0, 2.0]
+        else:
+            w[k : k + 16] = [-4.0, 1.0, 0.25, -4.0, 0.5, -4.0, -4.0, 0.25, -4.0, 0.5, -0.5, -4.0, 0.5, -4.0, -4.0, 0.125]
+    return Model(TAGS, templates, ids, w)
+
+
+@query
+def crf_viterbi(spark: SparkSession, d: str) -> DataFrame:
+    tagged = decode.tag(corpus.process(_docs(spark, d)), literal_model())
+    return tagged.select(F.col("key").alias("doc_id"), "line_no", "sent_no", F.array_join("tags", "").alias("tags"), F.round("score", 6).alias("score"))
+
+
+@query
+def segment_words(spark: SparkSession, d: str) -> DataFrame:
+    tagged = decode.tag(corpus.process(_docs(spark, d)), literal_model())
+    return tagged.select(F.col("key").alias("doc_id"), "line_no", "sent_no", sinks.slashed(F.col("words")).alias("words"))
+
+
+@query
+def crf_marginals(spark: SparkSession, d: str) -> DataFrame:
+    probs = decode.tag_marginals(corpus.process(_docs(spark, d)), literal_model())
+    return probs.groupBy("token", "tag").agg(F.round(F.sum("prob"), 3).alias("expected"), F.count("*").alias("n"))
+
+
+@query
+def crf_nbest(spark: SparkSession, d: str) -> DataFrame:
+    best = decode.tag(corpus.process(_docs(spark, d)), literal_model(), nbest=3)
+    return best.select(F.col("key").alias("doc_id"), "line_no", "sent_no", "rank", F.array_join("tags", "").alias("tags"), F.round("prob", 6).alias("prob"))
+
+
+def _trained(spark: SparkSession, d: str, algorithm: str, rounds: int) -> DataFrame:
+    sentences = features.gold(_docs(spark, d)).select("tokens", "tags")
+    _, course = train.train(sentences, algorithm, least=2, rounds=rounds)
+    rows = [(c["iteration"], float(c["objective"]), float(c["token_error"]), float(c["sentence_error"])) for c in course]
+    return spark.createDataFrame(rows, "iteration int, objective double, token_error double, sentence_error double")
+
+
+@query
+def crf_train_l2(spark: SparkSession, d: str) -> DataFrame:
+    return _trained(spark, d, "crf-l2", 4)
+
+
+@query
+def crf_train_l1(spark: SparkSession, d: str) -> DataFrame:
+    return _trained(spark, d, "crf-l1", 4)
+
+
+@query
+def crf_train_mira(spark: SparkSession, d: str) -> DataFrame:
+    return _trained(spark, d, "mira", 3)
