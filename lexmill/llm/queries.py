@@ -72,8 +72,11 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_main(spark: SparkSession, d: str) -> DataFrame:
-    lines = boilerplate.frame_lines(_pages(spark, d)).where("main")
-    return lines.select("page_id", "line_no", F.col("row_id").alias("sent_id"), "seg_no", F.col("plain").alias("line"))
+    pages = _pages(spark, d)
+    main = boilerplate.frame_lines(pages).where("main")
+    text = F.element_at(F.split("text", "\n"), F.col("seg_no").cast("int"))
+    joined = main.join(pages.select("row_id", "text"), "row_id")
+    return joined.select("page_id", "line_no", F.col("row_id").alias("sent_id"), "seg_no", text.alias("line"))
 
 
 def _prose(spark: SparkSession, d: str) -> DataFrame:
