@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ class Template:
     def is_unigram(self) -> bool:
         return self.text[0] == "U"
 
-    @property
+    @cached_property
     def pieces(self) -> list[str | tuple[int, int]]:
         out: list[str | tuple[int, int]] = []
         done = 0
@@ -49,12 +50,10 @@ def read_templates(text: str) -> list[Template]:
 def cell(tokens: list, i: int, row: int, column: int = 0) -> str:
     """The cell at ``row`` from position ``i``; beyond the sentence, a name that counts the distance."""
     k = i + row
-    if k < 0:
-        return f"_B{k}"
-    if k >= len(tokens):
-        return f"_B+{k - len(tokens) + 1}"
-    token = tokens[k]
-    return token if isinstance(token, str) else token[column]
+    if 0 <= k < len(tokens):
+        token = tokens[k]
+        return token if isinstance(token, str) else token[column]
+    return f"_B{k}" if k < 0 else f"_B+{k - len(tokens) + 1}"
 
 
 def expand(tokens: list, i: int, templates: list[Template]) -> list[str]:

@@ -43,14 +43,14 @@ def sentence_gradient(w: np.ndarray, uni, bi, gold: np.ndarray, y: int, grad: np
     alpha, beta, z = forward_backward(emit, move)
     node = np.exp(alpha + beta - z)
     node[np.arange(len(gold)), gold] -= 1
-    at, square = np.arange(y), np.arange(y * y)
     for i in range(len(gold)):
-        if uni[i]:
-            np.add.at(grad, np.add.outer(np.array(uni[i]), at), node[i])
+        for u in uni[i]:
+            grad[u : u + y] += node[i]
         if i and bi[i]:
             edge = np.exp(alpha[i - 1][:, None] + move[i] + (emit[i] + beta[i])[None, :] - z)
             edge[gold[i - 1], gold[i]] -= 1
-            np.add.at(grad, np.add.outer(np.array(bi[i]), square), edge.ravel())
+            for b in bi[i]:
+                grad[b : b + y * y] += edge.ravel()
     path = viterbi(emit, move)[0]
     return z - path_score(emit, move, gold), int((path != gold).sum())
 

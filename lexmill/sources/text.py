@@ -11,10 +11,8 @@ def read_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataF
 
     Files are read whole, one row each, so that a line keeps its number.
     """
-    reader = spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    files = reader.text(path).select(F.input_file_name().alias("file"), F.regexp_replace("value", r"\r?\n\z", "").alias("text"))
+    read = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob)
+    files = read.select(F.input_file_name().alias("file"), F.regexp_replace("value", r"\r?\n\z", "").alias("text"))
     return files.select("file", F.posexplode(F.split("text", r"\r?\n")).alias("line_no", "line"))
 
 
