@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from lexmill.operators.crf.model import Model
+from lexmill.session import map_keyed
 
 _TAGGED = "key long, line_no int, sent_no int, tokens array<string>, tags array<string>, words array<string>, score double, prob double, rank int"
 
@@ -108,7 +109,7 @@ def tag(sentences: DataFrame, model: Model, nbest: int = 1, drop_last: bool = Tr
     ``sentences`` has ``key, line_no, sent_no, tokens``. An empty sentence gives no row.
     """
     rows = sentences.select("key", "line_no", "sent_no", "tokens")
-    return rows.mapInPandas(_tagger(model, nbest, drop_last, marginals), _TAGGED)
+    return map_keyed(rows, _tagger(model, nbest, drop_last, marginals), _TAGGED, "key")
 
 
 def _marginals(model: Model):
@@ -130,4 +131,4 @@ def _marginals(model: Model):
 def tag_marginals(sentences: DataFrame, model: Model) -> DataFrame:
     """``(key, line_no, sent_no, i, token, tag, prob)`` of every position and tag."""
     schema = "key long, line_no int, sent_no int, i int, token string, tag string, prob double"
-    return sentences.select("key", "line_no", "sent_no", "tokens").mapInPandas(_marginals(model), schema)
+    return map_keyed(sentences.select("key", "line_no", "sent_no", "tokens"), _marginals(model), schema, "key")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions.readings import codepoint_to_chr, first_readings, normalize_pys, unihan_readings
-from lexmill.session import shuffle_partitions
+from lexmill.session import shuffle_partitions, write_table
 
 # Entries at the head of a numbered dictionary.
 HEAD = {
@@ -36,7 +36,7 @@ def numbered(rows: DataFrame, order: list[str], start: int, name: str = "id") ->
     """
     n = shuffle_partitions(rows.sparkSession)
     ranged = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_mid", F.monotonically_increasing_id())
-    ranged = ranged.persist()
+    ranged = write_table(ranged)  # so that sizes and numbers come from the same ranges
     part = F.shiftright("_mid", 33)
     sizes = {r["p"]: r["n"] for r in ranged.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect()}
     total, starts = start, []

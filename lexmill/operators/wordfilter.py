@@ -39,8 +39,8 @@ def judge(words: DataFrame, known: DataFrame | None = None) -> DataFrame:
 
 
 def keep(words: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """The words that no filter kills; known words are taken out by an anti join."""
-    kept = words.where(killed_by(F.col("word")).isNull())
+    """The words that no filter kills; known words are taken out by an anti join. A null is no word."""
+    kept = words.where(F.col("word").isNotNull() & killed_by(F.col("word")).isNull())
     return kept.join(known.select("word").distinct(), "word", "left_anti") if known is not None else kept
 
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,3 +41,20 @@ def write_table(df: DataFrame) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def map_keyed(df: DataFrame, func: Callable, schema: str, *keys: str) -> DataFrame:
+    """``mapInPandas`` that carries the columns ``keys`` as strings and gives them back as they were.
+
+    Numbers with nulls among them would turn into floating point on the way.
+    """
+
+    def filled(batches: Iterator) -> Iterator:
+        for out in func(batches):
+            if len(out):  # an empty frame has no types
+                yield out
+
+    kinds = dict(df.dtypes)
+    carried = ", ".join(f"{c.split()[0]} string" if c.split()[0] in keys else c for c in schema.split(", "))
+    out = df.withColumns({k: F.col(k).cast("string") for k in keys}).mapInPandas(filled, carried)
+    return out.withColumns({k: F.col(k).cast(kinds[k]) for k in keys})
