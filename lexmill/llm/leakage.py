@@ -19,6 +19,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.session import map_keyed
+
 RUN = 50
 BLOCK_CHARS = 2_000_000
 
@@ -103,7 +105,7 @@ def leaked_runs(docs: DataFrame, items: DataFrame, run: int = RUN) -> DataFrame:
     docs = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
     found = None
     for block in _blocks(items, run):
-        part = docs.mapInPandas(_scanner(block, run), _SPANS)
+        part = map_keyed(docs, _scanner(block, run), _SPANS, "doc_id")
         found = part if found is None else found.unionAll(part)
     if found is None:
         return docs.sparkSession.createDataFrame([], _SPANS)
@@ -150,5 +152,5 @@ def remove_leaks(docs: DataFrame, items: DataFrame, run: int = RUN) -> DataFrame
     """``(doc_id, text)`` with every shared run cut out; null texts stay null."""
     out = docs.select("doc_id", "text")
     for block in _blocks(items, run):
-        out = out.mapInPandas(_cutter(block, run), "doc_id long, text string")
+        out = map_keyed(out, _cutter(block, run), "doc_id long, text string", "doc_id")
     return out

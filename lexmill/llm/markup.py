@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm.trees import BoostedTrees
+from lexmill.session import map_keyed
 
 TRAINING_TEXTS = 3000  # size of the labelled sample, made by ``labelled_texts``
 SEED = 20
@@ -385,12 +386,12 @@ def strip_markup(rows: DataFrame, clean: bool = True) -> DataFrame:
     """
     odd = F.coalesce(F.col("text").rlike(CANDIDATE), F.lit(False))
     rows = rows.select("row_id", "text")
-    done = rows.where(odd).mapInPandas(_run(model(), clean), "row_id long, marked boolean, clean string")
+    done = map_keyed(rows.where(odd), _run(model(), clean), "row_id long, marked boolean, clean string", "row_id")
     return done.unionAll(rows.where(~odd).select("row_id", F.lit(False).alias("marked"), F.col("text").alias("clean")))
 
 
 def marked_rows(rows: DataFrame) -> DataFrame:
     """``row_id`` of every row whose text holds markup."""
     odd = F.coalesce(F.col("text").rlike(CANDIDATE), F.lit(False))
-    done = rows.select("row_id", "text").where(odd).mapInPandas(_run(model(), False), "row_id long, marked boolean, clean string")
+    done = map_keyed(rows.select("row_id", "text").where(odd), _run(model(), False), "row_id long, marked boolean, clean string", "row_id")
     return done.where("marked").select("row_id")

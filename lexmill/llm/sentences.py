@@ -20,6 +20,8 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexmill.session import map_keyed
+
 LEAST_SHARE = 2e-5  # types rarer than this share of a language's tokens are not listed
 ABBREVIATION = 0.3
 STARTER = 30.0
@@ -332,4 +334,4 @@ def split_sentences(rows: DataFrame) -> DataFrame:
     leaves the language to the script.
     """
     rows = rows.where(F.col("text").isNotNull()).select("row_id", language(F.col("lang"), F.col("text")).alias("lang"), "text")
-    return rows.mapInPandas(_split(learn(rows)), "row_id long, start_pos long, end_pos long")
+    return map_keyed(rows, _split(learn(rows)), "row_id long, start_pos long, end_pos long", "row_id")

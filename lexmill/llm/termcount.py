@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.session import shuffle_partitions
+from lexmill.session import shuffle_partitions, write_table
 
 BLOCK = 4096
 
@@ -30,10 +30,10 @@ _TOTAL = "term_id long, total_freq long, n_records long, n_entries long"
 def global_dictionary(terms: DataFrame, col: str = "term") -> DataFrame:
     """``(term, term_id)``: the distinct non-null terms numbered from 0 without gaps.
 
-    Identifiers run on through the hash partitions of the terms, in order
-    within each. Both depend on the terms alone, so a partition computed again
-    after a lost executor gets the same identifiers. Only the partitions' sizes
-    (one number each) visit the driver.
+    Identifiers run on through the hash partitions of the terms, in order within
+    each. The places are written once, so that every use sees the same ones
+    whatever is computed again. Only the partitions' sizes (one number each)
+    visit the driver.
     """
     n = shuffle_partitions(terms.sparkSession)
     placed = (
@@ -44,11 +44,12 @@ def global_dictionary(terms: DataFrame, col: str = "term") -> DataFrame:
         .sortWithinPartitions("term")
         .withColumn("mid", F.monotonically_increasing_id())
     )
+    placed = write_table(placed)
     part = F.shiftright("mid", 33)
     sizes = placed.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect()
     offset, starts = 0, []
     by_part = {r["p"]: r["n"] for r in sizes}
-    for p in range(n):
+    for p in range(max(by_part, default=0) + 1):
         starts.append(offset)
         offset += by_part.get(p, 0)
     first = F.element_at(F.array(*[F.lit(s).cast("long") for s in starts]), (part + 1).cast("int"))
