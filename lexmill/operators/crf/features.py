@@ -86,22 +86,24 @@ def gold(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
 
 def positions(sentences: DataFrame) -> DataFrame:
-    """``(key, line_no, i, f0..)`` unigram features of every position, by expressions alone."""
+    """``(key, line_no, i, features)`` of every position, by expressions alone.
+
+    The features are made within the sentence's row, so its tokens are not
+    repeated for every position.
+    """
     n = F.size("tokens")
 
-    def at(k: int) -> Column:
-        place = F.col("i") + F.lit(k)
+    def at(i: Column, k: int) -> Column:
+        place = i + F.lit(k)
         before, after = F.concat(F.lit("_B"), place.cast("string")), F.concat(F.lit("_B+"), (place - n + 1).cast("string"))
         return F.when(place < 0, before).when(place >= n, after).otherwise(F.try_element_at("tokens", place + 1))
 
-    rows = sentences.select("key", "line_no", "tokens", F.explode(F.sequence(F.lit(0), n - 1)).alias("i"))
-    feats = []
-    for t in TEMPLATES[:-1]:
-        pieces = [F.lit(p) if isinstance(p, str) else at(p[0]) for p in Template(t).pieces]
-        feats.append(F.concat(*pieces))
-    feats_all = F.array(*feats)
-    with_bigram = F.when(F.col("i") > 0, F.concat(feats_all, F.array(F.lit("B")))).otherwise(feats_all)
-    return rows.select("key", "line_no", "i", with_bigram.alias("features"))
+    def expanded(i: Column) -> Column:
+        found = F.array(*[F.concat(*[F.lit(p) if isinstance(p, str) else at(i, p[0]) for p in Template(t).pieces]) for t in TEMPLATES[:-1]])
+        return F.when(i > 0, F.concat(found, F.array(F.lit("B")))).otherwise(found)
+
+    rows = sentences.where(n > 0).select("key", "line_no", F.transform(F.sequence(F.lit(0), n - 1), expanded).alias("f"), "tokens")
+    return rows.select("key", "line_no", F.posexplode("f").alias("i", "features"))
 
 
 def feature_counts(sentences: DataFrame, least: int = 1) -> DataFrame:

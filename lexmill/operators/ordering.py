@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -18,13 +18,15 @@ def collation_keys(word: Column) -> list[Column]:
 
 
 def arpa_sections(rows: DataFrame) -> DataFrame:
-    """``(line_no, line, section, is_header)``; a section starts at a line with a backslash.
+    """``(line_no, line, is_header, section)``; a section starts at a line with a backslash.
 
-    The lines of one file are one sequence; a file is partitioned by ``file`` where there are several.
+    A file has one such line per order and a few more, so their numbers are
+    collected and no task has to run through the lines one after another.
     """
     header = F.startswith("line", F.lit("\\"))
-    run = Window.partitionBy(*(["file"] if "file" in rows.columns else [F.lit(0)])).orderBy("line_no")
-    return rows.withColumn("is_header", header).withColumn("section", F.sum(header.cast("int")).over(run))
+    starts = [r["line_no"] for r in rows.where(header).select("line_no").collect()]
+    passed = F.filter(F.array(*[F.lit(s) for s in starts]), lambda s: s <= F.col("line_no")) if starts else F.array()
+    return rows.select("line_no", "line", header.alias("is_header"), F.size(passed).alias("section"))
 
 
 def arpa_key(line: Column, ranks: Column) -> Column:

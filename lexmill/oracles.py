@@ -8,7 +8,7 @@ from lexmill.operators import lexicon as lex
 from lexmill.operators.corpus import _OTHER, _OTHER_OR_END, SENTENCE
 from lexmill.operators.crf.features import TEMPLATES, Template
 from lexmill.operators.wordfilter import PREFIXES, SUFFIXES
-from lexmill.queries import ARPA, CEDICT, DICTIONARY_PAGES, KEEP_ABOVE, PAGES, PINYIN, RANKS, UNIHAN, ZHUYIN
+from lexmill.queries import ARPA, CEDICT, DICTIONARY_PAGES, KEEP_ABOVE, PAGES, PINYIN, RANKS, TAGS, UNIHAN, ZHUYIN
 
 
 def _s(value: object) -> str:
@@ -124,6 +124,29 @@ _FEATURED = _GOLD + f", featured AS (SELECT doc_id, line_no, i, [{_FEATURES}] ||
 _FINALS = "CASE " + " ".join(f"WHEN suffix(py, {_s(k)}) THEN replace(py, {_s(k)}, {_s(v)})" for k, v in finals()) + " ELSE py END"
 
 
+_MOVES = [[-4.0, 1.0, 0.25, -4.0], [0.5, -4.0, -4.0, 0.25], [-4.0, 0.5, -0.5, -4.0], [0.5, -4.0, -4.0, 0.125]]
+
+
+def _paths() -> str:
+    """CTE ``paths(doc_id, line_no, sent_no, tokens, i, s, p)``: per last tag the best score and its path."""
+    special = _set("的了在是一不，。！？、")
+    emit = [f"CASE WHEN tokens[%s] IN {special} THEN {w} ELSE 0.0 END" for w in (-1.0, -1.0, -2.0, 2.0)]
+    scores, ways = [], []
+    for t, tag in enumerate(TAGS):
+        a = [f"(s[{u + 1}] + {_MOVES[u][t]})" for u in range(4)]
+        scores.append(f"greatest({', '.join(a)}) + {emit[t] % 'i + 1'}")
+        pick = " ".join(f"WHEN {a[u]} = greatest({', '.join(a)}) THEN p[{u + 1}]" for u in range(4))
+        ways.append(f"CASE {pick} END || '{tag}'")
+    first = ", ".join(f"CAST({e % 1} AS DOUBLE)" for e in emit)
+    return f"""paths AS (
+  SELECT doc_id, line_no, sent_no, tokens, 1 AS i, [{first}] AS s, ['B', 'E', 'M', 'S'] AS p FROM tokens WHERE len(tokens) > 0
+  UNION ALL
+  SELECT doc_id, line_no, sent_no, tokens, i + 1, [{', '.join(f'CAST({x} AS DOUBLE)' for x in scores)}], [{', '.join(ways)}] FROM paths WHERE i < len(tokens)),
+best AS (
+  SELECT doc_id, line_no, sent_no, tokens, greatest(s[1], s[2], s[3], s[4]) AS score, p[list_position(s, greatest(s[1], s[2], s[3], s[4]))] AS tags
+  FROM paths WHERE i = len(tokens))"""
+
+
 def _grams(n: int) -> str:
     return (
         f"SELECT array_to_string(tokens[i:i + {n - 1}], ' ') AS gram, count(*) AS n, {n} AS \"order\" "
@@ -217,10 +240,19 @@ ORACLES = {
       sections AS (SELECT *, starts_with(line, chr(92)) AS is_header, sum(CASE WHEN starts_with(line, chr(92)) THEN 1 ELSE 0 END) OVER (ORDER BY line_no) AS section FROM arpa),
       fields AS (SELECT line_no, i, len(string_split(line, ' ')) AS n, string_split(line, ' ')[i] AS f FROM arpa, unnest(range(1, len(string_split(line, ' ')) + 1)) AS t(i)),
       keys AS (SELECT line_no, list(CASE WHEN i = n THEN -1 ELSE coalesce(rank, -1) END ORDER BY i) AS key FROM fields LEFT JOIN ranks ON f = word GROUP BY line_no)
-      SELECT line_no, line, CAST(section AS BIGINT) AS section, row_number() OVER (PARTITION BY section ORDER BY is_header DESC, key, line_no) AS place
+      SELECT line_no, line, CAST(section AS INTEGER) AS section, row_number() OVER (ORDER BY section, is_header DESC, key, line_no) AS place
       FROM sections JOIN keys USING (line_no)""",
     "crf_features": f"WITH {_FEATURED} SELECT doc_id, line_no, i, array_to_string(fs, ' ') AS features FROM featured",
     "crf_feature_counts": f"WITH {_FEATURED} SELECT feature, count(*) AS n FROM (SELECT unnest(fs) AS feature FROM featured) GROUP BY feature HAVING count(*) >= 2",
     "crf_tagset": f"""WITH {_GOLD}, used AS (SELECT DISTINCT unnest(tags) AS tag FROM letters)
       SELECT tag, CAST(row_number() OVER (ORDER BY tag) - 1 AS INTEGER) AS tag_id FROM used""",
+    "crf_viterbi": f"WITH RECURSIVE {_TOKENS}, {_paths()} SELECT doc_id, line_no, sent_no, tags, round(score, 6) AS score FROM best",
+    "segment_words": f"""WITH RECURSIVE {_TOKENS}, {_paths()} SELECT doc_id, line_no, sent_no,
+      coalesce(array_to_string(list_transform(range(1, len(tokens)), lambda k: CASE WHEN k > 1 AND tags[k] IN ('B', 'S') THEN '/' ELSE '' END || tokens[k]), ''), '') AS words
+      FROM best""",
+    "dictionary_build": f"""WITH {_SEGMENTED}, fresh AS (SELECT word FROM segmented EXCEPT SELECT word FROM lexicon_freq), {_reading('fresh')}, {_HEAD},
+      body AS (SELECT word, readings, line_no AS k FROM lexicon_freq UNION ALL SELECT word, [reading], NULL FROM read WHERE reading IS NOT NULL)
+      SELECT word, row_number() OVER (ORDER BY k NULLS LAST, word) + {lex.FIRST_ID - 1} AS id,
+        coalesce(array_to_string(list_transform(readings, lambda r: array_to_string(list_transform(string_split(r, ''''), lambda p: {_normal('p')}), '''')), ' '), '') AS readings
+      FROM body UNION ALL SELECT word, id, '' FROM head""",
 }

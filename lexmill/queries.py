@@ -376,12 +376,10 @@ RANKS = ["甲", "乙", "丙", "-0.4"]
 
 @query
 def arpa_rank_sort(spark: SparkSession, d: str) -> DataFrame:
-    from pyspark.sql import Window
-
-    rows = ordering.arpa_sections(_rows(spark, ARPA, "line_no int, line string"))
     ranks = F.create_map(*[F.lit(x) for k, w in enumerate(RANKS) for x in (w, k)])
-    order = Window.partitionBy("section").orderBy(F.desc("is_header"), ordering.arpa_key(F.col("line"), ranks), "line_no")
-    return rows.select("line_no", "line", F.coalesce("section", F.lit(0)).cast("bigint").alias("section"), F.row_number().over(order).cast("bigint").alias("place"))
+    rows = ordering.arpa_sections(_rows(spark, ARPA, "line_no int, line string"))
+    keyed = rows.select("line_no", "line", "section", (~F.col("is_header")).alias("body"), ordering.arpa_key(F.col("line"), ranks).alias("key"))
+    return lex.numbered(keyed, ["section", "body", "key", "line_no"], 1, "place").select("line_no", "line", "section", "place")
 
 
 # Conditional random fields

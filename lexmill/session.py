@@ -43,6 +43,17 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over as many partitions as there are cores, if a plain scan has fewer than half of that.
+
+    A small table in one file would otherwise keep a single core busy with Python.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString() or df.rdd.getNumPartitions() * 2 > cores:
+        return df
+    return df.repartition(cores)
+
+
 def map_keyed(df: DataFrame, func: Callable, schema: str, *keys: str) -> DataFrame:
     """``mapInPandas`` that carries the columns ``keys`` as strings and gives them back as they were.
 
@@ -56,5 +67,5 @@ def map_keyed(df: DataFrame, func: Callable, schema: str, *keys: str) -> DataFra
 
     kinds = dict(df.dtypes)
     carried = ", ".join(f"{c.split()[0]} string" if c.split()[0] in keys else c for c in schema.split(", "))
-    out = df.withColumns({k: F.col(k).cast("string") for k in keys}).mapInPandas(filled, carried)
+    out = spread(df).withColumns({k: F.col(k).cast("string") for k in keys}).mapInPandas(filled, carried)
     return out.withColumns({k: F.col(k).cast(kinds[k]) for k in keys})
