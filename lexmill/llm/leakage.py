@@ -124,8 +124,8 @@ def _cutter(items: list[tuple[int, str]], run: int):
 
 def remove_runs(text: str | None, items: list[tuple[int, str]], grams: dict, run: int) -> str | None:
     """The text without the characters of any run it shares with an item."""
-    if text is None:
-        return None
+    if text is None or not find_runs(skeleton(text), items, grams, run):
+        return text
     kept, where = [], []
     for k, ch in enumerate(text):
         s = skeleton(ch)

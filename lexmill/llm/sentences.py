@@ -17,14 +17,15 @@ from collections.abc import Iterator
 
 import pandas as pd
 import regex
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.session import map_keyed
 
 LEAST_SHARE = 2e-5  # types rarer than this share of a language's tokens are not listed
 ABBREVIATION = 0.3
-STARTER = 30.0
+STARTER = 10.0
+STARTER_RATE = 0.1  # least share of a starter's occurrences that follow a certain break
 COLLOCATION = 7.88
 REFERENCE = 20_000  # tokens to which the counts are scaled, so that the ratios mean the same at any size
 
@@ -35,7 +36,7 @@ LANGUAGES = {
 }
 #: Verbs of the clause that names a speaker after a quotation.
 _SPEAKER = {
-    "zh": regex.compile(r"\s*[^，。！？：；“”「」\n]{1,16}?(?:问|说|道|喊|叫|答|讲|曰)(?:着|了)?(?=\s*[，。：！？,.!?])"),
+    "zh": regex.compile(r"\s*[^，。！？：；“”「」\n]{1,16}?(?:问|说|道|喊|叫|答|讲|曰)(?:着|了)?(?=\s*[，。！？,.!?])"),
     "hi": regex.compile(r"\s*[^।?!\"“”\n]{1,40}?(?:कहा|पूछा|बोला|बोली|बोले|चिल्लाया|चिल्लाई)(?=\s*[।?!,])"),
 }
 _PAIRS = {"“": "”", "「": "」", "『": "』", "《": "》", "«": "»", "„": "“", "（": "）", "(": ")", "【": "】", "〈": "〉", "‹": "›"}
@@ -98,6 +99,14 @@ class Statistics:
         self.abbreviations, self.starters, self.collocations = set(abbreviations), set(starters), set(collocations)
 
 
+def _clean(token: Column) -> Column:
+    return F.lower(F.regexp_replace(token, r"\p{Cf}|\.\z", ""))
+
+
+def _start(token: Column) -> Column:
+    return F.when(token.rlike(r"^\d"), "0").otherwise(F.regexp_replace(token, r"\p{Cf}|\.\z", ""))
+
+
 def learn(rows: DataFrame) -> dict[str, Statistics]:
     """Statistics of every language that writes periods, from all rows ``(lang, text)``.
 
@@ -105,16 +114,23 @@ def learn(rows: DataFrame) -> dict[str, Statistics]:
     pairs) of at least ``LEAST_SHARE`` of its tokens reach the driver, so their
     number is bounded whatever the size of the collection.
     """
-    tokens = rows.where(F.col("lang").isin("en", "de", "fr", "es", "ru", "hi", "xx")).select(
-        "lang", F.regexp_extract_all("text", F.lit(_WORD), 0).alias("t")
-    )
-    pairs = tokens.select("lang", F.explode(F.arrays_zip(F.col("t").alias("a"), F.slice("t", 2, 1_000_000_000).alias("b"))).alias("p"))
-    counts = pairs.groupBy("lang", F.col("p.a").alias("a"), F.col("p.b").alias("b")).agg(F.count("*").alias("n"))
-    total = F.sum("n").over(Window.partitionBy("lang"))
-    listed = counts.withColumn("total", total).where(F.col("n") >= F.greatest(F.lit(1.0), LEAST_SHARE * F.col("total")))
-    out: dict[str, Statistics] = {}
-    for lang, group in listed.toPandas().groupby("lang"):
-        out[lang] = _fit(group)
+    cut = rows.where(F.col("lang").isin("en", "de", "fr", "es", "ru", "hi", "xx"))
+    tokens = cut.select("lang", F.regexp_extract_all("text", F.lit(_WORD), 0).alias("t"))
+    single = tokens.select("lang", F.explode("t").alias("a"))
+    dotted = F.endswith("a", F.lit("."))
+    types = single.groupBy("lang", _clean(F.col("a")).alias("a"), _start(F.col("a")).alias("s")).agg(F.count("*").alias("n"), F.count_if(dotted).alias("d"))
+    types = _frequent(types).toPandas()
+    out = {lang: Statistics(_abbreviations(group)) for lang, group in types.groupby("lang")}
+
+    known = F.create_map(*[x for k, v in out.items() for x in (F.lit(k), F.array(*[F.lit(w) for w in sorted(v.abbreviations)]).cast("array<string>"))]) if out else None
+    if known is not None:
+        pairs = tokens.select("lang", F.explode(F.arrays_zip(F.col("t").alias("a"), F.slice("t", 2, 1_000_000_000).alias("b"))).alias("p"))
+        pairs = pairs.select("lang", F.col("p.a").alias("a"), F.col("p.b").alias("b")).where(dotted & F.col("b").isNotNull() & ~F.col("b").rlike(r"^\p{Ll}"))
+        unsure = F.array_contains(F.try_element_at(known, F.col("lang")), _clean(F.col("a"))) | F.col("a").rlike(r"^\d")
+        ends = pairs.groupBy("lang", F.when(F.coalesce(unsure, F.lit(False)), _clean(F.col("a"))).alias("a"), _start(F.col("b")).alias("b"))
+        after = _frequent(ends.agg(F.count("*").alias("n"))).toPandas()
+        for lang, group in after.groupby("lang"):
+            _fit(out[lang], group, types[types["lang"] == lang])
     latin = [out[k] for k in ("en", "de", "fr", "es") if k in out]
     if latin:
         out["xx"] = Statistics(
@@ -123,48 +139,39 @@ def learn(rows: DataFrame) -> dict[str, Statistics]:
     return out
 
 
-def _fit(group: pd.DataFrame) -> Statistics:
-    scale = REFERENCE / max(float(group["n"].sum()), 1.0)
-    plain: dict[str, float] = {}
-    dotted: dict[str, float] = {}
-    for a, n in zip(group["a"], group["n"]):
-        t = _type(a)
-        if t.endswith("."):
-            dotted[t[:-1]] = dotted.get(t[:-1], 0) + n * scale
-        else:
-            plain[t] = plain.get(t, 0) + n * scale
-    total = sum(plain.values()) + sum(dotted.values())
-    share = sum(dotted.values()) / max(total, 1e-9)
-    abbreviations = set()
-    for t, n in dotted.items():
+def _frequent(counts: DataFrame) -> DataFrame:
+    """The counts of at least ``LEAST_SHARE`` of their language's."""
+    total = counts.groupBy("lang").agg(F.sum("n").alias("total"))
+    return counts.join(total, "lang").where(F.col("n") >= LEAST_SHARE * F.col("total"))
+
+
+def _abbreviations(types: pd.DataFrame) -> set[str]:
+    scale = REFERENCE / max(float(types["total"].iloc[0]), 1.0)
+    by_type = types.groupby("a")[["n", "d"]].sum() * scale
+    share = float(by_type["d"].sum()) / max(float(by_type["n"].sum()), 1e-9)
+    out = set()
+    for t, n, d in zip(by_type.index, by_type["n"], by_type["d"]):
         letters = len(t.replace(".", ""))
-        if t.isdigit() or not letters:
-            continue
-        without = plain.get(t, 0)
-        score = _dunning(n, n + without, share) * math.exp(-letters) * (t.count(".") + 1) * letters**-without
-        if score >= ABBREVIATION:
-            abbreviations.add(t)
-    breaks, after, often, together = 0.0, {}, {}, {}
-    for a, b, n in zip(group["a"], group["b"], group["n"]):
-        if not b:
-            continue
-        ta, tb = _type(a), _form(b)
-        n *= scale
-        often[tb] = often.get(tb, 0) + n
-        if ta.endswith(".") and ta[:-1] not in abbreviations and not ta[:-1].isdigit() and not b[:1].islower():
-            breaks += n
-            after[tb] = after.get(tb, 0) + n
-        elif ta.endswith("."):
-            together[ta[:-1], tb] = together.get((ta[:-1], tb), 0) + n
-    starters = {
-        t for t, n in after.items() if n / often[t] > breaks / max(total, 1e-9) and _association(breaks, often[t], n, max(total, 1.0)) >= STARTER * min(1.0, n)
-        and n >= 0.1 * often[t]
-    }
-    collocations = {
-        (a, b) for (a, b), n in together.items()
-        if b not in starters and _association(dotted.get(a, n), often[b], n, max(total, 1.0)) >= COLLOCATION
-    }
-    return Statistics(abbreviations, starters, collocations)
+        if d and letters and not t.isdigit():
+            score = _dunning(d, n, share) * math.exp(-letters) * (t.count(".") + 1) * letters ** -(n - d)
+            if score >= ABBREVIATION:
+                out.add(t)
+    return out
+
+
+def _fit(known: Statistics, after: pd.DataFrame, types: pd.DataFrame) -> None:
+    """Starters and collocations: what follows a certain break, and what follows an abbreviation, more than elsewhere."""
+    total = max(float(types["total"].iloc[0]), 1.0)
+    often = types.groupby("s")["n"].sum().to_dict()
+    sure = after[after["a"].isna()].groupby("b")["n"].sum()
+    breaks = float(sure.sum())
+    for b, n in sure.items():
+        if n >= STARTER_RATE * often.get(b, n) and _association(breaks, often.get(b, n), n, total) >= STARTER:
+            known.starters.add(b)
+    dotted = types.groupby("a")["d"].sum().to_dict()
+    for a, b, n in zip(after["a"], after["b"], after["n"]):
+        if isinstance(a, str) and b not in known.starters and _association(dotted.get(a, n), often.get(b, n), n, total) >= COLLOCATION:
+            known.collocations.add((a, b))
 
 
 def _quoted(text: str) -> list[tuple[int, int]]:
@@ -298,7 +305,10 @@ def sentence_ends(text: str, lang: str, known: Statistics | None = None) -> list
         marks = m[0]
         if set(marks) <= set("…"):
             rest = text[e:]
-            done = not rest.strip() or rest[0] == "\n" if lang in ("zh", "ja") else not _continues(text, e) and (not rest or rest[0].isspace())
+            # "I... I": within a sentence where a word is taken up again, or little was said yet
+            said = regex.sub(r"[\p{Cf}\p{Mn}\s]", "", text[last:a])
+            again = len(said) < 5 or said[-1] == regex.sub(r"[\p{Cf}\p{Mn}\s]", "", rest[:3])[:1]
+            done = not again or not rest.strip() if lang in ("zh", "ja") else not _continues(text, e) and (not rest or rest[0].isspace())
         elif set(marks) == {"."}:
             done = _period(text, a, e, lang, known)
         elif lang in ("zh", "ja", "hi"):
