@@ -36,6 +36,21 @@ def viterbi(emit: np.ndarray, move: np.ndarray) -> tuple[np.ndarray, float, np.n
     return path, float(best[-1].max()), best
 
 
+def viterbi_many(emit: np.ndarray, move: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Best paths and scores of stacked sentences of one length; the same as ``viterbi`` of each."""
+    count, n, _ = emit.shape
+    best, back = emit[:, 0], []
+    for i in range(1, n):
+        total = best[:, :, None] + move[:, i]
+        back.append(total.argmax(1))
+        best = total.max(1) + emit[:, i]
+    path = np.zeros((count, n), np.int64)
+    path[:, -1] = best.argmax(1)
+    for i in range(n - 1, 0, -1):
+        path[:, i - 1] = back[i - 1][np.arange(count), path[:, i]]
+    return path, best.max(1)
+
+
 def forward_backward(emit: np.ndarray, move: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
     n, y = emit.shape
     alpha, beta = np.zeros((n, y)), np.zeros((n, y))
@@ -83,21 +98,36 @@ def words_of(tokens: list[str], tags: list[str], drop_last: bool = True) -> list
     return out
 
 
+def _best_paths(model: Model, sentences: list[list]) -> list[tuple[np.ndarray, float]]:
+    """The best path and its score of each sentence; sentences of one length are decoded together."""
+    out: list = [None] * len(sentences)
+    by_length: dict[int, list[int]] = {}
+    for k, tokens in enumerate(sentences):
+        by_length.setdefault(len(tokens), []).append(k)
+    for at in by_length.values():
+        paths, scores = viterbi_many(*model.scores_of_many([sentences[k] for k in at]))
+        for k, path, score in zip(at, paths, scores):
+            out[k] = (path, float(score))
+    return out
+
+
 def _tagger(model: Model, nbest: int, drop_last: bool, marginals: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for r in pdf.itertuples(index=False):
-                tokens = list(r.tokens)
-                if not tokens:
-                    continue
-                emit, move = model.scores(tokens)
-                paths = n_best(emit, move, nbest) if nbest > 1 else [viterbi(emit, move)[:2]]
-                z = forward_backward(emit, move)[2] if marginals or nbest > 1 else None
+            pdf = pdf[pdf["tokens"].map(len) > 0]
+            sentences = [list(t) for t in pdf["tokens"]]
+            single = _best_paths(model, sentences) if nbest == 1 else [None] * len(sentences)
+            for key, line_no, sent_no, tokens, one in zip(pdf["key"], pdf["line_no"], pdf["sent_no"], sentences, single):
+                paths, z = [one], None
+                if nbest > 1 or marginals:
+                    emit, move = model.scores(tokens)
+                    z = forward_backward(emit, move)[2]
+                    paths = n_best(emit, move, nbest) if nbest > 1 else paths
                 for k, (path, score) in enumerate(paths):
                     tags = [model.tags[t] for t in path]
                     prob = float(np.exp(score - z)) if z is not None else None
-                    rows.append((r.key, r.line_no, r.sent_no, tokens, tags, words_of(tokens, tags, drop_last), score, prob, k))
+                    rows.append((key, line_no, sent_no, tokens, tags, words_of(tokens, tags, drop_last), score, prob, k))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in _TAGGED.split(", ")])
 
     return run

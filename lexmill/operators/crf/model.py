@@ -38,6 +38,30 @@ class Model:
         return emit * self.cost_factor, move * self.cost_factor
 
 
+    def scores_of_many(self, sentences: list[list]) -> tuple[np.ndarray, np.ndarray]:
+        """``scores`` of sentences of one length, stacked."""
+        y, n = len(self.tags), len(sentences[0])
+        places: dict[bool, tuple[list[int], list[int]]] = {True: ([], []), False: ([], [])}
+        get, at = self.ids.get, 0
+        for tokens in sentences:
+            for i in range(n):
+                for f in expand(tokens, i, self.templates):
+                    k = get(f)
+                    if k is not None:
+                        rows, starts = places[f[0] == "U"]
+                        rows.append(at)
+                        starts.append(k)
+                at += 1
+        out = []
+        for is_unigram, width in ((True, y), (False, y * y)):
+            rows, starts = (np.array(x, np.int64) for x in places[is_unigram])
+            total = np.zeros((at, width))
+            for c in range(width):
+                total[:, c] = np.bincount(rows, self.weights[starts + c], at) if len(rows) else 0.0
+            out.append(total * self.cost_factor)
+        return out[0].reshape(-1, n, y), out[1].reshape(-1, n, y, y)
+
+
 def number_features(features: list[str], n_tags: int) -> tuple[dict[str, int], int]:
     """Identifiers in byte order, with room for the weights of each."""
     ids, at = {}, 0

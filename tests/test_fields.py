@@ -35,6 +35,16 @@ def test_decoding_against_every_path(seed):
     assert np.allclose(np.exp(alpha + beta - z).sum(1), 1)
 
 
+def test_stacked_sentences_decode_as_single_ones():
+    rng = np.random.default_rng(4)
+    ids, size = model.number_features(["U1:a", "U1:_B-2", "U2:a/b", "B"], 3)
+    m = model.Model(["x", "y", "z"], TEMPLATES, ids, rng.normal(size=size))
+    sentences = [list(s) for s in ("abab", "bbaa", "a", "ab", "aaaa")]
+    for (path, score), tokens in zip(decode._best_paths(m, sentences), sentences):
+        want, best, _ = decode.viterbi(*m.scores(tokens))
+        assert (path == want).all() and np.isclose(score, best)
+
+
 def test_gradient_against_differences():
     tokens, gold, y = list("abca"), np.array([0, 1, 2, 0]), 3
     ids, size = model.number_features(sorted({f for i in range(4) for f in features.expand(tokens, i, TEMPLATES)}), y)
