@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from lexmill.operators.crf.features import expand
 from lexmill.operators.crf.model import Model
 from lexmill.session import map_keyed
 
@@ -150,15 +151,27 @@ def _marginals(model: Model):
                 tokens = list(r.tokens)
                 if not tokens:
                     continue
-                alpha, beta, z = forward_backward(*model.scores(tokens))
-                p = np.exp(alpha + beta - z)
-                out += [(r.key, r.line_no, r.sent_no, i, tokens[i], t, float(p[i, k])) for i in range(len(tokens)) for k, t in enumerate(model.tags)]
-            yield pd.DataFrame(out, columns=["key", "line_no", "sent_no", "i", "token", "tag", "prob"])
+                emit, move = model.scores(tokens)
+                alpha, beta, z = forward_backward(emit, move)
+                best, p = viterbi(emit, move)[2], np.exp(alpha + beta - z)
+                for i in range(len(tokens)):
+                    for k, t in enumerate(model.tags):
+                        cells = (emit, alpha, beta, best, p)
+                        out.append((r.key, r.line_no, r.sent_no, i, tokens[i], t, *(float(c[i, k]) for c in cells)))
+            yield pd.DataFrame(out, columns=["key", "line_no", "sent_no", "i", "token", "tag", "emission", "alpha", "beta", "best", "prob"])
 
     return run
 
 
 def tag_marginals(sentences: DataFrame, model: Model) -> DataFrame:
-    """``(key, line_no, sent_no, i, token, tag, prob)`` of every position and tag."""
-    schema = "key long, line_no int, sent_no int, i int, token string, tag string, prob double"
+    """``(key, line_no, sent_no, i, token, tag, emission, alpha, beta, best, prob)`` of every position and tag.
+
+    ``best`` is the score of the best beginning that ends in the tag there.
+    """
+    schema = "key long, line_no int, sent_no int, i int, token string, tag string, emission double, alpha double, beta double, best double, prob double"
     return map_keyed(sentences.select("key", "line_no", "sent_no", "tokens"), _marginals(model), schema, "key")
+
+
+def feature_ids(sentence: list, model: Model) -> list[list[int]]:
+    """The identifiers of each position's known features."""
+    return [[model.ids[f] for f in expand(sentence, i, model.templates) if f in model.ids] for i in range(len(sentence))]

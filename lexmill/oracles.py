@@ -255,4 +255,9 @@ ORACLES = {
       SELECT word, row_number() OVER (ORDER BY k NULLS LAST, word) + {lex.FIRST_ID - 1} AS id,
         coalesce(array_to_string(list_transform(readings, lambda r: array_to_string(list_transform(string_split(r, ''''), lambda p: {_normal('p')}), '''')), ' '), '') AS readings
       FROM body UNION ALL SELECT word, id, '' FROM head""",
+    "hit_query_url": "SELECT DISTINCT word, 'http://www.baidu.com/s?wd=' || url_encode(word) AS url FROM lexicon_freq WHERE word IS NOT NULL",
+    "extract_with_model": f"""WITH RECURSIVE {_TOKENS}, {_paths()}, {_STORE},
+      joined AS (SELECT coalesce(array_to_string(list_transform(range(1, len(tokens)), lambda k: CASE WHEN k > 1 AND tags[k] IN ('B', 'S') THEN chr(31) ELSE '' END || tokens[k]), ''), '') AS ws FROM best),
+      found AS (SELECT DISTINCT unnest(string_split(ws, chr(31))) AS word FROM joined WHERE ws <> '')
+      SELECT word, freq FROM found JOIN store USING (word) WHERE {_KILL} IS NULL AND freq > {KEEP_ABOVE} AND word NOT IN (SELECT word FROM lexicon_freq WHERE word IS NOT NULL)""",
 }

@@ -183,6 +183,12 @@ def hit_count_parse(spark: SparkSession, d: str) -> DataFrame:
     return each[0].unionAll(each[1]).unionAll(each[2])
 
 
+@query
+def hit_query_url(spark: SparkSession, d: str) -> DataFrame:
+    words = _lexicon(spark, d).where("word IS NOT NULL").select("word").distinct()
+    return words.select("word", hits.query_url(F.col("word"), "baidu").alias("url"))
+
+
 # Word store
 
 
@@ -430,6 +436,11 @@ def segment_words(spark: SparkSession, d: str) -> DataFrame:
     return tagged.select(F.col("key").alias("doc_id"), "line_no", "sent_no", sinks.slashed(F.col("words")).alias("words"))
 
 
+@query
+def extract_with_model(spark: SparkSession, d: str) -> DataFrame:
+    return pipelines.extract_from_text(_docs(spark, d), literal_model(), _lexicon(spark, d), _store(spark, d), KEEP_ABOVE)
+
+
 @query
 def crf_marginals(spark: SparkSession, d: str) -> DataFrame:
     probs = decode.tag_marginals(corpus.process(_docs(spark, d)), literal_model())
