@@ -40,6 +40,7 @@ _SPEAKER = {
     "hi": regex.compile(r"\s*[^।?!\"“”\n]{1,40}?(?:कहा|पूछा|बोला|बोली|बोले|चिल्लाया|चिल्लाई)(?=\s*[।?!,])"),
 }
 _PAIRS = {"“": "”", "「": "」", "『": "』", "《": "》", "«": "»", "„": "“", "（": "）", "(": ")", "【": "】", "〈": "〉", "‹": "›"}
+_SIGN = regex.compile("[" + regex.escape("".join({*_PAIRS, *_PAIRS.values(), '"'}), special_only=False) + "]")
 _QUOTES = "“「『«„\"‹"
 _STOP = "。．！？!?.…।॥؟⁇⁈⁉"
 _CLOSERS = "”’」』）)»\"'〉》】]›"
@@ -176,25 +177,26 @@ def _fit(known: Statistics, after: pd.DataFrame, types: pd.DataFrame) -> None:
 
 def _quoted(text: str) -> list[tuple[int, int]]:
     """The outermost bracketed or quoted spans, ends exclusive; what is never closed is no span."""
-    out, k = [], 0
-    while k < len(text):
-        ch = text[k]
-        end = _PAIRS.get(ch) or ('"' if ch == '"' else None)
-        if end:
-            depth, j = 1, k + 1
-            while j < len(text):
-                if text[j] == end:
-                    depth -= 1
-                    if not depth:
-                        break
-                elif text[j] == ch:
-                    depth += 1
-                j += 1
-            if j < len(text):
-                out.append((k, j + 1))
-                k = j + 1
-                continue
-        k += 1
+    waiting: list[tuple[str, int]] = []  # closing sign and start
+    open_signs: dict[str, int] = {}
+    found = []
+    for m in _SIGN.finditer(text):
+        k, ch = m.start(), m[0]
+        if open_signs.get(ch):
+            while True:
+                end, start = waiting.pop()
+                open_signs[end] -= 1
+                if end == ch:
+                    break
+            found.append((start, k + 1))
+        elif ch in _PAIRS or ch == '"':
+            end = _PAIRS.get(ch, ch)
+            waiting.append((end, k))
+            open_signs[end] = open_signs.get(end, 0) + 1
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(found):
+        if not out or start >= out[-1][1]:
+            out.append((start, end))
     return out
 
 
