@@ -5,6 +5,8 @@ The classes are fixed values; they read the same in Java and in RE2.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -45,3 +47,8 @@ def is_ascii_line(line: Column) -> Column:
 def strip_line(line: Column) -> Column:
     """The line without white space of any script at its ends."""
     return F.regexp_replace(line, STRIP, "")
+
+
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of ``value``, which is computed once however often ``f`` uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.functions.chars import HAN, PUNCT, TERMINATORS, is_ascii_line, strip_line
+from lexmill.functions.chars import HAN, PUNCT, TERMINATORS, is_ascii_line, let, strip_line
+from lexmill.session import spread
 
 _OTHER = f"[^{TERMINATORS}{PUNCT}{HAN} \\t]"
 _OTHER_OR_END = f"[^{PUNCT}{HAN} \\t]"
@@ -15,7 +16,8 @@ SENTENCE = f"[ \\t{TERMINATORS}]*(?:[{PUNCT}{HAN}]|{_OTHER}{_OTHER_OR_END}*[ \\t
 
 def lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(key, line_no, line)``: the lines of each text, counted from 0; a null text has none."""
-    return docs.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
+    rows = spread(docs.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text")))
+    return rows.select("key", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
 
 def drop_ascii(rows: DataFrame) -> DataFrame:
@@ -28,13 +30,19 @@ def sentence_tokens(match: Column) -> Column:
 
     Marks before the first token are no tokens, and a run cut off by the line's end is lost.
     """
-    s = F.regexp_replace(match, f"^[ \\t{TERMINATORS}]+", "")
-    lead = F.regexp_extract(s, f"^{_OTHER}{_OTHER_OR_END}*", 0)
-    rest = F.substr(s, F.length(lead) + 1)
-    found = F.regexp_extract_all(rest, F.lit(f"[{HAN}{PUNCT}{TERMINATORS}]|{_OTHER}+"), 0)
-    kept = F.when(s.rlike(f"{_OTHER}\\z"), F.slice(found, F.lit(1), F.greatest(F.size(found) - 1, F.lit(0)))).otherwise(found)
-    first = F.translate(lead, TERMINATORS, "")
-    return F.when(lead == "", kept).otherwise(F.concat(F.array(first), kept))
+
+    def tokens(s: Column, lead: Column, found: Column) -> Column:
+        kept = F.when(s.rlike(f"{_OTHER}\\z"), F.slice(found, F.lit(1), F.greatest(F.size(found) - 1, F.lit(0)))).otherwise(found)
+        return F.when(lead == "", kept).otherwise(F.concat(F.array(F.translate(lead, TERMINATORS, "")), kept))
+
+    pattern = F.lit(f"[{HAN}{PUNCT}{TERMINATORS}]|{_OTHER}+")
+    return let(
+        F.regexp_replace(match, f"^[ \\t{TERMINATORS}]+", ""),
+        lambda s: let(
+            F.regexp_extract(s, f"^{_OTHER}{_OTHER_OR_END}*", 0),
+            lambda lead: let(F.regexp_extract_all(F.substr(s, F.length(lead) + 1), pattern, 0), lambda found: tokens(s, lead, found)),
+        ),
+    )
 
 
 def sentences(rows: DataFrame) -> DataFrame:

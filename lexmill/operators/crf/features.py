@@ -9,6 +9,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.functions.chars import let
 from lexmill.operators.corpus import lines
 
 TEMPLATES = ["U00:%x[-2,0]", "U01:%x[-1,0]", "U02:%x[0,0]", "U03:%x[1,0]", "U04:%x[2,0]", "U05:%x[-1,0]/%x[0,0]", "U06:%x[0,0]/%x[1,0]", "B"]
@@ -91,19 +92,21 @@ def positions(sentences: DataFrame) -> DataFrame:
     The features are made within the sentence's row, so its tokens are not
     repeated for every position.
     """
-    n = F.size("tokens")
 
-    def at(i: Column, k: int) -> Column:
-        place = i + F.lit(k)
+    def at(tokens: Column, i: Column, k: int) -> Column:
+        place, n = i + F.lit(k), F.size(tokens)
         before, after = F.concat(F.lit("_B"), place.cast("string")), F.concat(F.lit("_B+"), (place - n + 1).cast("string"))
-        return F.when(place < 0, before).when(place >= n, after).otherwise(F.try_element_at("tokens", place + 1))
+        return F.when(place < 0, before).when(place >= n, after).otherwise(F.try_element_at(tokens, place + 1))
 
-    def expanded(i: Column) -> Column:
-        found = F.array(*[F.concat(*[F.lit(p) if isinstance(p, str) else at(i, p[0]) for p in Template(t).pieces]) for t in TEMPLATES[:-1]])
-        return F.when(i > 0, F.concat(found, F.array(F.lit("B")))).otherwise(found)
+    def expanded(tokens: Column, i: Column) -> Column:
+        found = [F.concat(*[F.lit(p) if isinstance(p, str) else at(tokens, i, p[0]) for p in Template(t).pieces]) for t in TEMPLATES[:-1]]
+        return F.array_compact(F.array(*found, F.when(i > 0, F.lit("B"))))
 
-    rows = sentences.where(n > 0).select("key", "line_no", F.transform(F.sequence(F.lit(0), n - 1), expanded).alias("f"), "tokens")
-    return rows.select("key", "line_no", F.posexplode("f").alias("i", "features"))
+    def every(tokens: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.size(tokens) - 1), lambda i: expanded(tokens, i))
+
+    rows = sentences.where(F.size("tokens") > 0)
+    return rows.select("key", "line_no", F.posexplode(let(F.col("tokens"), every)).alias("i", "features"))
 
 
 def feature_counts(sentences: DataFrame, least: int = 1) -> DataFrame:

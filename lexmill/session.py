@@ -46,8 +46,10 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def spread(df: DataFrame) -> DataFrame:
     """``df`` over as many partitions as there are cores, if a plain scan has fewer than half of that.
 
-    A small table in one file would otherwise keep a single core busy with Python.
+    A small table in one file would otherwise keep a single core busy with Python or regular expressions.
     """
+    if df.isStreaming:
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     if "Exchange" in df._jdf.queryExecution().executedPlan().toString() or df.rdd.getNumPartitions() * 2 > cores:
         return df
