@@ -4,8 +4,8 @@ Evidence, all of it drawn from the whole collection:
 
 * a vocabulary trie, kept as a table of nodes: the last token of a text is an
   unknown proper prefix of known words;
-* length: a source whose longest texts pile up at one length (in characters or
-  in bytes) has a limit there, and a text at the limit was cut;
+* length: where a source's texts with open ends pile up at one length (in
+  characters or in bytes), there is a limit, and a text at the limit was cut;
 * the end of the text: running text that stops without an end mark, within a
   tag, an entity or a character.
 
@@ -16,14 +16,18 @@ or the like; such last lines need no end mark, and for them the trie decides.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-MIN_AT_LIMIT = 4
-MIN_SHARE = 0.03
+NEAR = 50  # neighbouring lengths on either side
+SURPRISE = 13.8  # of a pile of texts: about one chance in a million
+CLOSED = 0.05  # of the cuts at a limit, those that fall on an end mark by chance
 KNOWN = 2
 
 # End marks, what may close after them, and forms of last lines.
 _END = r"[。．.!?！？…।؟‥]+[\"'”’»«」』）)\]》]*\s*\z"
+_MARK = r"\s*(?:\[(?:…+|\.{3,})\]|[…‥]+|\.{3,})\s*\z"  # what may be put in the place of a lost end
+_OMITTED = r"\[(?:…+|\.{3,})\]\s*\z"
 _TORN = r"(?:\x{FFFD}+|<[/!]?[A-Za-z]*|&#?[A-Za-z0-9]*|\\[A-Za-z]*)\s*\z"
 _TRAILER = (
     r"^\s*(?:"
@@ -71,29 +75,54 @@ def vocabulary_trie(docs: DataFrame) -> DataFrame:
     )
 
 
-def source_limits(docs: DataFrame) -> DataFrame:
-    """``(source, limit_chars, limit_bytes)``; null where the source shows no limit.
+def _piles(measured: DataFrame, unit: str, width: int) -> DataFrame:
+    """``(source, top, closed)``: each length of a source at which its open-ended texts pile up.
 
-    A limit is the source's greatest length if at least ``MIN_AT_LIMIT`` different
-    texts, and a share ``MIN_SHARE`` of them, have it. Of bytes, the greatest four
-    below it count too, since a cut may fall within a character.
+    ``top`` ends a bin of ``width`` lengths; ``closed`` tells that so few texts are
+    about that even one with an end mark was rather cut there than has that length
+    by chance.
     """
-    lengths = docs.groupBy("source", "nc", "nb").agg(F.approx_count_distinct("h").alias("texts"))
-    tops = lengths.groupBy("source").agg(F.max("nc").alias("top_c"), F.max("nb").alias("top_b"), F.sum("texts").alias("all"))
-    at = (
-        lengths.join(tops, "source")
-        .groupBy("source", "top_c", "top_b", "all")
-        .agg(
-            F.sum(F.when(F.col("nc") == F.col("top_c"), F.col("texts")).otherwise(0)).alias("n_c"),
-            F.sum(F.when(F.col("nb") >= F.col("top_b") - 4, F.col("texts")).otherwise(0)).alias("n_b"),
-        )
-    )
-    enough = lambda n: (F.col(n) >= MIN_AT_LIMIT) & (F.col(n) >= MIN_SHARE * F.col("all"))
-    return at.select(
-        "source",
-        F.when(enough("n_c"), F.col("top_c")).alias("limit_chars"),
-        F.when(enough("n_b"), F.col("top_b")).alias("limit_bytes"),
+    lengths = measured.groupBy("source", unit).agg(
+        F.approx_count_distinct("h").alias("texts"), F.approx_count_distinct(F.when(F.col("openish"), F.col("h"))).alias("open")
     )
+    along = W.partitionBy("source").orderBy(unit)
+
+    def count(what: str, low: int, high: int) -> Column:
+        return F.coalesce(F.sum(what).over(along.rangeBetween(low, high)), F.lit(0))
+
+    def rate(what: str) -> Column:
+        """Texts to be expected in the bin, from the denser of its two sides (beyond a limit there is nothing)."""
+        left, right = count(what, -width - NEAR + 1, -2 * width + 1), count(what, width, NEAR + width - 1)
+        if width == 1:
+            left, right = count(what, -NEAR, -1), count(what, 1, NEAR)
+        return (F.greatest(left, right) + 0.5) / NEAR * width
+
+    n = count("open", 1 - width, 0)
+    bins = lengths.select("source", F.col(unit).alias("top"), n.alias("n"), rate("open").alias("rate"), rate("texts").alias("rate_all"))
+    surprise = F.col("n") * F.log(F.col("n") / F.col("rate")) - F.col("n") + F.col("rate")
+    piled = bins.where((F.col("n") > 3 * F.col("rate")) & (surprise >= SURPRISE))
+    # of bins that overlap, the fullest; of equal ones the first
+    order = W.partitionBy("source").orderBy("top")
+    near = lambda low, high: F.coalesce(F.max("n").over(order.rangeBetween(low, high)), F.lit(0))
+    best = piled.withColumn("best", (F.col("n") > near(1 - width, -1)) & (F.col("n") >= near(1, width - 1))) if width > 1 else piled.withColumn("best", F.lit(True))
+    return best.where("best").select("source", "top", (F.col("rate_all") <= CLOSED * F.col("n")).alias("closed"))
+
+
+def source_limits(measured: DataFrame) -> DataFrame:
+    """``(source, limits_chars, limits_bytes)``: the limits of each source that has one, as arrays of ``(top, closed)``.
+
+    Every length of the source is tested against its neighbours, so limits may be
+    several, touch few of the texts, and have longer texts above them. Bytes are
+    tested in bins of five lengths, since a cut may fall within a character, and
+    without the texts at a limit of characters.
+    """
+
+    def listed(piles: DataFrame, name: str) -> DataFrame:
+        return piles.groupBy("source").agg(F.sort_array(F.collect_list(F.struct("top", "closed"))).alias(name))
+
+    chars = _piles(measured, "nc", 1)
+    rest = measured.join(chars.select("source", F.col("top").alias("nc")), ["source", "nc"], "left_anti")
+    return listed(chars, "limits_chars").join(listed(_piles(rest, "nb", 5), "limits_bytes"), "source", "full")
 
 
 def truncated(docs: DataFrame) -> DataFrame:
@@ -115,17 +144,23 @@ def truncated(docs: DataFrame) -> DataFrame:
         F.regexp_extract("last", _LAST_TOKEN, 1).alias("token"),
         F.col("last").rlike(_TRAILER).alias("trailer"),
     )
+    measured = measured.withColumn(
+        "openish", ~F.col("trailer") & (~F.col("last").rlike(_END) | F.col("last").rlike(_MARK)) | F.col("last").rlike(_TORN)
+    )
     limits = source_limits(measured)
     trie = vocabulary_trie(base).where(F.col("n_deeper") > 0)
     tokens = measured.where("trailer AND token <> ''").select("token").distinct()
     prefixes = tokens.join(trie.where("n_word = 0"), tokens["token"] == trie["node"], "left_semi")
     joined = measured.join(limits, "source", "left").join(prefixes.withColumn("is_prefix", F.lit(True)), "token", "left")
-    at_limit = (F.col("nc") == F.col("limit_chars")) | F.col("nb").between(F.col("limit_bytes") - 4, F.col("limit_bytes"))
+    reached = lambda x: F.col("openish") | x["closed"]
+    at_limit = F.coalesce(
+        F.exists("limits_chars", lambda x: (F.col("nc") == x["top"]) & reached(x)), F.lit(False)
+    ) | F.coalesce(F.exists("limits_bytes", lambda x: F.col("nb").between(x["top"] - 4, x["top"]) & reached(x)), F.lit(False))
     evidence = (
         F.when(F.trim("last") == "", F.lit(None))
         .when(F.col("last").rlike(_TORN), F.lit("torn"))
         .when(F.col("is_prefix") & F.col("trailer"), F.lit("prefix"))
-        .when(F.coalesce(at_limit, F.lit(False)) & ~F.col("trailer"), F.lit("limit"))
-        .when(~F.col("trailer") & ~F.col("last").rlike(_END), F.lit("open"))
+        .when(at_limit & ~F.col("trailer"), F.lit("limit"))
+        .when(~F.col("trailer") & (~F.col("last").rlike(_END) | F.col("last").rlike(_OMITTED)), F.lit("open"))
     )
     return joined.select("doc_id", "source", evidence.alias("evidence"))

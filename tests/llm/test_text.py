@@ -147,6 +147,16 @@ def test_cut_texts(spark):
     assert out[204] is None and out[205] is None and out[207] is None and out[208] is None and 206 not in out
 
 
+def test_cut_at_limits_below_the_greatest_length(spark):
+    rows = [(k, "a", f"{k}号" + "今天下雨。" * (10 + k)) for k in range(200)]  # far longer ones too
+    rows += [(1000 + k, "a", f"{1000 + k}号明天" + "晴" * 394 + "…") for k in range(3)]  # 1.5 % of the source
+    rows += [(2000 + k, "a", f"{2000 + k}号后天" + "雪" * 594 + "...") for k in range(3)]
+    rows += [(3000, "a", "今天下雨。\n明天又[…]"), (3001, "a", "明天" + "晴" * 300 + "…")]
+    out = _cut(spark, rows)
+    assert all(out[1000 + k] == out[2000 + k] == "limit" for k in range(3)) and out[3000] == "open"
+    assert not any(out[k] for k in range(200)) and out[3001] is None
+
+
 def test_cut_last_token_by_trie(spark):
     rows = [(k, "a", f"今天下雨。\n——{w}词语小组") for k, w in enumerate(["东山", "东山", "南山"])]
     out = _cut(spark, [*rows, (9, "a", "今天下雨。\n——东山词语小")])
