@@ -10,7 +10,10 @@ Evidence, all of it drawn from the whole collection:
   tag, an entity or a character.
 
 A whole text may also end in a list item, a note, a date, a signature, a number
-or the like; such last lines need no end mark, and for them the trie decides.
+or the like; such last lines need no end mark, and for them the trie decides. It
+also looks up the last word of running text, an end mark or an inserted ellipsis
+left aside; of a script without spaces only where slashes part the words or a mark
+stands in the place of the lost end, since else the word's beginning is not known.
 """
 
 from __future__ import annotations
@@ -19,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lexmill.session import write_table
+
 NEAR = 50  # neighbouring lengths on either side
 SURPRISE = 13.8  # of a pile of texts: about one chance in a million
 CLOSED = 0.05  # of the cuts at a limit, those that fall on an end mark by chance
@@ -43,38 +48,77 @@ _TRAILER = (
     r"|[完终終了]"
     r")\s*\z"
 )
+# Scripts without spaces, and words: between spaces, or (of those scripts) between slashes.
+_UNSPACED = (
+    r"\x{0E01}-\x{0E3A}\x{0E40}-\x{0E4E}\x{0E81}-\x{0ECD}\x{0EDC}-\x{0EDF}\x{1000}-\x{103F}\x{1050}-\x{109D}\x{1780}-\x{17D3}"
+    r"\x{3005}-\x{3007}\x{3021}-\x{3029}\x{3031}-\x{3035}\x{3038}-\x{303B}\x{3041}-\x{3096}\x{309D}-\x{309F}\x{30A1}-\x{30FA}"
+    r"\x{30FC}-\x{30FF}\x{31F0}-\x{31FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{FF66}-\x{FF9F}\x{20000}-\x{3FFFF}"
+)
+_SPACED = rf"[\p{{L}}\p{{M}}&&[^{_UNSPACED}]]+"
+_WORD = rf"{_SPACED}(?:[’']{_SPACED})*"
+_BETWEEN = rf"(?<=/)[{_UNSPACED}]+(?![\p{{L}}\p{{M}}])|(?<![\p{{L}}\p{{M}}])[{_UNSPACED}]+(?=/)"
 _TOKEN = r"\p{L}+(?:[’']\p{L}+)*"
-_LAST_TOKEN = r"(\p{L}+(?:[’']\p{L}+)*)[^\p{L}]*\z"
+_LAST_TOKEN = rf"([{_UNSPACED}]+|{_SPACED}(?:[’']{_SPACED})*)[^\p{{L}}\p{{M}}]*\z"
+_LONGEST = 24
+_TAIL = 200  # characters in which the end of a text is looked for
 
 
 def last_line(text: Column) -> Column:
-    return F.substring_index(F.regexp_replace(text, r"[\n\r]+\z", ""), "\n", -1)
+    return F.substring_index(F.rtrim(text, F.lit("\n\r")), "\n", -1)
 
 
 def vocabulary_trie(docs: DataFrame) -> DataFrame:
-    """``(node, n_word, n_deeper)``: the trie of the collection's short units.
+    """``(node, n_word, n_deeper)``: the trie of the collection's words.
 
-    A unit is a word of a line that is no running text (a list item, a cell, a
-    signature, a title) or a word between spaces or slashes; ``n_word`` counts
-    the texts in which the node is a unit, ``n_deeper`` the units below it.
+    A unit is a word between spaces or slashes, or a word of a line that is no
+    running text (a list item, a cell, a signature). ``n_deeper`` counts the units
+    below the node, of those that occur ``KNOWN`` times. ``n_word`` counts the
+    places that show the node to be a whole unit: within a text, or as the last
+    token of a text, of which copies count once.
     """
-    lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).where(F.col("line").rlike(_TRAILER))
-    units = lines.select(F.explode(F.regexp_extract_all("line", F.lit(_TOKEN), 0)).alias("unit")).where(
-        F.length("unit").between(1, 24)
+    bodies = docs.select(F.lower("text").alias("text"), F.xxhash64("text").alias("h")).withColumn("final", last_token(F.col("text")))
+    found = F.regexp_extract_all("text", F.lit(_WORD), 0)
+    between = F.when(F.contains("text", F.lit("/")), F.regexp_extract_all("text", F.lit(_BETWEEN), 0)).otherwise(F.array())
+    trailing = F.filter(F.split("text", "\n"), lambda line: line.rlike(_TRAILER))
+    listed = F.flatten(F.transform(trailing, lambda line: F.regexp_extract_all(line, F.lit(_TOKEN), 0)))
+    each = bodies.select("final", "h", F.explode(F.concat(found, between, listed)).alias("unit")).where(F.length("unit") <= _LONGEST)
+    words = each.groupBy("unit").agg(
+        F.count("*").alias("n"),
+        F.count_if(F.col("unit") != F.col("final")).alias("within"),
+        F.min(F.when(F.col("unit") == F.col("final"), F.col("h"))).alias("h_first"),
+        F.max(F.when(F.col("unit") == F.col("final"), F.col("h"))).alias("h_last"),
     )
-    words = units.groupBy("unit").agg(F.count("*").alias("n"))
-    words = words.where(F.col("n") >= KNOWN)
+    # two at the end of different texts are as good as one within a text
+    words = words.withColumn("whole", F.col("within") + F.coalesce((F.col("h_first") != F.col("h_last")).cast("int"), F.lit(0)))
     nodes = words.select(
         F.explode(F.transform(F.sequence(F.lit(1), F.length("unit")), lambda k: F.substring("unit", 1, k))).alias("node"),
         "unit",
         "n",
+        "whole",
     )
     return nodes.groupBy("node").agg(
-        F.sum(F.when(F.col("node") == F.col("unit"), F.col("n")).otherwise(0)).alias("n_word"),
-        F.sum(F.when(F.col("node") == F.col("unit"), 0).otherwise(F.col("n"))).alias("n_deeper"),
+        F.sum(F.when(F.col("node") == F.col("unit"), F.col("whole")).otherwise(0)).alias("n_word"),
+        F.sum(F.when((F.col("node") != F.col("unit")) & (F.col("n") >= KNOWN), F.col("n")).otherwise(0)).alias("n_deeper"),
     )
 
 
+def last_token(text: Column) -> Column:
+    """The last word of the text, or of a script without spaces its last unbroken run, whatever marks follow."""
+    return F.regexp_extract(F.regexp_replace(F.right(text, F.lit(_TAIL)), _MARK, ""), _LAST_TOKEN, 1)
+
+
+def unknown_prefixes(tokens: DataFrame, trie: DataFrame) -> DataFrame:
+    """The rows of ``(token, run)`` whose token is an unknown proper prefix of known words.
+
+    Of a run of a script without spaces the words are not known; its longest
+    ending that is a node of the trie stands for its last word.
+    """
+    ends = F.when(F.col("run"), F.transform(F.sequence(F.lit(1), F.least(F.length("token"), F.lit(_LONGEST))), lambda k: F.substring("token", -k, k)))
+    tried = tokens.withColumn("node", F.explode(F.coalesce(ends, F.array("token"))))
+    nodes = tried.join(trie, "node").groupBy("token", "run")
+    return nodes.agg(F.max_by(F.struct("n_word", "n_deeper"), F.length("node")).alias("at")).where("at.n_word = 0 AND at.n_deeper > 0").select("token", "run")
+
+
 def _piles(measured: DataFrame, unit: str, width: int) -> DataFrame:
     """``(source, top, closed)``: each length of a source at which its open-ended texts pile up.
 
@@ -132,35 +176,43 @@ def truncated(docs: DataFrame) -> DataFrame:
     limit; repeated rows give repeated rows; other columns are ignored.
     """
     base = docs.where(F.col("text").isNotNull()).select("doc_id", "source", "text")
-    measured = base.select(
+    lines = base.select(
         "doc_id",
         "source",
         F.length("text").alias("nc"),
         F.octet_length("text").alias("nb"),
         F.xxhash64("text").alias("h"),
         last_line(F.col("text")).alias("last"),
-    ).select(
-        "*",
-        F.regexp_extract("last", _LAST_TOKEN, 1).alias("token"),
-        F.col("last").rlike(_TRAILER).alias("trailer"),
+    ).select("*", F.right("last", F.lit(_TAIL)).alias("tail"), F.col("last").rlike(_TRAILER).alias("trailer"))
+    ends = lines.select(
+        *["doc_id", "source", "nc", "nb", "h", "trailer"],
+        (F.trim("last") == "").alias("empty"),
+        F.col("tail").rlike(_TORN).alias("torn"),
+        F.col("tail").rlike(_MARK).alias("marked"),
+        (F.col("tail").rlike(_END) & ~F.col("tail").rlike(_OMITTED)).alias("ended"),
+        last_token(F.lower("tail")).alias("token"),
+        F.col("tail").rlike(rf"/[{_UNSPACED}]+[^\p{{L}}\p{{M}}]*\z").alias("slashed"),
     )
-    measured = measured.withColumn(
-        "openish", ~F.col("trailer") & (~F.col("last").rlike(_END) | F.col("last").rlike(_MARK)) | F.col("last").rlike(_TORN)
+    # no run but a word: in a list item or after a slash
+    run = F.col("token").rlike(f"^[{_UNSPACED}]") & ~F.col("trailer") & ~F.col("slashed")
+    measured = write_table(
+        ends.withColumn("run", run)
+        .withColumn("token", F.when(~run | F.col("marked"), F.col("token")).otherwise(""))
+        .withColumn("openish", ~F.col("trailer") & (~F.col("ended") | F.col("marked")) | F.col("torn"))
     )
     limits = source_limits(measured)
-    trie = vocabulary_trie(base).where(F.col("n_deeper") > 0)
-    tokens = measured.where("trailer AND token <> ''").select("token").distinct()
-    prefixes = tokens.join(trie.where("n_word = 0"), tokens["token"] == trie["node"], "left_semi")
-    joined = measured.join(limits, "source", "left").join(prefixes.withColumn("is_prefix", F.lit(True)), "token", "left")
+    tokens = measured.where("token <> ''").select("token", "run").distinct()
+    prefixes = unknown_prefixes(tokens, vocabulary_trie(base))
+    joined = measured.join(limits, "source", "left").join(prefixes.withColumn("is_prefix", F.lit(True)), ["token", "run"], "left")
     reached = lambda x: F.col("openish") | x["closed"]
     at_limit = F.coalesce(
         F.exists("limits_chars", lambda x: (F.col("nc") == x["top"]) & reached(x)), F.lit(False)
     ) | F.coalesce(F.exists("limits_bytes", lambda x: F.col("nb").between(x["top"] - 4, x["top"]) & reached(x)), F.lit(False))
     evidence = (
-        F.when(F.trim("last") == "", F.lit(None))
-        .when(F.col("last").rlike(_TORN), F.lit("torn"))
-        .when(F.col("is_prefix") & F.col("trailer"), F.lit("prefix"))
+        F.when(F.col("empty"), F.lit(None))
+        .when(F.col("torn"), F.lit("torn"))
+        .when(F.col("is_prefix"), F.lit("prefix"))
         .when(at_limit & ~F.col("trailer"), F.lit("limit"))
-        .when(~F.col("trailer") & (~F.col("last").rlike(_END) | F.col("last").rlike(_OMITTED)), F.lit("open"))
+        .when(~F.col("trailer") & ~F.col("ended"), F.lit("open"))
     )
     return joined.select("doc_id", "source", evidence.alias("evidence"))

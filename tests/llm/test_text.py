@@ -163,6 +163,17 @@ def test_cut_last_token_by_trie(spark):
     assert out[9] == "prefix" and out[0] is None
 
 
+def test_cut_within_words_of_running_text(spark):
+    rows = [(k, "a", f"The harbour was quiet and the lantern burned {k}.") for k in range(3)]
+    rows += [(10 + k, "a", f"{k}/今天/下雨/，渡船/停在/码头/。") for k in range(3)]
+    rows += [(20, "b", "The lantern was quiet and the harb…"), (21, "b", "It was quiet near the lant."), (22, "b", "今天/下雨/，/渡…")]
+    rows += [(23, "b", "昨天下雨所以渡…"), (24, "b", "昨天下雨所以渡船……"), (25, "b", "The harbour burned…"), (26, "c", "It was quiet near the lant.")]
+    rows += [(27, "b", "今天/下雨/，/渡船/…"), (28, "b", "The lantern was quiet and the h [...]")]
+    out = _cut(spark, rows)
+    assert {k for k, e in out.items() if e == "prefix"} == {20, 21, 22, 23, 26, 28}
+    assert not any(out[k] for k in [0, 1, 2, 10, 11, 12, 24, 25, 27])
+
+
 def test_page_frame(spark):
     rows = []
     for page in range(40):
