@@ -130,6 +130,19 @@ def test_encodings_round_trip(spark):
     assert encoding.garbled(df.limit(0)).count() == 0
 
 
+def test_frequent_garbling_stays_suspect(spark):
+    import random
+
+    rng = random.Random(5)
+    stock = ["守闸人", "不肯卖", "渔网", "只答应", "借用到", "春天", "编词典的", "老人", "在河边", "登记了", "铜铃", "和木桥"]
+    clean = ["".join(rng.choice(stock) for _ in range(8)) + "。" for _ in range(400)]
+    for written, read in [("utf-8", "koi8_r"), ("gb18030", "cp866")]:
+        wrong = [(1000 + k, "b", t.encode(written).decode(read)) for k, t in enumerate(clean[:200])]
+        df = spark.createDataFrame([(k, "a", t) for k, t in enumerate(clean)] + wrong * 2, "row_id long, source string, text string")
+        out = [r["row_id"] for r in encoding.garbled(df).collect()]
+        assert sorted(out) == sorted(r[0] for r in wrong * 2)
+
+
 def _cut(spark, rows):
     df = spark.createDataFrame(rows, "doc_id long, source string, text string").withColumn("trailer", F.lit(1))
     return {r["doc_id"]: r["evidence"] for r in truncation.truncated(df).collect()}
