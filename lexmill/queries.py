@@ -453,23 +453,23 @@ def crf_nbest(spark: SparkSession, d: str) -> DataFrame:
     return best.select(F.col("key").alias("doc_id"), "line_no", "sent_no", "rank", F.array_join("tags", "").alias("tags"), F.round("prob", 6).alias("prob"))
 
 
-def _trained(spark: SparkSession, d: str, algorithm: str, rounds: int) -> DataFrame:
+def _trained(spark: SparkSession, d: str, algorithm: str) -> DataFrame:
     sentences = features.gold(_docs(spark, d)).select("tokens", "tags")
-    _, course = train.train(sentences, algorithm, least=2, rounds=rounds)
+    _, course = train.train(sentences, algorithm)
     rows = [(c["iteration"], float(c["objective"]), float(c["token_error"]), float(c["sentence_error"])) for c in course]
     return spark.createDataFrame(rows, "iteration int, objective double, token_error double, sentence_error double")
 
 
 @query
 def crf_train_l2(spark: SparkSession, d: str) -> DataFrame:
-    return _trained(spark, d, "crf-l2", 4)
+    return _trained(spark, d, "crf-l2")
 
 
 @query
 def crf_train_l1(spark: SparkSession, d: str) -> DataFrame:
-    return _trained(spark, d, "crf-l1", 4)
+    return _trained(spark, d, "crf-l1")
 
 
 @query
 def crf_train_mira(spark: SparkSession, d: str) -> DataFrame:
-    return _trained(spark, d, "mira", 3)
+    return _trained(spark, d, "mira")

@@ -78,3 +78,10 @@ def test_training_learns(spark, algorithm):
     assert [list(r["words"]) for r in decode.tag(rows, m).collect()] == [["我", "爱", "天安门"]]
     if algorithm == "crf-l1":
         assert (m.weights == 0).any()
+
+
+def test_training_queries_run_to_their_own_end(spark):
+    from lexmill import queries
+
+    course = queries.queries()["crf_train_mira"](spark, "/root/testdata/sf0.001").orderBy("iteration").collect()
+    assert len(course) < 100 and course[-1]["sentence_error"] == 0 and course[-2]["sentence_error"] > 0
