@@ -134,6 +134,12 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return truncation.truncated(table(spark, d, "documents")).where("evidence IS NOT NULL").select("doc_id")
 
 
+def p9_evidence(spark: SparkSession, d: str) -> DataFrame:
+    """How many cut documents each kind of evidence gives."""
+    cut = truncation.truncated(table(spark, d, "documents")).where("evidence IS NOT NULL")
+    return cut.groupBy("evidence").agg(F.count("*").alias("n"))
+
+
 def p9_rates(spark: SparkSession, d: str) -> DataFrame:
     cut = F.count("evidence")
     return (

@@ -164,7 +164,7 @@ def test_cut_at_limits_below_the_greatest_length(spark):
     rows = [(k, "a", f"{k}号" + "今天下雨。" * (10 + k)) for k in range(200)]  # far longer ones too
     rows += [(1000 + k, "a", f"{1000 + k}号明天" + "晴" * 394 + "…") for k in range(3)]  # 1.5 % of the source
     rows += [(2000 + k, "a", f"{2000 + k}号后天" + "雪" * 594 + "...") for k in range(3)]
-    rows += [(3000, "a", "今天下雨。\n明天又[…]"), (3001, "a", "明天" + "晴" * 300 + "…")]
+    rows += [(3000, "a", "今天下雨。\n明天又[…]"), (3001, "a", "明天" + "晴" * 300 + "下雨…")]
     out = _cut(spark, rows)
     assert all(out[1000 + k] == out[2000 + k] == "limit" for k in range(3)) and out[3000] == "open"
     assert not any(out[k] for k in range(200)) and out[3001] is None
@@ -177,14 +177,15 @@ def test_cut_last_token_by_trie(spark):
 
 
 def test_cut_within_words_of_running_text(spark):
-    rows = [(k, "a", f"The harbour was quiet and the lantern burned {k}.") for k in range(3)]
-    rows += [(10 + k, "a", f"{k}/今天/下雨/，渡船/停在/码头/。") for k in range(3)]
+    rows = [(200 + k, "a", f"The harbour was quiet and the lantern burned {k}.") for k in range(40)]
+    rows += [(100 + k, "a", f"{k}/今天/下雨/，渡船/停在/码头/。") for k in range(40)]
+    rows += [(60 + k, "a", f"{k}号没有渡船。The harbour {k} burned. It is {k}.\n昨天/没有/{k}/渡船/。") for k in range(20)]
     rows += [(20, "b", "The lantern was quiet and the harb…"), (21, "b", "It was quiet near the lant."), (22, "b", "今天/下雨/，/渡…")]
     rows += [(23, "b", "昨天下雨所以渡…"), (24, "b", "昨天下雨所以渡船……"), (25, "b", "The harbour burned…"), (26, "c", "It was quiet near the lant.")]
     rows += [(27, "b", "今天/下雨/，/渡船/…"), (28, "b", "The lantern was quiet and the h [...]")]
     out = _cut(spark, rows)
     assert {k for k, e in out.items() if e == "prefix"} == {20, 21, 22, 23, 26, 28}
-    assert not any(out[k] for k in [0, 1, 2, 10, 11, 12, 24, 25, 27])
+    assert not any(out[k] for k in [24, 25, 27, *range(60, 80), *range(100, 140), *range(200, 240)])
 
 
 def test_page_frame(spark):
