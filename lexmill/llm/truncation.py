@@ -40,6 +40,7 @@ ENDINGS = (1, 2, 4, 6, 8, 12)  # characters of the endings that the trie holds
 WORD = 0  # the trie's level of words
 GOES_ON = 0.05  # a token closed more rarely than that is a prefix
 WHOLE = 0.8  # one closed more often than that is whole
+CHUNK = 1 << 19  # characters that a task works on at once
 BITS = 1 << 26  # of the filter that keeps nodes which no text's end asks for from being counted
 
 # End marks, what may close after them, and forms of last lines.
@@ -58,8 +59,7 @@ _UNSPACED = (
     r"\x{30FC}-\x{30FF}\x{31F0}-\x{31FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{FF66}-\x{FF9F}\x{20000}-\x{3FFFF}"
 )
 _WORD_END = rf"(?:[\p{{L}}\p{{M}}&&[^{_UNSPACED}]]|/[{_UNSPACED}]+)[^\p{{L}}\p{{M}}]*\z"
-_TAIL = 200  # characters in which the end of a text is looked for
-_SHORT = 80  # characters from which the nodes of an end are made
+_SHORT = 80  # characters in which the end of a text is looked for
 
 _BREAK = 0x10FFFE  # stands between texts
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -104,6 +104,7 @@ class Trie:
         self.unspaced = np.array([bool(unspaced.match(chr(c))) for c in range(0x30000)])
         self.parting = np.zeros(0x30000, bool)
         self.parting[[ord(c) for c in _PARTING]] = True
+        self.power = self.back = np.zeros(0, np.uint64)
         self.closing = np.array([ord(c) for c in _CLOSING], np.int64)
 
     def read(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -118,8 +119,9 @@ class Trie:
         """Per level the node of each place (or of the places ``at``), 0 where the level has none."""
         n = len(cp)
         with np.errstate(over="ignore"):
-            power = np.multiply.accumulate(np.full(n + 1, _FACTOR))
-            back = np.multiply.accumulate(np.full(n + 1, _INVERSE))
+            if len(self.power) <= n:
+                self.power, self.back = (np.multiply.accumulate(np.full(n + 1, f)) for f in (_FACTOR, _INVERSE))
+            power, back = self.power, self.back
             sums = np.concatenate([[np.uint64(0)], np.cumsum((cp.astype(np.uint64) + np.uint64(1)) * power[:n], dtype=np.uint64)])
             here = np.arange(n) if at is None else at
             for level in (WORD, *ENDINGS):
@@ -168,6 +170,20 @@ def bit_of(node: np.ndarray) -> np.ndarray:
     return (node.view(np.uint64) >> np.uint64(20)).astype(np.int64) & (BITS - 1)
 
 
+def chunks(batches: Iterator[pd.DataFrame]) -> Iterator[list[str]]:
+    """The texts of the batches, in lists of about ``CHUNK`` characters; a longer text is a list of its own."""
+    held, size = [], 0
+    for pdf in batches:
+        for text in pdf["text"]:
+            held.append(text)
+            size += len(text)
+            if size >= CHUNK:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
 def _of_texts(bitmap: np.ndarray):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ends, trie = Ends(), Trie()
@@ -179,15 +195,12 @@ def _of_texts(bitmap: np.ndarray):
             # counts stay far below 2^53, so that the sums of bincount are exact
             return np.stack([u, np.bincount(at, rows[:, 1]).astype(np.int64), np.bincount(at, rows[:, 2]).astype(np.int64)], 1)
 
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            found = [ends.of(t) for t in pdf["text"]]
-            cp, last = trie.read([t[:stop].lower() for t, (stop, _, _) in zip(pdf["text"], found)])
+        for texts in chunks(batches):
+            found = [ends.of(t) for t in texts]
+            cp, last = trie.read([t[:stop].lower() for t, (stop, _, _) in zip(texts, found)])
             word_on, text_on = trie.goes_on(cp)
             open_end, judged = np.array([not e for _, e, _ in found]), np.array([j for _, _, j in found])
             for level, h in trie.nodes(cp):
-                h = h.copy()
                 h[last[judged if level == WORD else open_end]] = 0  # ends that are judged are counted by themselves
                 bit = bit_of(h)
                 use = np.flatnonzero((bitmap[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool) & (h != 0))
@@ -196,7 +209,7 @@ def _of_texts(bitmap: np.ndarray):
                     u, at = np.unique(h[use], return_inverse=True)
                     n, n_on = np.bincount(at), np.bincount(at, on).astype(np.int64)
                     held.append(np.stack([u, n_on, n - n_on], 1))
-            if sum(map(len, held)) > 4_000_000:
+            if held and sum(map(len, held)) > 1_000_000 + 2 * len(held[0]):
                 held = [merged()]
         if held:
             rows = merged()
@@ -261,7 +274,7 @@ def unmarked_heads(texts: DataFrame, last_lines: DataFrame) -> DataFrame:
     """
     lines = F.split(F.rtrim("text", F.lit("\n\r")), "\n")
     inner = texts.where(F.contains("text", F.lit("\n"))).select(F.explode(F.slice(lines, F.lit(1), F.size(lines) - 1)).alias("line")).where("trim(line) <> ''")
-    inner = inner.select(_head(F.col("line")).alias("head"), F.right("line", F.lit(_TAIL)).rlike(_END).alias("ended"))
+    inner = inner.select(_head(F.col("line")).alias("head"), F.right("line", F.lit(_SHORT)).rlike(_END).alias("ended"))
     counts = inner.unionAll(last_lines.select("head", "ended")).where("head IS NOT NULL").groupBy("head").agg(F.count("*").alias("n"), F.count_if(~F.col("ended")).alias("bare"))
     return counts.where((F.col("bare") > KNOWN) & (F.col("bare") - 1 >= WHOLE * (F.col("n") - 1))).select("head")
 
@@ -325,29 +338,24 @@ def truncated(docs: DataFrame) -> DataFrame:
     are ignored.
     """
     base = docs.where(F.col("text").isNotNull()).select("doc_id", "source", "text")
+    last = last_line(F.col("text"))
     lines = base.select(
-        "doc_id",
-        "source",
-        F.length("text").alias("nc"),
-        F.octet_length("text").alias("nb"),
-        F.xxhash64("text").alias("h"),
-        "text",
-        last_line(F.col("text")).alias("last"),
+        *["doc_id", "source", F.length("text").alias("nc"), F.octet_length("text").alias("nb"), F.xxhash64("text").alias("h")],
+        last.alias("last"),
+        (F.length(last) < F.length("text")).alias("several"),
         F.right("text", F.lit(_SHORT)).alias("short"),
-    ).select("*", F.right("last", F.lit(_TAIL)).alias("tail"))
-    measured = write_table(
-        lines.select(
-            *["doc_id", "source", "nc", "nb", "h"],
-            F.xxhash64("short").alias("tail_id"),
-            (F.trim("last") == "").alias("empty"),
-            F.when(F.length("last") < F.length("text"), _head(F.col("last"))).alias("head"),  # a text of one line has no form of last lines
-            F.col("last").rlike(_TRAILER).alias("listed"),
-            F.col("tail").rlike(_TORN).alias("torn"),
-            F.col("tail").rlike(_MARK).alias("marked"),
-            (F.col("tail").rlike(_END) & ~F.col("tail").rlike(_OMITTED)).alias("ended"),
-            F.when(F.col("tail").rlike(_TORN) | F.col("tail").rlike(_MARK) | ~F.col("tail").rlike(_END) | F.col("tail").rlike(_WORD_END), F.col("short")).alias("short"),
-        )
     )
+    marks = lines.select(
+        *["doc_id", "source", "nc", "nb", "h", "short"],
+        (F.trim("last") == "").alias("empty"),
+        F.when(F.col("several"), _head(F.col("last"))).alias("head"),  # a text of one line has no form of last lines
+        F.col("last").rlike(_TRAILER).alias("listed"),
+        F.col("short").rlike(_TORN).alias("torn"),
+        F.col("short").rlike(_MARK).alias("marked"),
+        (F.col("short").rlike(_END) & ~F.col("short").rlike(_OMITTED)).alias("ended"),
+    )
+    judged = F.col("torn") | F.col("marked") | ~F.col("ended") | F.col("short").rlike(_WORD_END)
+    measured = write_table(marks.withColumns({"tail_id": F.xxhash64("short"), "short": F.when(judged, F.col("short"))}))
     tails = measured.where("short IS NOT NULL AND NOT empty").groupBy("tail_id").agg(F.first("short").alias("tail"))
     lasts = measured.where("NOT empty AND head IS NOT NULL").groupBy("tail_id", "head").agg(F.first("ended").alias("ended"))
     heads = unmarked_heads(base, lasts).withColumn("formed", F.lit(True))
