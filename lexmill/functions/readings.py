@@ -78,23 +78,28 @@ def cedict_reading(line: Column) -> Column:
 
 
 def finals() -> list[tuple[str, str]]:
-    """Accented finals and their plain forms, in the order in which they are tried."""
+    """Accented finals and their plain forms with the number of the tone, in the order in which they are tried."""
     out = []
     for final, at in FINALS:
-        for mark in MARKS[final[at]]:
-            out.append((final[:at] + mark + final[at + 1 :], final))
+        for tone, mark in enumerate(MARKS[final[at]], 1):
+            out.append((final[:at] + mark + final[at + 1 :], f"{final}{tone}"))
         if final in ("a", "an"):
-            out.append((final, final))
+            out.append((final, f"{final}5"))
     return out
 
 
 def normalize_word_zhuyin(py: Column) -> Column:
-    """The word's reading with the accent of its last final taken off wherever that final stands."""
+    """The word's reading with its last final written plainly, without the tone.
+
+    The same final in an earlier syllable is written plainly too, but keeps the
+    number of its tone.
+    """
     table = finals()
     keys = F.array(*[F.lit(k) for k, _ in table])
     plain = F.create_map(*[F.lit(x) for kv in table for x in kv])
     key = F.try_element_at(F.filter(keys, lambda k: F.endswith(py, k)), F.lit(1))
-    return F.when(key.isNull(), py).otherwise(F.replace(py, key, F.element_at(plain, key)))
+    numbered = F.replace(py, key, F.element_at(plain, key))
+    return F.when(key.isNull(), py).otherwise(F.left(numbered, F.length(numbered) - 1))
 
 
 def sort_readings(readings: Column) -> Column:

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions.chars import HAN, PUNCT, TERMINATORS, is_ascii_line, let, strip_line
-from lexmill.session import spread
 
 _OTHER = f"[^{TERMINATORS}{PUNCT}{HAN} \\t]"
 _OTHER_OR_END = f"[^{PUNCT}{HAN} \\t]"
@@ -16,7 +15,7 @@ SENTENCE = f"[ \\t{TERMINATORS}]*(?:[{PUNCT}{HAN}]|{_OTHER}{_OTHER_OR_END}*[ \\t
 
 def lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(key, line_no, line)``: the lines of each text, counted from 0; a null text has none."""
-    rows = spread(docs.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text")))
+    rows = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"))
     return rows.select("key", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
 

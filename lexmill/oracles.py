@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from lexmill.functions.chars import HAN, NUMBERS, PUNCT, STRIP, TERMINATORS
-from lexmill.functions.readings import ACCENTED, PLAIN, PUNCTUATION, finals
 from lexmill.operators import lexicon as lex
 from lexmill.operators.corpus import _OTHER, _OTHER_OR_END, SENTENCE
 from lexmill.operators.crf.features import TEMPLATES, Template
@@ -11,6 +10,12 @@ from lexmill.operators.wordfilter import PREFIXES, SUFFIXES
 from lexmill.queries import ARPA, CEDICT, DICTIONARY_PAGES, KEEP_ABOVE, PAGES, PINYIN, RANKS, TAGS, UNIHAN, ZHUYIN
 
 
+# Accented letters and their plain ones, readings of punctuation.
+ACCENTED = "āáǎàōóǒòēéěèīíǐìūúǔùǖǘǚǜüḿńňǹ"
+PLAIN = "aaaaooooeeeeiiiiuuuuuuuuumnnn"
+PUNCTUATION = {"、": "-", "，": "-", "。": "-", "？": "", "《": "", "》": ""}
+
+
 def _s(value: object) -> str:
     return "NULL" if value is None else str(value) if isinstance(value, (int, float)) else "'" + str(value).replace("'", "''") + "'"
 
@@ -121,7 +126,14 @@ def _cell(k: int) -> str:
 
 _FEATURES = ", ".join(" || ".join(_s(p) if isinstance(p, str) else f"({_cell(p[0])})" for p in Template(t).pieces) for t in TEMPLATES[:-1])
 _FEATURED = _GOLD + f", featured AS (SELECT doc_id, line_no, i, [{_FEATURES}] || CASE WHEN i > 0 THEN ['B'] ELSE [] END AS fs FROM places)"
-_FINALS = "CASE " + " ".join(f"WHEN suffix(py, {_s(k)}) THEN replace(py, {_s(k)}, {_s(v)})" for k, v in finals()) + " ELSE py END"
+# Each final with its four tones (and the neutral one of a and an); the longest spelling does not matter, as no final ends in another with its mark.
+_TONES = [
+    ("a", "ā á ǎ à"), ("o", "ō ó ǒ ò"), ("e", "ē é ě è"), ("ai", "āi ái ǎi ài"), ("ei", "ēi éi ěi èi"), ("ao", "āo áo ǎo ào"), ("ou", "ōu óu ǒu òu"),
+    ("an", "ān án ǎn àn"), ("en", "ēn én ěn èn"), ("ang", "āng áng ǎng àng"), ("eng", "ēng éng ěng èng"), ("er", "ēr ér ěr èr"), ("i", "ī í ǐ ì"),
+    ("iu", "iū iú iǔ iù"), ("in", "īn ín ǐn ìn"), ("ing", "īng íng ǐng ìng"), ("u", "ū ú ǔ ù"), ("un", "ūn ún ǔn ùn"), ("ong", "ōng óng ǒng òng"), ("v", "ǖ ǘ ǚ ǜ"),
+]
+_NUMBERED = [(marked, f"{plain}{k}") for plain, row in _TONES for k, marked in enumerate(row.split(), 1)] + [("a", "a5"), ("an", "an5")]
+_FINALS = "CASE " + " ".join(f"WHEN suffix(py, {_s(k)}) THEN left(replace(py, {_s(k)}, {_s(v)}), -1)" for k, v in _NUMBERED) + " ELSE py END"
 
 
 _MOVES = [[-4.0, 1.0, 0.25, -4.0], [0.5, -4.0, -4.0, 0.25], [-4.0, 0.5, -0.5, -4.0], [0.5, -4.0, -4.0, 0.125]]

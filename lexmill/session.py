@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -18,11 +19,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _shared_folder(spark: SparkSession) -> str:
     """The folder the session names in ``spark.checkpoint.dir``.
 
-    Only where none is named (single-machine tests) a temporary one is set.
+    Only on a single machine, where none is named, a temporary one is set: the
+    executors of a cluster could not read each other's parts of it.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lexmill-checkpoint-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="lexmill-checkpoint-"))
     return sc.getCheckpointDir()
 
 
@@ -43,19 +48,6 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """``df`` over as many partitions as there are cores, if a plain scan has fewer than half of that.
-
-    A small table in one file would otherwise keep a single core busy with Python or regular expressions.
-    """
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if "Exchange" in df._jdf.queryExecution().executedPlan().toString() or df.rdd.getNumPartitions() * 2 > cores:
-        return df
-    return df.repartition(cores)
-
-
 def map_keyed(df: DataFrame, func: Callable, schema: str, *keys: str) -> DataFrame:
     """``mapInPandas`` that carries the columns ``keys`` as strings and gives them back as they were.
 
@@ -69,5 +61,5 @@ def map_keyed(df: DataFrame, func: Callable, schema: str, *keys: str) -> DataFra
 
     kinds = dict(df.dtypes)
     carried = ", ".join(f"{c.split()[0]} string" if c.split()[0] in keys else c for c in schema.split(", "))
-    out = spread(df).withColumns({k: F.col(k).cast("string") for k in keys}).mapInPandas(filled, carried)
+    out = df.withColumns({k: F.col(k).cast("string") for k in keys}).mapInPandas(filled, carried)
     return out.withColumns({k: F.col(k).cast(kinds[k]) for k in keys})

@@ -59,8 +59,11 @@ def as_unihan(lines: DataFrame) -> DataFrame:
 
 def as_ranks(lines: DataFrame) -> DataFrame:
     """``(word, rank)``: the running index of lines over all files in order; a word's last line wins."""
+    from lexmill.operators.lexicon import numbered
+
     word = F.element_at(F.split(F.trim("line"), r"\s+"), 1)
-    return lines.select(word.alias("word"), F.col("line_no").alias("rank")).groupBy("word").agg(F.max("rank").alias("rank"))
+    ranked = numbered(lines.select("file", "line_no", word.alias("word")), ["file", "line_no"], 0, "rank")
+    return ranked.groupBy("word").agg(F.max("rank").alias("rank"))
 
 
 def as_blocks(lines: DataFrame) -> DataFrame:

@@ -29,6 +29,8 @@ def test_formats(spark):
     assert [tuple(r) for r in text.as_strokes(_lines(spark, "一 1", "bad")).collect()] == [("一", 1)]
     assert text.as_unihan(_lines(spark, "U+4E2D\tkMandarin\tzhōng", "#", "x\ty\tz")).count() == 1
     assert {tuple(r) for r in text.as_ranks(_lines(spark, "甲 1", "乙", "甲")).collect()} == {("甲", 2), ("乙", 1)}
+    two = spark.createDataFrame([("b", 0, "丙"), ("a", 0, "甲"), ("a", 1, "乙"), ("b", 1, "甲")], "file string, line_no int, line string")
+    assert {tuple(r) for r in text.as_ranks(two).collect()} == {("甲", 3), ("乙", 1), ("丙", 2)}
     blocks = text.as_blocks(_lines(spark, "a X", "b\tY", "", "c Z", " ", "")).orderBy("block").collect()
     assert [[list(x) for x in r["rows"]] for r in blocks] == [[["a", "X"], ["b", "Y"]], [["c", "Z"]]]
     assert text.read_options("; c\na=1\n b = 2\na=3\nno") == {"a": "1", "b": "2"}
@@ -41,12 +43,19 @@ def test_readings(spark):
     assert one(readings.codepoint_to_chr, "U+20000") == "𠀀"
     assert one(readings.normalize_word_zhuyin, "lüè") == "lüe"
     assert one(readings.normalize_word_zhuyin, "nǚ") == "nv"
+    # the final stands twice: only the last one loses its number
+    assert one(readings.normalize_word_zhuyin, "hànhàn") == "han4han" and one(readings.normalize_word_zhuyin, "mama") == "ma5ma"
+    assert one(readings.normalize_word_zhuyin, "bàba") == "bàba" and one(readings.normalize_word_zhuyin, "x") == "x"
 
 
 def test_pages(spark):
     page = '<script language="JavaScript">spf("shan1");</script><script language="JavaScript">x</script>'
     pages = spark.createDataFrame([("山", page), ("水", None)], "word string, html string")
     assert {r["word"]: r["reading"] for r in webreadings.char_readings(pages).collect()} == {"山": "shan", "水": ""}
+    tabs = '<span class="dicpy">a</span><DIV class="tab-page"><span class="dicpy"><b>háng</b>x</span><hr class="dichr"><span class="dicpy">no</span></DIV>'
+    tabs += "<div class='tab-page'><span class=dicpy>xíng</span></div><span class=dicpy>no</span>"
+    found = webreadings.page_readings(spark.createDataFrame([("行", tabs), ("无", None)], "word string, html string"))
+    assert {r["word"]: list(r["readings"]) for r in found.collect()} == {"行": ["háng", "xíng"], "无": []}
 
 
 def test_orders(spark):
