@@ -35,6 +35,18 @@ def test_plain_forms(rewriter, raw, plain):
     assert rewriter.plain(plain) == plain
 
 
+def test_frequent_spellings_represent_a_class():
+    known = lookalike.Frequencies()
+    for word, n in [("paper", 9), ("карта", 5), ("ニ重", 40), ("口音", 7)]:
+        known.counts[known.place(word)] += n
+    r = lookalike.Rewriter(lookalike.representatives({}), {"Latin": 2, "Cyrillic": 1}, known)
+    assert r.plain("ρapеr Рaper") == "paper Paper" and r.plain("кapтa") == "карта"
+    assert r.plain("ニ重") == "ニ重" and r.plain("ロ音") == "口音"
+    # without a known spelling a letter that is only similar stays
+    plain = lookalike.Rewriter(lookalike.representatives({}), {"Latin": 2})
+    assert plain.plain("σx ρaper") == "σx ρaper" and plain.plain("Տest ԝord Ꭺpple") == "Sest word Apple"
+
+
 def test_union_find_is_transitive():
     sets = lookalike.UnionFind()
     for a, b in [("a", "b"), ("c", "d"), ("b", "d")]:
