@@ -13,9 +13,11 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
+from itertools import compress
 
 import pandas as pd
 import regex
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,12 +27,27 @@ RUN = 50
 BLOCK_CHARS = 2_000_000
 
 _DROP = regex.compile(r"[^\p{L}\p{N}]+")
+_CLUSTER = regex.compile(r".[\p{M}\uFF9E\uFF9F\u1160-\u11FF]*", regex.S)
 _SPANS = "doc_id long, item_id long, start int, length int"
 
 
 def skeleton(text: str) -> str:
-    """Letters and digits of the text in NFKC and lower case."""
-    return _DROP.sub("", unicodedata.normalize("NFKC", text).lower())
+    """Letters and digits of the text in NFKC and lower case; a final sigma is a sigma."""
+    return _DROP.sub("", unicodedata.normalize("NFKC", text).lower()).replace("ς", "σ")
+
+
+def mapped_skeleton(text: str) -> tuple[str, list[tuple[int, int]]]:
+    """The skeleton, and of each of its characters the span of the text from which it comes.
+
+    Characters that may become one (a letter and its marks, half-width kana and
+    sound marks, parts of a syllable) are normalised together.
+    """
+    parts, where = [], []
+    for m in _CLUSTER.finditer(text):
+        s = skeleton(m[0])
+        parts.append(s)
+        where += [m.span()] * len(s)
+    return "".join(parts), where
 
 
 def _grams(items: list[tuple[int, str]], run: int) -> dict[str, list[tuple[int, int]]]:
@@ -63,9 +80,9 @@ def find_runs(text: str, items: list[tuple[int, str]], grams: dict, run: int) ->
     return [(items[k][0], a, n) for k, (a, n) in best.items()]
 
 
-def _scanner(items: list[tuple[int, str]], run: int):
+def _scanner(block: Broadcast, run: int):
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        grams = _grams(items, run)
+        items, grams = block.value
         for pdf in batches:
             out = []
             for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
@@ -93,6 +110,11 @@ def _blocks(items: DataFrame, run: int) -> Iterator[list[tuple[int, str]]]:
         yield block
 
 
+def _shared(docs: DataFrame, block: list[tuple[int, str]], run: int) -> Broadcast:
+    """A block with its n-grams, once for each executor's workers; ``BLOCK_CHARS`` bounds its size."""
+    return docs.sparkSession.sparkContext.broadcast((block, _grams(block, run)))
+
+
 def leaked_runs(docs: DataFrame, items: DataFrame, run: int = RUN) -> DataFrame:
     """``(doc_id, item_id, start, length)``: the longest common run of each pair.
 
@@ -105,7 +127,7 @@ def leaked_runs(docs: DataFrame, items: DataFrame, run: int = RUN) -> DataFrame:
     docs = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
     found = None
     for block in _blocks(items, run):
-        part = map_keyed(docs, _scanner(block, run), _SPANS, "doc_id")
+        part = map_keyed(docs, _scanner(_shared(docs, block, run), run), _SPANS, "doc_id")
         found = part if found is None else found.unionAll(part)
     if found is None:
         return docs.sparkSession.createDataFrame([], _SPANS)
@@ -113,27 +135,19 @@ def leaked_runs(docs: DataFrame, items: DataFrame, run: int = RUN) -> DataFrame:
     return found.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.start", "b.length")
 
 
-def _cutter(items: list[tuple[int, str]], run: int):
+def _cutter(block: Broadcast, run: int):
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        grams = _grams(items, run)
+        items, grams = block.value
         for pdf in batches:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "text": [remove_runs(t, items, grams, run) for t in pdf["text"]]})
 
     return cut
 
 
-def remove_runs(text: str | None, items: list[tuple[int, str]], grams: dict, run: int) -> str | None:
-    """The text without the characters of any run it shares with an item."""
-    if text is None or not find_runs(skeleton(text), items, grams, run):
-        return text
-    kept, where = [], []
-    for k, ch in enumerate(text):
-        s = skeleton(ch)
-        kept.append(s)
-        where += [k] * len(s)
-    s = "".join(kept)
+def shared_runs(s: str, items: list[tuple[int, str]], grams: dict, run: int) -> list[tuple[int, int]]:
+    """The spans of a skeleton that it shares with any item, as ``(start, end)``."""
     width, step = run // 2 + 1, run // 2
-    drop: set[int] = set()
+    out: list[tuple[int, int]] = []
     for p in range(0, len(s) - width + 1, step):
         for k, q in grams.get(s[p : p + width], ()):
             other = items[k][1]
@@ -144,13 +158,27 @@ def remove_runs(text: str | None, items: list[tuple[int, str]], grams: dict, run
             while e < len(s) and g < len(other) and s[e] == other[g]:
                 e, g = e + 1, g + 1
             if e - a >= run:
-                drop.update(range(where[a], where[e - 1] + 1))
-    return "".join(ch for k, ch in enumerate(text) if k not in drop) if drop else text
+                out.append((a, e))
+    return out
+
+
+def remove_runs(text: str | None, items: list[tuple[int, str]], grams: dict, run: int) -> str | None:
+    """The text without the characters of any run it shares with an item, until it shares none."""
+    while text is not None and len(text) and find_runs(skeleton(text), items, grams, run):
+        s, where = mapped_skeleton(text)
+        keep = bytearray(b"\1") * len(text)
+        for a, e in shared_runs(s, items, grams, run):
+            lo, hi = where[a][0], where[e - 1][1]
+            keep[lo:hi] = bytes(hi - lo)
+        if all(keep):
+            break
+        text = "".join(compress(text, keep))
+    return text
 
 
 def remove_leaks(docs: DataFrame, items: DataFrame, run: int = RUN) -> DataFrame:
     """``(doc_id, text)`` with every shared run cut out; null texts stay null."""
     out = docs.select("doc_id", "text")
     for block in _blocks(items, run):
-        out = map_keyed(out, _cutter(block, run), "doc_id long, text string", "doc_id")
+        out = map_keyed(out, _cutter(_shared(docs, block, run), run), "doc_id long, text string", "doc_id")
     return out

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from lexmill.session import shuffle_partitions, write_table
 
 BLOCK = 4096
+HELD = 512  # blocks that a task holds at once; each is 98 kB
 
 _PARTIAL = "block long, pos array<int>, occ array<long>, rec array<long>"
 _TOTAL = "term_id long, total_freq long, n_records long, n_entries long"
@@ -56,7 +57,21 @@ def global_dictionary(terms: DataFrame, col: str = "term") -> DataFrame:
     return placed.select("term", (first + F.col("mid").bitwiseAND(F.lit((1 << 33) - 1))).alias("term_id"))
 
 
+def _cells(blocks: dict[int, np.ndarray]) -> Iterator[pd.DataFrame]:
+    for b, counts in blocks.items():
+        pos = np.flatnonzero(counts[2])
+        yield pd.DataFrame(
+            {
+                "block": [b],
+                "pos": [pos.astype(np.int32)],
+                "occ": [counts[0][pos]],
+                "rec": [counts[1][pos] * (1 << 32) + counts[2][pos]],
+            }
+        )
+
+
 def _accumulate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sums of each block; of ``HELD`` blocks all are handed on, so that no dictionary is too large for a task."""
     blocks: dict[int, np.ndarray] = {}
     for pdf in batches:
         ids = pdf["term_id"].to_numpy(np.int64)
@@ -68,21 +83,16 @@ def _accumulate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in np.split(order, cuts):
             if not len(rows):
                 continue
-            counts = blocks.setdefault(int(block[rows[0]]), np.zeros((3, BLOCK), np.int64))
+            b = int(block[rows[0]])
+            if b not in blocks and len(blocks) >= HELD:
+                yield from _cells(blocks)
+                blocks = {}
+            counts = blocks.setdefault(b, np.zeros((3, BLOCK), np.int64))
             pos = ids[rows] % BLOCK
             np.add.at(counts[0], pos, freq[rows])
             np.add.at(counts[1], pos, known[rows])
             np.add.at(counts[2], pos, 1)
-    for b, counts in blocks.items():
-        pos = np.flatnonzero(counts[2])
-        yield pd.DataFrame(
-            {
-                "block": [b],
-                "pos": [pos.astype(np.int32)],
-                "occ": [counts[0][pos]],
-                "rec": [counts[1][pos] * (1 << 32) + counts[2][pos]],
-            }
-        )
+    yield from _cells(blocks)
 
 
 def _sum_block(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:

@@ -62,6 +62,24 @@ def test_packing_keeps_every_limit(items, segments):
         assert tokens[bins == b].sum() <= 64 and (bins == b).sum() <= segments and loss[bins == b].sum() <= limit
 
 
+def test_packing_ends_and_looks_below_the_largest_loss():
+    with pytest.raises(ValueError):
+        packing.pack(np.array([300, 10]), np.array([200, 5]), 4096, 64, 100)
+    bins = packing.pack(np.array([100, 100, 100]), np.array([60, 60, 10]), 4096, 64, 100)
+    assert bins.max() == 1 and sorted(np.bincount(bins)) == [1, 2] and (bins == bins[2]).sum() == 2
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.text(min_size=0, max_size=200), st.integers(0, 50), st.integers(8, 40))
+def test_pieces_keep_the_loss_limit(text, prompt, max_loss):
+    data = text.encode("utf-8", "ignore")
+    pieces = packing.byte_pieces(data, 64, prompt, max_loss)
+    assert sum(n for _, n in pieces) == len(data) + 1
+    for a, n in pieces:
+        assert n <= 64 and n - max(0, min(prompt - a, n)) <= max_loss
+        data[a : a + n].decode()
+
+
 def test_packing_is_tight():
     rng = np.random.default_rng(1)
     tokens = rng.integers(100, 2500, 4000)
@@ -117,6 +135,36 @@ def test_leaks_against_brute_force(spark):
     assert leakage.leaked_runs(df, ev.limit(0)).count() == 0
 
 
+WIDE = "ｶﾞﾗｽﾉﾊﾟﾈﾙｦﾊﾞﾗﾊﾞﾗﾆｼﾃｶﾞﾗﾝﾄﾞｳﾆｵｲﾀ" * 3
+MARKED = "e\u0301te\u0301 a\u0300 la fore\u0302t de\u0301serte pre\u0300s du cha\u0302teau ou\u0300 il e\u0301tait ne\u0301 " * 2
+
+
+@pytest.mark.parametrize("passage", [WIDE, MARKED, "Strasse İstanbul ΟΔΟΣ " * 6])
+def test_runs_are_removed_in_any_form(passage):
+    items = [(1, leakage.skeleton(passage))]
+    grams = leakage._grams(items, 50)
+    for text in (passage, f"甲{passage}乙", f"before, {passage.upper()} after"):
+        assert leakage.find_runs(leakage.skeleton(text), items, grams, 50)
+        clean = leakage.remove_runs(text, items, grams, 50)
+        assert not leakage.find_runs(leakage.skeleton(clean), items, grams, 50) and len(clean) < len(text) / 2 + 20
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text(alphabet=st.sampled_from("abΣςİﬁｶﾞﾊﾟe\u0301\u0323각각①ⅣＡ９，. "), max_size=30))
+def test_mapped_skeleton_is_the_skeleton(text):
+    s, where = leakage.mapped_skeleton(text)
+    assert s == leakage.skeleton(text) and len(where) == len(s)
+
+
+def test_block_sums_are_handed_on_at_a_bound(monkeypatch):
+    monkeypatch.setattr(termcount, "HELD", 2)
+    ids = np.arange(0, 10 * termcount.BLOCK, 1000)
+    import pandas as pd
+
+    parts = list(termcount._accumulate(iter([pd.DataFrame({"term_id": np.tile(ids, 2), "freq": 1, "in_record": 1})])))
+    assert sum(int(x) for p in parts for x in p["occ"].iloc[0]) == 2 * len(ids)
+
+
 @pytest.mark.parametrize("text,want", [("Ａ-b Ｃ９。é", "abc9é"), ("", ""), ("…！", "")])
 def test_skeleton(text, want):
     assert leakage.skeleton(text) == want
