@@ -47,6 +47,17 @@ def test_frequent_spellings_represent_a_class():
     assert plain.plain("σx ρaper") == "σx ρaper" and plain.plain("Տest ԝord Ꭺpple") == "Sest word Apple"
 
 
+def test_strings_are_counted():
+    import pandas as pd
+
+    texts = ["The paper, Paper PAPER карта", "口音 a 口音", "e\u0301te paper"]
+    parts = pd.concat(lookalike._count(["e\u0301", "é"])(iter([pd.DataFrame({"text": texts}), pd.DataFrame({"text": ["paper"]})])))
+    counts = parts[parts["member"].isna()].groupby("place")["n"].sum()
+    for string, n in [("paper", 5), ("the", 1), ("карта", 1), ("口音", 2)]:
+        assert counts[lookalike.Frequencies.place(string)] >= n
+    assert counts.sum() == 10 + 4 and parts[parts["member"] == "e\u0301"]["n"].sum() == 1
+
+
 def test_union_find_is_transitive():
     sets = lookalike.UnionFind()
     for a, b in [("a", "b"), ("c", "d"), ("b", "d")]:
