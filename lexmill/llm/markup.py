@@ -190,7 +190,7 @@ def parse(text: str) -> list[Node]:
 
 _NUMBERED = regex.compile(r"\d+[.)](?=\s)")
 _ATTRIBUTES = ["class", "id", "href", "src", "style", "alt", "color", "size", "="]
-FEATURES = [*KINDS, "known name", *_ATTRIBUTES, "closed", "density", "length", "text", "depth", "siblings", "same", "at line start", "at line end",
+FEATURES = [*KINDS, "known name", *_ATTRIBUTES, "closed", "density", "length", "text", "depth", "in code", "siblings", "same", "at line start", "at line end",
             "digits", "spaced", "spaced within", "digit first", "numbers within", "word before", "word after", "argument", "path", "money", "lines of a kind", "children"]
 
 
@@ -198,6 +198,7 @@ def features(text: str, nodes: list[Node]) -> np.ndarray:
     out = np.zeros((len(nodes), len(FEATURES)))
     at = {name: k for k, name in enumerate(FEATURES)}
     kinds: dict[str, int] = {}
+    coded = [False] * len(nodes)
     for n in nodes:
         kinds[n.kind] = kinds.get(n.kind, 0) + 1
     for k, n in enumerate(nodes):
@@ -215,6 +216,8 @@ def features(text: str, nodes: list[Node]) -> np.ndarray:
         row[at["length"]] = min(len(s), 200)
         row[at["text"]] = min(letters, 200)
         row[at["depth"]] = n.depth
+        coded[k] = n.parent >= 0 and (coded[n.parent] or nodes[n.parent].kind in _VERBATIM)
+        row[at["in code"]] = coded[k]
         siblings = nodes[n.parent].children if n.parent >= 0 else [i for i, o in enumerate(nodes) if o.parent < 0]
         row[at["siblings"]] = min(len(siblings), 20)
         row[at["same"]] = min(sum(nodes[i].kind == n.kind for i in siblings), 20)
@@ -325,7 +328,11 @@ def labelled_texts(n: int = TRAINING_TEXTS, seed: int = SEED, held_out: bool | N
 
 
 def _labels(nodes: list[Node], spans: list[tuple[int, int]]) -> list[float]:
-    return [float(n.kind != "sign" and any(a <= n.start and n.end <= e for a, e in spans)) for n in nodes]
+    """1 for what lies where markup was put, but for bare signs and for what is within code, a comment or a formula."""
+    coded = [False] * len(nodes)
+    for k, n in enumerate(nodes):
+        coded[k] = n.parent >= 0 and (coded[n.parent] or nodes[n.parent].kind in _VERBATIM)
+    return [float(not c and n.kind != "sign" and any(a <= n.start and n.end <= e for a, e in spans)) for n, c in zip(nodes, coded)]
 
 
 def fitted(held_out: bool | None = None) -> BoostedTrees:
