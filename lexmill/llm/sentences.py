@@ -13,21 +13,23 @@ from __future__ import annotations
 
 import math
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Container, Iterator
 
+import numpy as np
 import pandas as pd
 import regex
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.session import map_keyed
+from lexmill.session import map_keyed, write_table
 
-LEAST_SHARE = 2e-5  # types rarer than this share of a language's tokens are not listed
-ABBREVIATION = 0.3
+ABBREVIATION = 0.2
 STARTER = 10.0
 STARTER_RATE = 0.1  # least share of a starter's occurrences that follow a certain break
 COLLOCATION = 7.88
-REFERENCE = 20_000  # tokens to which the counts are scaled, so that the ratios mean the same at any size
+EVIDENCE = 200  # occurrences of a type that count; of more, the shares are kept
+BITS = 1 << 26  # of the filter that holds what was learned, 8 MB however much that is
 
 # Codes and names under which a language is tagged.
 LANGUAGES = {
@@ -74,30 +76,47 @@ def _type(token: str) -> str:
     return _CF.sub("", unicodedata.normalize("NFKC", token)).casefold()
 
 
-def _dunning(with_period: float, total: float, share: float) -> float:
+def _log(p: Column) -> Column:
+    return F.log(F.least(F.greatest(p, F.lit(1e-12)), F.lit(1 - 1e-12)))
+
+
+def dunning(with_period: Column, total: Column, share: Column) -> Column:
     """Log-likelihood ratio of a period following as often as it does, against by chance."""
-    log = lambda p: math.log(min(max(p, 1e-9), 1 - 1e-9))
-    null = with_period * log(share) + (total - with_period) * log(1 - share)
-    sure = with_period * log(0.99) + (total - with_period) * log(0.01)
+    null = with_period * _log(share) + (total - with_period) * _log(1 - share)
+    sure = with_period * math.log(0.99) + (total - with_period) * math.log(0.01)
     return -2 * (null - sure)
 
 
-def _association(a: float, b: float, ab: float, n: float) -> float:
+def association(a: Column, b: Column, ab: Column, n: Column) -> Column:
     """Log-likelihood ratio of two events, ``a`` and ``b`` times, together ``ab`` times of ``n``."""
 
-    def term(k: float, m: float, p: float) -> float:
-        p = min(max(p, 1e-12), 1 - 1e-12)
-        return k * math.log(p) + (m - k) * math.log(1 - p)
+    def term(k: Column, m: Column, p: Column) -> Column:
+        return k * _log(p) + (m - k) * _log(1 - p)
 
-    p, p1, p2 = b / n, ab / max(a, 1e-9), (b - ab) / max(n - a, 1e-9)
+    p, p1, p2 = b / n, ab / F.greatest(a, F.lit(1e-9)), (b - ab) / F.greatest(n - a, F.lit(1e-9))
     return 2 * (term(ab, a, p1) + term(b - ab, n - a, p2) - term(ab, a, p) - term(b - ab, n - a, p))
 
 
 class Statistics:
-    """What is known of one language: abbreviations, starters and collocations."""
+    """What is known of one language: abbreviations, starters and collocations, in anything that answers ``in``."""
+
+    def __init__(self, abbreviations: Container = frozenset(), starters: Container = frozenset(), collocations: Container = frozenset()):
+        self.abbreviations, self.starters, self.collocations = abbreviations, starters, collocations
+
+
+class Learned:
+    """A filter of ``BITS`` bits over what was learned of one kind in some languages."""
 
-    def __init__(self, abbreviations: set[str] = frozenset(), starters: set[str] = frozenset(), collocations: set = frozenset()):
-        self.abbreviations, self.starters, self.collocations = set(abbreviations), set(starters), set(collocations)
+    def __init__(self, bitmap: np.ndarray, kind: str, langs: tuple[str, ...]):
+        self.bitmap, self.kind, self.langs = bitmap, kind, langs
+
+    def __contains__(self, item: str | tuple[str, str]) -> bool:
+        text = item if isinstance(item, str) else "\x01".join(item)
+        for lang in self.langs:
+            bit = xxhash.xxh64(f"{self.kind}\x01{lang}\x01{text}".encode("utf-8", "surrogatepass"), seed=42).intdigest() & (BITS - 1)
+            if self.bitmap[bit >> 3] >> (bit & 7) & 1:
+                return True
+        return False
 
 
 def _clean(token: Column) -> Column:
@@ -108,71 +127,64 @@ def _start(token: Column) -> Column:
     return F.when(token.rlike(r"^\d"), "0").otherwise(F.regexp_replace(token, r"\p{Cf}|\.\z", ""))
 
 
-def learn(rows: DataFrame) -> dict[str, Statistics]:
-    """Statistics of every language that writes periods, from all rows ``(lang, text)``.
+CUT = ("en", "de", "fr", "es", "ru", "hi", "xx")  # languages that write periods
+
 
-    Tokens are cut and counted in the JVM. Of each language only types (and
-    pairs) of at least ``LEAST_SHARE`` of its tokens reach the driver, so their
-    number is bounded whatever the size of the collection.
+def statistics(rows: DataFrame) -> DataFrame:
+    """``(kind, lang, item)``: abbreviations ``a``, starters ``s`` and collocations ``c`` of all rows ``(lang, text)``.
+
+    Every type is tested, on the executors; nothing rare is left out.
     """
-    cut = rows.where(F.col("lang").isin("en", "de", "fr", "es", "ru", "hi", "xx"))
+    cut = rows.where(F.col("lang").isin(*CUT))
     tokens = cut.select("lang", F.regexp_extract_all("text", F.lit(_WORD), 0).alias("t"))
     single = tokens.select("lang", F.explode("t").alias("a"))
     dotted = F.endswith("a", F.lit("."))
-    types = single.groupBy("lang", _clean(F.col("a")).alias("a"), _start(F.col("a")).alias("s")).agg(F.count("*").alias("n"), F.count_if(dotted).alias("d"))
-    types = _frequent(types).toPandas()
-    out = {lang: Statistics(_abbreviations(group)) for lang, group in types.groupby("lang")}
-
-    known = F.create_map(*[x for k, v in out.items() for x in (F.lit(k), F.array(*[F.lit(w) for w in sorted(v.abbreviations)]).cast("array<string>"))]) if out else None
-    if known is not None:
-        pairs = tokens.select("lang", F.explode(F.arrays_zip(F.col("t").alias("a"), F.slice("t", 2, 1_000_000_000).alias("b"))).alias("p"))
-        pairs = pairs.select("lang", F.col("p.a").alias("a"), F.col("p.b").alias("b")).where(dotted & F.col("b").isNotNull() & ~F.col("b").rlike(r"^\p{Ll}"))
-        unsure = F.array_contains(F.try_element_at(known, F.col("lang")), _clean(F.col("a"))) | F.col("a").rlike(r"^\d")
-        ends = pairs.groupBy("lang", F.when(F.coalesce(unsure, F.lit(False)), _clean(F.col("a"))).alias("a"), _start(F.col("b")).alias("b"))
-        after = _frequent(ends.agg(F.count("*").alias("n"))).toPandas()
-        for lang, group in after.groupby("lang"):
-            _fit(out[lang], group, types[types["lang"] == lang])
-    latin = [out[k] for k in ("en", "de", "fr", "es") if k in out]
-    if latin:
-        out["xx"] = Statistics(
-            set().union(*(s.abbreviations for s in latin)), set().union(*(s.starters for s in latin)), set().union(*(s.collocations for s in latin))
-        )
-    return out
-
+    counts = single.groupBy("lang", _clean(F.col("a")).alias("a"), _start(F.col("a")).alias("s")).agg(F.count("*").alias("n"), F.count_if(dotted).alias("d"))
+    # written once, as three tables are made of it
+    counts = write_table(counts)
+    sums = counts.groupBy("lang").agg(F.sum("n").alias("total"), F.sum("d").alias("periods"))
+    types = counts.groupBy("lang", "a").agg(F.sum("n").alias("n"), F.sum("d").alias("d")).join(F.broadcast(sums), "lang")  # a row for each language
+
+    part = F.least(F.lit(1.0), EVIDENCE / F.col("n"))
+    n, d = F.col("n") * part, F.col("d") * part
+    letters = F.length(F.replace("a", F.lit("."), F.lit("")))
+    score = dunning(d, n, F.col("periods") / F.col("total")) * F.exp(-letters) * (F.regexp_count("a", F.lit(r"\.")) + 1) * F.pow(letters.cast("double"), d - n)
+    abbreviations = types.where((F.col("d") > 0) & (letters > 0) & ~F.col("a").rlike(r"^\d+$") & (score >= ABBREVIATION)).select("lang", "a")
+
+    pairs = tokens.select("lang", F.explode(F.arrays_zip(F.col("t").alias("a"), F.slice("t", 2, 1_000_000_000).alias("b"))).alias("p"))
+    pairs = pairs.select("lang", F.col("p.a").alias("a"), F.col("p.b").alias("b")).where(dotted & F.col("b").isNotNull() & ~F.col("b").rlike(r"^\p{Ll}"))
+    after = pairs.groupBy("lang", _clean(F.col("a")).alias("a"), _start(F.col("b")).alias("b")).agg(F.count("*").alias("n"))
+    after = after.join(abbreviations.withColumn("short", F.lit(True)), ["lang", "a"], "left").withColumn("unsure", F.coalesce("short", F.col("a").rlike(r"^\d")))
+    after = write_table(after.select("lang", "a", "b", "n", "unsure"))
+    often = counts.groupBy("lang", F.col("s").alias("b")).agg(F.sum("n").alias("often"))
+
+    sure = after.where("NOT unsure").groupBy("lang", "b").agg(F.sum("n").alias("n"))
+    breaks = sure.groupBy("lang").agg(F.sum("n").alias("breaks"))
+    starts = sure.join(often, ["lang", "b"]).join(F.broadcast(breaks.join(sums, "lang")), "lang")
+    ratio = association(*[F.col(c).cast("double") for c in ("breaks", "often", "n", "total")])
+    starters = starts.where((F.col("n") >= STARTER_RATE * F.col("often")) & (ratio >= STARTER)).select("lang", "b")
+
+    dots = types.select("lang", "a", "d")
+    follow = after.where("unsure").join(often, ["lang", "b"]).join(dots, ["lang", "a"]).join(F.broadcast(sums), "lang").join(starters, ["lang", "b"], "left_anti")
+    ratio = association(*[F.col(c).cast("double") for c in ("d", "often", "n", "total")])
+    collocations = follow.where(ratio >= COLLOCATION).select("lang", F.concat_ws("\x01", "a", "b").alias("item"))
+    named = lambda df, kind: df.toDF("lang", "item").select(F.lit(kind).alias("kind"), "lang", "item")
+    return named(abbreviations, "a").unionAll(named(starters, "s")).unionAll(named(collocations, "c"))
 
-def _frequent(counts: DataFrame) -> DataFrame:
-    """The counts of at least ``LEAST_SHARE`` of their language's."""
-    total = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    return counts.join(total, "lang").where(F.col("n") >= LEAST_SHARE * F.col("total"))
-
-
-def _abbreviations(types: pd.DataFrame) -> set[str]:
-    scale = REFERENCE / max(float(types["total"].iloc[0]), 1.0)
-    by_type = types.groupby("a")[["n", "d"]].sum() * scale
-    share = float(by_type["d"].sum()) / max(float(by_type["n"].sum()), 1e-9)
-    out = set()
-    for t, n, d in zip(by_type.index, by_type["n"], by_type["d"]):
-        letters = len(t.replace(".", ""))
-        if d and letters and not t.isdigit():
-            score = _dunning(d, n, share) * math.exp(-letters) * (t.count(".") + 1) * letters ** -(n - d)
-            if score >= ABBREVIATION:
-                out.add(t)
-    return out
 
+def learn(rows: DataFrame) -> dict[str, Statistics]:
+    """Statistics of every language that writes periods, from all rows ``(lang, text)``.
 
-def _fit(known: Statistics, after: pd.DataFrame, types: pd.DataFrame) -> None:
-    """Starters and collocations: what follows a certain break, and what follows an abbreviation, more than elsewhere."""
-    total = max(float(types["total"].iloc[0]), 1.0)
-    often = types.groupby("s")["n"].sum().to_dict()
-    sure = after[after["a"].isna()].groupby("b")["n"].sum()
-    breaks = float(sure.sum())
-    for b, n in sure.items():
-        if n >= STARTER_RATE * often.get(b, n) and _association(breaks, often.get(b, n), n, total) >= STARTER:
-            known.starters.add(b)
-    dotted = types.groupby("a")["d"].sum().to_dict()
-    for a, b, n in zip(after["a"], after["b"], after["n"]):
-        if isinstance(a, str) and b not in known.starters and _association(dotted.get(a, n), often.get(b, n), n, total) >= COLLOCATION:
-            known.collocations.add((a, b))
+    What was learned comes as a filter of fixed size, made on the executors in pieces of 4 kB.
+    """
+    key = F.xxhash64(F.concat_ws("\x01", "kind", "lang", "item")).bitwiseAND(F.lit(BITS - 1))
+    place = F.bitmap_construct_agg(key.bitwiseAND(F.lit(0x7FFF)))
+    bitmap = np.zeros(BITS // 8, np.uint8)
+    for r in statistics(rows).groupBy(F.shiftright(key, 15).alias("b")).agg(place.alias("bits")).collect():
+        bitmap[r["b"] << 12 : (r["b"] + 1) << 12] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    # Latin script without a tag may be any of four languages
+    of = {lang: ("en", "de", "fr", "es") if lang == "xx" else (lang,) for lang in CUT}
+    return {lang: Statistics(*(Learned(bitmap, kind, langs) for kind in "asc")) for lang, langs in of.items()}
 
 
 def _quoted(text: str) -> list[tuple[int, int]]:
