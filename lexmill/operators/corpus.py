@@ -61,8 +61,23 @@ def segmented_words(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return lines(docs, key, text).where(F.contains("line", F.lit("/"))).select("key", words).where("word <> ''").distinct()
 
 
-def ngrams(rows: DataFrame, n: int) -> DataFrame:
-    """``(gram, n)``: how often each n-gram of ``tokens`` occurs within its sentence."""
-    starts = F.sequence(F.lit(1), F.size("tokens") - (n - 1))
-    grams = F.transform(starts, lambda k: F.array_join(F.slice("tokens", k, n), " "))
-    return rows.where(F.size("tokens") >= n).select(F.explode(grams).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
+def each_token(rows: DataFrame) -> DataFrame:
+    """``token`` of every place of ``tokens``.
+
+    An inner ``explode`` would have Spark ask for the array's size in a filter
+    below, where the tokens would be made a second time.
+    """
+    return rows.select(F.explode_outer("tokens").alias("token")).where("token IS NOT NULL")
+
+
+def ngrams(rows: DataFrame, *orders: int) -> DataFrame:
+    """``(gram, order, n)``: how often each n-gram of ``tokens``, of each of the orders, occurs within its sentence; in one scan."""
+
+    def grams(tokens: Column, n: int) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.size(tokens) - n, F.lit(0)))
+        gram = lambda k: F.concat_ws(" ", *[F.get(tokens, k + j) for j in range(n)])
+        found = F.transform(starts, lambda k: F.struct(F.lit(n).alias("order"), gram(k).alias("gram")))
+        return F.when(F.size(tokens) >= n, found).otherwise(F.slice(found, 1, 0))
+
+    each = rows.select(F.explode_outer(let(F.col("tokens"), lambda t: F.concat(*[grams(t, n) for n in orders]))).alias("g"))
+    return each.where("g IS NOT NULL").groupBy("g.gram", "g.order").agg(F.count("*").alias("n"))

@@ -102,22 +102,34 @@ def words_of(tokens: list[str], tags: list[str], drop_last: bool = True) -> list
 def _best_paths(model: Model, sentences: list[list]) -> list[tuple[np.ndarray, float]]:
     """The best path and its score of each sentence; sentences of one length are decoded together."""
     out: list = [None] * len(sentences)
-    by_length: dict[int, list[int]] = {}
-    for k, tokens in enumerate(sentences):
-        by_length.setdefault(len(tokens), []).append(k)
-    for at in by_length.values():
-        paths, scores = viterbi_many(*model.scores_of_many([sentences[k] for k in at]))
-        for k, path, score in zip(at, paths, scores):
-            out[k] = (path, float(score))
+    if not all(isinstance(tokens[0], str) for tokens in sentences):  # rows of columns
+        for k, tokens in enumerate(sentences):
+            path, score, _ = viterbi(*model.scores(tokens))
+            out[k] = (path, score)
+        return out
+    emit, move = model.scores_of_batch(sentences)
+    sizes = np.array([len(s) for s in sentences])
+    starts = np.cumsum(sizes) - sizes
+    for n in np.unique(sizes):
+        at = np.flatnonzero(sizes == n)
+        places = starts[at][:, None] + np.arange(n)
+        moves = move[places] if len(move) > 1 else np.broadcast_to(move, (1, n, *move.shape[1:]))
+        paths, scores = viterbi_many(emit[places], moves)
+        for k, path, score in zip(at, paths, scores.tolist()):
+            out[k] = (path, score)
     return out
 
 
-def _tagger(model: Model, nbest: int, drop_last: bool, marginals: bool):
+def _tagger(model: Model, nbest: int, drop_last: bool, marginals: bool, columns: list[str]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ["key", "line_no", "sent_no", *columns]
+        starting = np.array([t in ("B", "S") for t in model.tags])
         for pdf in batches:
             rows = []
             pdf = pdf[pdf["tokens"].map(len) > 0]
             sentences = [list(t) for t in pdf["tokens"]]
+            if not sentences:
+                continue
             single = _best_paths(model, sentences) if nbest == 1 else [None] * len(sentences)
             for key, line_no, sent_no, tokens, one in zip(pdf["key"], pdf["line_no"], pdf["sent_no"], sentences, single):
                 paths, z = [one], None
@@ -126,21 +138,45 @@ def _tagger(model: Model, nbest: int, drop_last: bool, marginals: bool):
                     z = forward_backward(emit, move)[2]
                     paths = n_best(emit, move, nbest) if nbest > 1 else paths
                 for k, (path, score) in enumerate(paths):
-                    tags = [model.tags[t] for t in path]
-                    prob = float(np.exp(score - z)) if z is not None else None
-                    rows.append((key, line_no, sent_no, tokens, tags, words_of(tokens, tags, drop_last), score, prob, k))
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in _TAGGED.split(", ")])
+                    row = [key, line_no, sent_no]
+                    for c in columns:
+                        if c == "words":
+                            row.append(_words(tokens, starting[path], drop_last))
+                        elif c == "tags":
+                            row.append([model.tags[t] for t in path])
+                        elif c == "prob":
+                            row.append(float(np.exp(score - z)) if z is not None else None)
+                        else:
+                            row.append({"tokens": tokens, "score": score, "rank": k}[c])
+                    rows.append(row)
+            yield pd.DataFrame(rows, columns=names)
 
     return run
 
 
-def tag(sentences: DataFrame, model: Model, nbest: int = 1, drop_last: bool = True, marginals: bool = False) -> DataFrame:
+def _words(tokens: list, starts: np.ndarray, drop_last: bool) -> list[str]:
+    """``words_of`` for tags of which it is known whether they start a word."""
+    n = len(tokens) - 1 if drop_last else len(tokens)
+    if n <= 0:
+        return []
+    cuts = [0, *(np.flatnonzero(starts[1:n]) + 1).tolist(), n]
+    text = [t if isinstance(t, str) else t[0] for t in tokens]
+    return ["".join(text[a:e]) for a, e in zip(cuts, cuts[1:])]
+
+
+def tag(
+    sentences: DataFrame, model: Model, nbest: int = 1, drop_last: bool = True, marginals: bool = False, columns: list[str] | None = None
+) -> DataFrame:
     """Tags, words, score and (with ``marginals`` or several paths) probability of each sentence.
 
-    ``sentences`` has ``key, line_no, sent_no, tokens``. An empty sentence gives no row.
+    ``sentences`` has ``key, line_no, sent_no, tokens``. An empty sentence gives
+    no row. Of the results only ``columns`` are made, by default all.
     """
     rows = sentences.select("key", "line_no", "sent_no", "tokens")
-    return map_keyed(rows, _tagger(model, nbest, drop_last, marginals), _TAGGED, "key")
+    kinds = dict(c.split() for c in _TAGGED.split(", "))
+    wanted = columns or [c for c in kinds if c not in ("key", "line_no", "sent_no")]
+    schema = ", ".join(f"{c} {kinds[c]}" for c in ("key", "line_no", "sent_no", *wanted))
+    return map_keyed(rows, _tagger(model, nbest, drop_last, marginals, wanted), schema, "key")
 
 
 def _marginals(model: Model):

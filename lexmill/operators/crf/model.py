@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 
 from lexmill.operators.crf.features import Template, expand
 
@@ -38,28 +39,58 @@ class Model:
         return emit * self.cost_factor, move * self.cost_factor
 
 
-    def scores_of_many(self, sentences: list[list]) -> tuple[np.ndarray, np.ndarray]:
-        """``scores`` of sentences of one length, stacked."""
-        y, n = len(self.tags), len(sentences[0])
-        places: dict[bool, tuple[list[int], list[int]]] = {True: ([], []), False: ([], [])}
-        get, at = self.ids.get, 0
-        for tokens in sentences:
-            for i in range(n):
-                for f in expand(tokens, i, self.templates):
-                    k = get(f)
-                    if k is not None:
-                        rows, starts = places[f[0] == "U"]
-                        rows.append(at)
-                        starts.append(k)
-                at += 1
-        out = []
-        for is_unigram, width in ((True, y), (False, y * y)):
-            rows, starts = (np.array(x, np.int64) for x in places[is_unigram])
-            total = np.zeros((at, width))
-            for c in range(width):
-                total[:, c] = np.bincount(rows, self.weights[starts + c], at) if len(rows) else 0.0
-            out.append(total * self.cost_factor)
-        return out[0].reshape(-1, n, y), out[1].reshape(-1, n, y, y)
+    def scores_of_batch(self, sentences: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Emissions ``(places, tags)`` of all sentences end to end, and transitions ``(places or 1, tags, tags)``.
+
+        Tokens become numbers, so that every distinct feature of the batch is made
+        and looked up once; transitions that depend on no token are one matrix.
+        The first place of a sentence has a transition that is not used.
+        """
+        y = len(self.tags)
+        flat = [t for tokens in sentences for t in tokens]
+        code, names = pd.factorize(np.array(flat, object))
+        names = [str(n) for n in names]
+        sizes = np.array([len(s) for s in sentences], np.int64)
+        ends = np.cumsum(sizes)
+        last = np.repeat(ends, sizes)
+        first = last - np.repeat(sizes, sizes)
+        at = np.arange(len(flat))
+        emit, move = np.zeros((len(flat), y)), np.zeros((1, y, y))
+
+        def cells(row: int) -> np.ndarray:
+            """Numbers of the tokens ``row`` places on; beyond a sentence, those of names that count the distance."""
+            to = at + row
+            out = code[np.clip(to, 0, len(flat) - 1)].astype(np.int64)
+            for k in range(1, abs(row) + 1):
+                name = f"_B-{k}" if row < 0 else f"_B+{k}"
+                here = to == (first - k if row < 0 else last + k - 1)
+                if here.any():
+                    if name not in beyond:
+                        beyond[name] = len(names)
+                        names.append(name)
+                    out[here] = beyond[name]
+            return out
+
+        beyond: dict[str, int] = {}
+        for t in self.templates:
+            columns = [cells(p[0]) for p in t.pieces if not isinstance(p, str)]
+            key = np.zeros(len(flat), np.int64)
+            for c in columns:  # pairs of numbers stay small as they are numbered anew
+                key = pd.factorize(key * (len(names) + 1) + c)[0]
+            distinct, where = np.unique(key, return_index=True)
+            ids = np.full(len(distinct), -1, np.int64)
+            for j, i in enumerate(where):
+                values = iter([names[c[i]] for c in columns])
+                ids[j] = self.ids.get("".join(p if isinstance(p, str) else next(values) for p in t.pieces), -1)
+            width = y if t.is_unigram else y * y
+            rows = np.where(ids[:, None] >= 0, self.weights[np.maximum(ids, 0)[:, None] + np.arange(width)] if len(self.weights) >= width else 0.0, 0.0)
+            if t.is_unigram:
+                emit += rows[key]
+            elif len(distinct) == 1:
+                move = move + rows[0].reshape(1, y, y)
+            else:
+                move = move + rows[key].reshape(-1, y, y)
+        return emit * self.cost_factor, move * self.cost_factor
 
 
 def number_features(features: list[str], n_tags: int) -> tuple[dict[str, int], int]:

@@ -28,7 +28,7 @@ def extract_from_segmented(docs: DataFrame, known: DataFrame, freqs: DataFrame |
 
 
 def extract_from_text(docs: DataFrame, model: Model, known: DataFrame, freqs: DataFrame | None = None, threshold: int = 30000) -> DataFrame:
-    words = tag(process(docs), model).select(F.explode("words").alias("word"))
+    words = tag(process(docs), model, columns=["words"]).select(F.explode("words").alias("word"))
     return extract_words(words, known, freqs, threshold)
 
 

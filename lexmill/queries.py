@@ -70,7 +70,7 @@ def sentence_split(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def token_counts(spark: SparkSession, d: str) -> DataFrame:
-    return corpus.process(_docs(spark, d)).select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    return corpus.each_token(corpus.process(_docs(spark, d))).groupBy("token").agg(F.count("*").alias("n"))
 
 
 @query
@@ -94,13 +94,12 @@ def segmented_word_files(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def word_freq(spark: SparkSession, d: str) -> DataFrame:
-    return corpus.ngrams(corpus.process(_docs(spark, d)), 1)
+    return corpus.each_token(corpus.process(_docs(spark, d))).groupBy(F.col("token").alias("gram")).agg(F.count("*").alias("n"))
 
 
 @query
 def ngram_counts(spark: SparkSession, d: str) -> DataFrame:
-    sentences = corpus.process(_docs(spark, d))
-    return corpus.ngrams(sentences, 2).withColumn("order", F.lit(2)).unionAll(corpus.ngrams(sentences, 3).withColumn("order", F.lit(3)))
+    return corpus.ngrams(corpus.process(_docs(spark, d)), 2, 3)
 
 
 # Words
@@ -426,13 +425,13 @@ def literal_model() -> Model:
 
 @query
 def crf_viterbi(spark: SparkSession, d: str) -> DataFrame:
-    tagged = decode.tag(corpus.process(_docs(spark, d)), literal_model())
+    tagged = decode.tag(corpus.process(_docs(spark, d)), literal_model(), columns=["tags", "score"])
     return tagged.select(F.col("key").alias("doc_id"), "line_no", "sent_no", F.array_join("tags", "").alias("tags"), F.round("score", 6).alias("score"))
 
 
 @query
 def segment_words(spark: SparkSession, d: str) -> DataFrame:
-    tagged = decode.tag(corpus.process(_docs(spark, d)), literal_model())
+    tagged = decode.tag(corpus.process(_docs(spark, d)), literal_model(), columns=["words"])
     return tagged.select(F.col("key").alias("doc_id"), "line_no", "sent_no", sinks.slashed(F.col("words")).alias("words"))
 
 

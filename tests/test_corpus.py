@@ -85,6 +85,8 @@ def test_segmented_words_are_distinct_per_document(spark):
 def test_ngrams(spark, n, want):
     rows = spark.createDataFrame([(["a", "b", "a"],), ([],)], "tokens array<string>")
     assert {r["gram"]: r["n"] for r in corpus.ngrams(rows, n).collect()} == want
+    both = corpus.ngrams(rows, n, 9).collect()
+    assert {(r["gram"], r["order"]): r["n"] for r in both} == {(g, n): k for g, k in want.items()}
 
 
 def test_strip_takes_spaces_of_any_script(spark):

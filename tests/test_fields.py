@@ -39,7 +39,16 @@ def test_stacked_sentences_decode_as_single_ones():
     rng = np.random.default_rng(4)
     ids, size = model.number_features(["U1:a", "U1:_B-2", "U2:a/b", "B"], 3)
     m = model.Model(["x", "y", "z"], TEMPLATES, ids, rng.normal(size=size))
-    sentences = [list(s) for s in ("abab", "bbaa", "a", "ab", "aaaa")]
+    sentences = [list(s) for s in ("abab", "bbaa", "a", "ab", "aaaa", "abcabc")]
+    for templates in (TEMPLATES, [*TEMPLATES, features.Template("U3:%x[-2,0]|%x[2,0]"), features.Template("B2:%x[-1,0]%x[0,0]")]):
+        feats = sorted({f for t in sentences for i in range(len(t)) for f in features.expand(t, i, templates)})[::2] + ["B"]
+        ids, size = model.number_features(sorted(set(feats)), 3)
+        m = model.Model(["x", "y", "z"], templates, ids, rng.normal(size=size), 0.5)
+        emit, move = m.scores_of_batch(sentences)
+        want = [m.scores(t) for t in sentences]
+        assert np.allclose(emit, np.concatenate([e for e, _ in want]))
+        inner = np.concatenate([np.arange(len(t)) > 0 for t in sentences])
+        assert np.allclose(np.broadcast_to(move, (len(emit), 3, 3))[inner], np.concatenate([v for _, v in want])[inner])
     for (path, score), tokens in zip(decode._best_paths(m, sentences), sentences):
         want, best, _ = decode.viterbi(*m.scores(tokens))
         assert (path == want).all() and np.isclose(score, best)
