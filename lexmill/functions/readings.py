@@ -104,13 +104,3 @@ def normalize_word_zhuyin(py: Column) -> Column:
 
 def sort_readings(readings: Column) -> Column:
     return F.array_sort(readings)
-
-
-def first_readings(word: Column, table: Column) -> Column:
-    """The first reading of each character, joined; null if any character has none.
-
-    ``table`` maps a character to its first reading; punctuation has readings of its own.
-    """
-    own = F.create_map(*[F.lit(x) for kv in PUNCTUATION.items() for x in kv])
-    each = F.transform(F.split(word, ""), lambda c: F.coalesce(F.try_element_at(own, c), F.try_element_at(table, c)))
-    return F.when(~F.exists(each, lambda r: r.isNull()), F.array_join(each, "'"))

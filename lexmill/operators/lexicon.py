@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexmill.functions.readings import codepoint_to_chr, first_readings, normalize_pys, unihan_readings
+from lexmill.functions.readings import PUNCTUATION, codepoint_to_chr, normalize_pys, unihan_readings
 from lexmill.session import shuffle_partitions, write_table
 
 # Entries at the head of a numbered dictionary.
@@ -76,15 +76,29 @@ def new_words(candidates: DataFrame, existing: DataFrame) -> DataFrame:
     return candidates.select("word").distinct().join(existing.select("word").distinct(), "word", "left_anti")
 
 
-def reading_map(chars: DataFrame) -> dict[str, str]:
-    """Character to its first reading; there are as many characters as a script has, whatever the input."""
-    return {r["ch"]: r["py"] for r in chars.where("ch IS NOT NULL AND size(readings) > 0").groupBy("ch").agg(F.first(F.element_at("readings", 1)).alias("py")).collect()}
+def looked_up(rows: DataFrame, key: str, items: Column, table: DataFrame) -> DataFrame:
+    """``(key, values, n_missing)`` of each distinct ``key``: the values of its items, in order, and how many have none.
+
+    ``table`` has ``(item, value)`` with unique items; a join looks them up, so it may be of any size.
+    """
+    each = rows.select(key, items.alias("_items")).dropDuplicates([key]).select(key, F.posexplode_outer("_items").alias("_i", "item"))
+    found = each.join(table.select("item", "value"), "item", "left")
+    ordered = F.array_sort(F.collect_list(F.struct("_i", "value")))
+    return found.groupBy(key).agg(F.transform(ordered, lambda x: x["value"]).alias("values"), (F.count("*") - F.count("value")).alias("n_missing"))
+
+
+def first_readings(chars: DataFrame) -> DataFrame:
+    """``(item, value)``: each character with its first reading; punctuation has readings of its own."""
+    own = chars.sparkSession.createDataFrame(list(PUNCTUATION.items()), "item string, value string")
+    listed = chars.where("ch IS NOT NULL AND size(readings) > 0").groupBy(F.col("ch").alias("item")).agg(F.first(F.element_at("readings", 1)).alias("value"))
+    return own.unionByName(listed.where(~F.col("item").isin(*PUNCTUATION)))
 
 
 def with_readings(words: DataFrame, chars: DataFrame) -> DataFrame:
     """``words`` with ``reading`` from the characters' first readings, null where one has none."""
-    table = F.create_map(*[F.lit(x) for kv in reading_map(chars).items() for x in kv])
-    return words.withColumn("reading", first_readings(F.col("word"), table))
+    found = looked_up(words.where("word IS NOT NULL"), "word", F.split("word", ""), first_readings(chars))
+    read = found.select("word", F.when(F.col("n_missing") == 0, F.array_join("values", "'")).alias("reading"))
+    return words.join(read, "word", "left")
 
 
 def unihan_priority(rows: DataFrame) -> DataFrame:

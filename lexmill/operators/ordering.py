@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.operators.lexicon import looked_up
 
-def stroke_key(word: Column, strokes: Column) -> Column:
-    """Per character its strokes and code point; null if a character has no strokes."""
-    each = F.transform(F.split(word, ""), lambda c: F.struct(F.try_element_at(strokes, c).alias("strokes"), F.ascii(c).alias("cp")))
-    return F.when(~F.exists(each, lambda s: s["strokes"].isNull()), each)
+
+def stroke_keys(words: DataFrame, strokes: DataFrame) -> DataFrame:
+    """``(word, key)`` of the distinct words: per character its strokes and code point.
+
+    ``strokes`` has ``(ch, strokes)``; a word with a character that it lacks has no key and is left out.
+    """
+    table = strokes.select(F.col("ch").alias("item"), F.struct("strokes", F.ascii("ch").alias("cp")).alias("value"))
+    return looked_up(words.where("word IS NOT NULL"), "word", F.split("word", ""), table).where("n_missing = 0").select("word", F.col("values").alias("key"))
 
 
 def collation_keys(word: Column) -> list[Column]:
@@ -29,8 +34,11 @@ def arpa_sections(rows: DataFrame) -> DataFrame:
     return rows.select("line_no", "line", header.alias("is_header"), F.size(passed).alias("section"))
 
 
-def arpa_key(line: Column, ranks: Column) -> Column:
-    """Ranks of the fields, -1 for what has none; the last field ends in a line break and never has one."""
-    fields = F.split(line, " ")
-    size = F.size(fields)
-    return F.transform(fields, lambda f, k: F.when(k == size - 1, F.lit(-1)).otherwise(F.coalesce(F.try_element_at(ranks, f), F.lit(-1))))
+def arpa_keys(rows: DataFrame, ranks: DataFrame) -> DataFrame:
+    """``(line_no, key)``: the ranks of each line's fields, -1 for what has none.
+
+    ``ranks`` has ``(word, rank)``; the last field ends in a line break and never has one.
+    """
+    found = looked_up(rows, "line_no", F.split("line", " "), ranks.select(F.col("word").alias("item"), F.col("rank").alias("value")))
+    size = F.size("values")
+    return found.select("line_no", F.transform("values", lambda v, k: F.when(k == size - 1, F.lit(-1)).otherwise(F.coalesce(v, F.lit(-1)))).alias("key"))

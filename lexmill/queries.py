@@ -360,9 +360,8 @@ def _strokes(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def stroke_sort_rank(spark: SparkSession, d: str) -> DataFrame:
-    pairs = _strokes(spark, d).collect()
-    strokes = F.create_map(*[F.lit(x) for r in pairs for x in (r["ch"], r["strokes"])])
-    keyed = _lexicon(spark, d).where("word IS NOT NULL").select("line_no", "word", ordering.stroke_key(F.col("word"), strokes).alias("key")).where("key IS NOT NULL")
+    rows = _lexicon(spark, d).where("word IS NOT NULL").select("line_no", "word")
+    keyed = rows.join(ordering.stroke_keys(rows, _strokes(spark, d)), "word")
     return lex.numbered(keyed, ["key", "line_no"], 1, "rank").select("line_no", "word", "rank")
 
 
@@ -381,9 +380,9 @@ RANKS = ["甲", "乙", "丙", "-0.4"]
 
 @query
 def arpa_rank_sort(spark: SparkSession, d: str) -> DataFrame:
-    ranks = F.create_map(*[F.lit(x) for k, w in enumerate(RANKS) for x in (w, k)])
+    ranks = _rows(spark, [(w, k) for k, w in enumerate(RANKS)], "word string, rank int")
     rows = ordering.arpa_sections(_rows(spark, ARPA, "line_no int, line string"))
-    keyed = rows.select("line_no", "line", "section", (~F.col("is_header")).alias("body"), ordering.arpa_key(F.col("line"), ranks).alias("key"))
+    keyed = rows.select("line_no", "line", "section", (~F.col("is_header")).alias("body")).join(ordering.arpa_keys(rows, ranks), "line_no")
     return lex.numbered(keyed, ["section", "body", "key", "line_no"], 1, "place").select("line_no", "line", "section", "place")
 
 

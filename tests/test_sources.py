@@ -59,9 +59,9 @@ def test_pages(spark):
 
 
 def test_orders(spark):
-    strokes = F.create_map(F.lit("一"), F.lit(1), F.lit("山"), F.lit(3))
-    rows = spark.createDataFrame([("山",), ("一山",), ("一",), ("x",)], "w string").withColumn("k", ordering.stroke_key(F.col("w"), strokes))
-    assert [r["w"] for r in rows.where("k IS NOT NULL").orderBy("k").collect()] == ["一", "一山", "山"]
+    strokes = spark.createDataFrame([("一", 1), ("山", 3)], "ch string, strokes int")
+    words = spark.createDataFrame([("山",), ("一山",), ("一",), ("x",), ("山",), (None,), ("",)], "word string")
+    assert [r["word"] for r in ordering.stroke_keys(words, strokes).orderBy("key").collect()] == ["一", "一山", "山"]
 
 
 def test_stream_counts(spark, tmp_path):
