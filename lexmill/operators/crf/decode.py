@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lexmill.operators.crf.features import expand
 from lexmill.operators.crf.model import Model
@@ -208,6 +209,72 @@ def tag_marginals(sentences: DataFrame, model: Model) -> DataFrame:
     return map_keyed(sentences.select("key", "line_no", "sent_no", "tokens"), _marginals(model), schema, "key")
 
 
-def feature_ids(sentence: list, model: Model) -> list[list[int]]:
-    """The identifiers of each position's known features."""
-    return [[model.ids[f] for f in expand(sentence, i, model.templates) if f in model.ids] for i in range(len(sentence))]
+def _results(model: Model):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        index = {t: k for k, t in enumerate(model.tags)}
+        for pdf in batches:
+            out = []
+            for r in pdf.itertuples(index=False):
+                tokens = list(r.tokens)
+                if not tokens:
+                    continue
+                emit, move = model.scores(tokens)
+                alpha, beta, z = forward_backward(emit, move)
+                path = viterbi(emit, move)[0]
+                p = np.exp(alpha + beta - z)
+                for i, t in enumerate(path):
+                    gold = index.get(r.tags[i]) if r.tags is not None else None
+                    out.append((r.key, r.line_no, r.sent_no, i, tokens[i], model.tags[t], int(t), gold, float(p[i, t])))
+            yield pd.DataFrame(out, columns=["key", "line_no", "sent_no", "i", "token", "tag", "tag_id", "gold_id", "prob"]).astype({"gold_id": "Int32"})
+
+    return run
+
+
+def results(sentences: DataFrame, model: Model) -> DataFrame:
+    """``(key, line_no, sent_no, i, token, tag, tag_id, gold_id, prob)`` of every position.
+
+    ``gold_id`` is of the column ``tags``, where ``sentences`` has one, and null for a tag the model lacks.
+    """
+    gold = F.col("tags") if "tags" in sentences.columns else F.lit(None).cast("array<string>")
+    schema = "key long, line_no int, sent_no int, i int, token string, tag string, tag_id int, gold_id int, prob double"
+    return map_keyed(sentences.select("key", "line_no", "sent_no", "tokens", gold.alias("tags")), _results(model), schema, "key")
+
+
+def _transitions(model: Model):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for r in pdf.itertuples(index=False):
+                tokens = list(r.tokens)
+                if not tokens:
+                    continue
+                emit, move = model.scores(tokens)
+                z = forward_backward(emit, move)[2]
+                vectors = feature_vectors(tokens, model)
+                for i in range(len(tokens)):
+                    costs = [[float(-c) for c in row] for row in move[i]] if i else []
+                    out.append((r.key, r.line_no, r.sent_no, i, float(z), costs, *vectors[i]))
+            yield pd.DataFrame(out, columns=["key", "line_no", "sent_no", "i", "z", "transition_costs", "emission_vector", "transition_vector"])
+
+    return run
+
+
+def transitions(sentences: DataFrame, model: Model) -> DataFrame:
+    """``(key, line_no, sent_no, i, z, transition_costs, emission_vector, transition_vector)`` of every position.
+
+    ``z`` is the logarithm of the sum over all paths, ``transition_costs`` has a
+    row per tag before and a cost per tag here, and the vectors are the
+    identifiers of the known features; of the first position the costs and the
+    transition vector are empty.
+    """
+    schema = "key long, line_no int, sent_no int, i int, z double, transition_costs array<array<double>>, emission_vector array<int>, transition_vector array<int>"
+    return map_keyed(sentences.select("key", "line_no", "sent_no", "tokens"), _transitions(model), schema, "key")
+
+
+def feature_vectors(sentence: list, model: Model) -> list[tuple[list[int], list[int]]]:
+    """The identifiers of each position's known features, of one tag and of pairs of tags."""
+    out = []
+    for i in range(len(sentence)):
+        found = [(f[0], model.ids[f]) for f in expand(sentence, i, model.templates) if f in model.ids]
+        out.append(([k for kind, k in found if kind == "U"], [k for kind, k in found if kind != "U"]))
+    return out

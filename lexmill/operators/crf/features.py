@@ -86,7 +86,7 @@ def gold(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     return pairs.select("key", "line_no", F.col("x.c").alias("tokens"), F.col("x.t").alias("tags"))
 
 
-def positions(sentences: DataFrame) -> DataFrame:
+def positions(sentences: DataFrame, templates: list[str] = TEMPLATES) -> DataFrame:
     """``(key, line_no, i, features)`` of every position, by expressions alone.
 
     The features are made within the sentence's row, so its tokens are not
@@ -99,19 +99,24 @@ def positions(sentences: DataFrame) -> DataFrame:
         return F.when(place < 0, before).when(place >= n, after).otherwise(F.try_element_at(tokens, place + 1))
 
     def expanded(tokens: Column, i: Column) -> Column:
-        found = [F.concat(*[F.lit(p) if isinstance(p, str) else at(tokens, i, p[0]) for p in Template(t).pieces]) for t in TEMPLATES[:-1]]
-        return F.array_compact(F.array(*found, F.when(i > 0, F.lit("B"))))
+        found = []
+        for t in map(Template, templates):
+            feature = F.concat(*[F.lit(p) if isinstance(p, str) else at(tokens, i, p[0]) for p in t.pieces])
+            found.append(feature if t.is_unigram else F.when(i > 0, feature))
+        return F.array_compact(F.array(*found))
 
     def every(tokens: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.size(tokens) - 1), lambda i: expanded(tokens, i))
+        places = F.when(F.size(tokens) > 0, F.sequence(F.lit(0), F.size(tokens) - 1))
+        return F.transform(places, lambda i: expanded(tokens, i))
 
-    rows = sentences.where(F.size("tokens") > 0)
-    return rows.select("key", "line_no", F.posexplode(let(F.col("tokens"), every)).alias("i", "features"))
+    each = sentences.select("key", "line_no", F.posexplode_outer(let(F.col("tokens"), every)).alias("i", "features"))
+    return each.where("i IS NOT NULL")
 
 
-def feature_counts(sentences: DataFrame, least: int = 1) -> DataFrame:
+def feature_counts(sentences: DataFrame, least: int = 1, templates: list[str] = TEMPLATES) -> DataFrame:
     """``(feature, n)`` of the features that occur at least ``least`` times."""
-    return positions(sentences).select(F.explode("features").alias("feature")).groupBy("feature").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    each = positions(sentences, templates).select(F.explode("features").alias("feature"))
+    return each.groupBy("feature").agg(F.count("*").alias("n")).where(F.col("n") >= least)
 
 
 def tag_set(sentences: DataFrame) -> DataFrame:

@@ -20,6 +20,13 @@ class Model:
     weights: np.ndarray
     cost_factor: float = 1.0
 
+    def __post_init__(self):
+        if not self.cost_factor > 0:
+            raise ValueError("cost factor must be positive")
+
+    def with_cost_factor(self, factor: float) -> Model:
+        return Model(self.tags, self.templates, self.ids, self.weights, factor)
+
     def scores(self, tokens: list) -> tuple[np.ndarray, np.ndarray]:
         """Emissions ``(length, tags)`` and transitions ``(length, tags, tags)`` of a sentence.
 

@@ -2,6 +2,11 @@
 
 Every round the gradient is summed over the partitions of a persisted table of
 sentences and only the sums visit the driver; they have one number per weight.
+
+MIRA bounds the sum of a sentence's steps by ``c``, passes over a sentence that was
+right ``shrink`` times in a row, and ends after two rounds without a violated
+margin. These numbers belong to the sentence: they are columns of the table, which
+is written anew every round.
 """
 
 from __future__ import annotations
@@ -16,6 +21,7 @@ from pyspark.sql import functions as F
 from lexmill.operators.crf.decode import forward_backward, path_score, viterbi
 from lexmill.operators.crf.features import TEMPLATES, Template, expand, feature_counts
 from lexmill.operators.crf.model import Model, number_features
+from lexmill.session import write_table
 
 MAX_FEATURES = 5_000_000  # a model beyond this is not broadcast; raise ``least`` or this bound
 
@@ -55,7 +61,7 @@ def sentence_gradient(w: np.ndarray, uni, bi, gold: np.ndarray, y: int, grad: np
     return z - path_score(emit, move, gold), int((path != gold).sum())
 
 
-def _partials(model: Model, mira: bool):
+def _partials(model: Model):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         y, w = len(model.tags), model.weights.copy()
         index = {t: k for k, t in enumerate(model.tags)}
@@ -64,56 +70,114 @@ def _partials(model: Model, mira: bool):
             for tokens, tags in zip(pdf["tokens"], pdf["tags"]):
                 gold = np.array([index[t] for t in tags])
                 uni, bi = _prepare(model, list(tokens))
-                if mira:
-                    bad = mira_step(w, uni, bi, gold, y)
-                else:
-                    part, bad = sentence_gradient(w, uni, bi, gold, y, grad)
-                    loss += part
+                part, bad = sentence_gradient(w, uni, bi, gold, y, grad)
+                loss += part
                 wrong, wrong_sentences = wrong + bad, wrong_sentences + (bad > 0)
                 tokens_seen, sentences = tokens_seen + len(gold), sentences + 1
         if sentences:
-            total = (w * sentences if mira else grad)
-            at = np.flatnonzero(total)
+            at = np.flatnonzero(grad)
             yield pd.DataFrame(
-                {"at": [at], "value": [total[at]], "loss": [loss], "wrong": [wrong], "wrong_s": [wrong_sentences], "tokens": [tokens_seen], "sents": [sentences]}
+                {"at": [at], "value": [grad[at]], "loss": [loss], "wrong": [wrong], "wrong_s": [wrong_sentences], "tokens": [tokens_seen], "sents": [sentences]}
             )
 
     return run
 
 
-def mira_step(w: np.ndarray, uni, bi, gold: np.ndarray, y: int) -> int:
-    """The least change of ``w`` that prefers the gold path to the best one by its number of errors."""
+def mira_step(w: np.ndarray, uni, bi, gold: np.ndarray, y: int, room: float = 1.0) -> tuple[int, float, float]:
+    """The least change of ``w`` that prefers the gold path to the best one by its number of errors, no longer than ``room``.
+
+    Returns the number of errors, the length of the step, and by how much the
+    margin was violated if the step was not cut short.
+    """
     emit, move = _lattice(w, uni, bi, y)
     path, score, _ = viterbi(emit, move)
     wrong = int((path != gold).sum())
-    if wrong:
-        diff: dict[int, float] = {}
-        for i in range(len(gold)):
-            for u in uni[i]:
-                diff[u + gold[i]] = diff.get(u + gold[i], 0) + 1
-                diff[u + path[i]] = diff.get(u + path[i], 0) - 1
-            if i:
-                for b in bi[i]:
-                    g, p = b + gold[i - 1] * y + gold[i], b + path[i - 1] * y + path[i]
-                    diff[g] = diff.get(g, 0) + 1
-                    diff[p] = diff.get(p, 0) - 1
-        norm = sum(v * v for v in diff.values())
-        if norm:
-            step = min(1.0, max(0.0, (wrong - path_score(emit, move, gold) + score) / norm))
-            for k, v in diff.items():
-                w[k] += step * v
-    return wrong
-
-
-def _sum(sentences: DataFrame, model: Model, mira: bool = False) -> tuple[np.ndarray, dict]:
+    if not wrong:
+        return 0, 0.0, 0.0
+    diff: dict[int, float] = {}
+
+    def add(k: int, by: int) -> None:
+        diff[k] = diff.get(k, 0) + by
+
+    for i in range(len(gold)):
+        for u in uni[i]:
+            add(u + gold[i], 1)
+            add(u + path[i], -1)
+        for b in bi[i] if i else ():
+            add(b + gold[i - 1] * y + gold[i], 1)
+            add(b + path[i - 1] * y + path[i], -1)
+    norm = sum(v * v for v in diff.values())
+    if not norm:
+        return wrong, 0.0, 0.0
+    margin = wrong - path_score(emit, move, gold) + score
+    full = max(0.0, margin / norm)
+    step = min(full, room)
+    for k, v in diff.items():
+        w[k] += step * v
+    return wrong, step, margin if full <= room else 0.0
+
+
+_MIRA = "tokens array<string>, tags array<string>, used double, right int, at array<long>, value array<double>, wrong long, wrong_s long, n_tokens long, sents long, active long, kkt double"
+
+
+def _mira_pass(model: Model, c: float, shrink: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        y, w = len(model.tags), model.weights.copy()
+        index = {t: k for k, t in enumerate(model.tags)}
+        wrong, wrong_sentences, tokens_seen, sentences, active, kkt = 0, 0, 0, 0, 0, 0.0
+        empty = {"at": None, "value": None, "wrong": 0, "wrong_s": 0, "n_tokens": 0, "sents": 0, "active": 0, "kkt": 0.0}
+        for pdf in batches:
+            used, right = pdf["used"].to_numpy(float).copy(), pdf["right"].to_numpy(np.int32).copy()
+            for k, (tokens, tags) in enumerate(zip(pdf["tokens"], pdf["tags"])):
+                tokens_seen, sentences = tokens_seen + len(tags), sentences + 1
+                if right[k] >= shrink:
+                    continue
+                gold = np.array([index[t] for t in tags])
+                bad, step, violated = mira_step(w, *_prepare(model, list(tokens)), gold, y, c - used[k])
+                right[k], used[k] = (right[k] + 1 if not bad else 0), used[k] + step
+                wrong, wrong_sentences, active, kkt = wrong + bad, wrong_sentences + (bad > 0), active + 1, max(kkt, violated)
+            yield pdf[["tokens", "tags"]].assign(used=used, right=right, **empty)
+        if sentences:
+            total = w * sentences
+            at = np.flatnonzero(total)
+            counts = {"wrong": [wrong], "wrong_s": [wrong_sentences], "n_tokens": [tokens_seen], "sents": [sentences], "active": [active], "kkt": [kkt]}
+            yield pd.DataFrame({"tokens": [None], "tags": [None], "used": [0.0], "right": [0], "at": [at], "value": [total[at]], **counts})
+
+    return run
+
+
+def _mira(data: DataFrame, model: Model, course: list, c: float, shrink: int, rounds: int) -> None:
+    table, calm, order = data.withColumns({"used": F.lit(0.0), "right": F.lit(0)}), 0, F.xxhash64("tokens", "tags")
+    for k in range(rounds):
+        done = write_table(table.mapInPandas(_mira_pass(model, c, shrink), _MIRA))
+        parts = done.where("tokens IS NULL")
+        stats = parts.agg(*[F.sum(x).alias(x) for x in ("wrong", "wrong_s", "sents", "active")], F.sum("n_tokens").alias("tokens"), F.max("kkt").alias("kkt")).first().asDict()
+        stats = {name: n or 0 for name, n in stats.items()}
+        model.weights = _cells(parts, len(model.weights)) / max(1, stats["sents"])
+        course.append(_step(k, stats, float(model.weights @ model.weights), model))
+        calm = calm + 1 if stats["kkt"] <= 0 else 0
+        if calm == 2 or not stats["sents"]:
+            break
+        # the same partitions every round; after one without a violation all sentences are looked at again
+        kept = done.where("tokens IS NOT NULL").select("tokens", "tags", "used", (F.lit(0) if calm else F.col("right")).alias("right"))
+        table = kept.repartition(order).sortWithinPartitions(order)
+
+
+def _cells(parts: DataFrame, size: int) -> np.ndarray:
+    """The sum of the parts' numbers, one per weight."""
+    cells = parts.select(F.explode(F.arrays_zip("at", "value")).alias("c")).groupBy("c.at").agg(F.sum("c.value").alias("v")).toPandas()
+    out = np.zeros(size)
+    out[cells["at"].to_numpy(np.int64)] = cells["v"].to_numpy()
+    return out
+
+
+def _sum(sentences: DataFrame, model: Model) -> tuple[np.ndarray, dict]:
     schema = "at array<long>, value array<double>, loss double, wrong long, wrong_s long, tokens long, sents long"
-    parts = sentences.mapInPandas(_partials(model, mira), schema).persist()
+    parts = sentences.mapInPandas(_partials(model), schema).persist()
     stats = parts.agg(*[F.sum(c).alias(c) for c in ("loss", "wrong", "wrong_s", "tokens", "sents")]).first().asDict()
-    cells = parts.select(F.explode(F.arrays_zip("at", "value")).alias("c")).groupBy("c.at").agg(F.sum("c.value").alias("v")).toPandas()
+    out = _cells(parts, len(model.weights))
     parts.unpersist()
-    out = np.zeros_like(model.weights)
-    out[cells["at"].to_numpy(np.int64)] = cells["v"].to_numpy()
-    return out, stats
+    return out, {name: n or 0 for name, n in stats.items()}
 
 
 class _Memory:
@@ -139,51 +203,94 @@ class _Memory:
 
 
 def train(
-    sentences: DataFrame, algorithm: str = "crf-l2", least: int = 1, c: float = 1.0, eta: float = 1e-4, rounds: int = 100, templates: list[str] | None = None
+    sentences: DataFrame,
+    algorithm: str = "crf-l2",
+    least: int = 1,
+    c: float = 1.0,
+    eta: float = 1e-4,
+    rounds: int = 100,
+    templates: list[str] | None = None,
+    shrink: int = 20,
 ) -> tuple[Model, list[dict]]:
     """A model of sentences ``(tokens, tags)`` and the course of its training.
 
     ``algorithm``: ``crf-l2``, ``crf-l1`` or ``mira``. It stops when the objective changes by less
-    than ``eta`` of itself three times in a row (MIRA: when nothing is wrong), or after ``rounds``.
+    than ``eta`` of itself three times in a row (MIRA: after two rounds without a violated margin),
+    or after ``rounds``.
     """
     if algorithm not in ("crf-l2", "crf-l1", "mira"):
         raise ValueError(f"unknown algorithm: {algorithm}")
     used = [Template(t) for t in templates or TEMPLATES]
     # in the order of a key, so that every run sees the same partitions
-    data = sentences.repartition(F.xxhash64("tokens")).sortWithinPartitions(F.xxhash64("tokens")).select("tokens", "tags").persist()
+    order = F.xxhash64("tokens", "tags")
+    data = sentences.select("tokens", "tags").repartition(order).sortWithinPartitions(order).persist()
     tags = sorted(r["t"] for r in data.select(F.explode("tags").alias("t")).distinct().collect())
-    if templates:
-        feats = data.rdd.flatMap(lambda r: {f for i in range(len(r.tokens)) for f in expand(r.tokens, i, used)}).distinct().collect()
-    else:
-        keyed = data.select(F.monotonically_increasing_id().alias("key"), F.lit(0).alias("line_no"), "tokens")
-        counts = feature_counts(keyed, least)
-        feats = [r["feature"] for r in counts.select("feature").limit(MAX_FEATURES + 1).collect()]
+    keyed = data.select(F.monotonically_increasing_id().alias("key"), F.lit(0).alias("line_no"), "tokens")
+    counts = feature_counts(keyed, least, [t.text for t in used])
+    feats = [r["feature"] for r in counts.select("feature").limit(MAX_FEATURES + 1).collect()]
     if len(feats) > MAX_FEATURES:
         raise ValueError(f"more than {MAX_FEATURES} features occur {least} times")
     ids, size = number_features(feats, len(tags))
     model, course = Model(tags, used, ids, np.zeros(size)), []
     if algorithm == "mira":
-        for k in range(rounds):
-            total, stats = _sum(data, model, mira=True)
-            model.weights = total / max(1, stats["sents"])
-            course.append(_step(k, stats, float(stats["wrong"])))
-            if not stats["wrong"]:
-                break
+        _mira(data, model, course, c, shrink, rounds)
     else:
         _quasi_newton(data, model, course, algorithm == "crf-l1", c, eta, rounds)
     data.unpersist()
     return model, course
 
 
-def _step(k: int, stats: dict, objective: float) -> dict:
+def _step(k: int, stats: dict, objective: float, model: Model) -> dict:
     return {
         "iteration": k,
         "objective": objective,
         "token_error": stats["wrong"] / max(1, stats["tokens"]),
         "sentence_error": stats["wrong_s"] / max(1, stats["sents"]),
+        "n_active": int(np.count_nonzero(model.weights)),
     }
 
 
+def _cubic(a: float, fa: float, da: float, b: float, fb: float, db: float) -> float:
+    """Where the cubic through two points with their slopes is least; the middle where it has no least point between them."""
+    t = da + db - 3 * (fa - fb) / (a - b)
+    under = t * t - da * db
+    middle = (a + b) / 2
+    if under < 0:
+        return middle
+    root = np.sign(b - a) * np.sqrt(under)
+    low = db - da + 2 * root
+    x = b - (b - a) * (db + root - t) / low if low else middle
+    near, far = sorted((a, b))
+    return x if near + 0.05 * (far - near) <= x <= far - 0.05 * (far - near) else middle
+
+
+def wolfe_step(along, value: float, slope: float, first: float = 1.0, decrease: float = 1e-4, curvature: float = 0.9, tries: int = 20):
+    """A step with a sufficient decrease and a slope of at most ``curvature`` of the first: bracketed, then cut by cubics.
+
+    ``along`` returns of a step ``(value, slope, what belongs to it)``; so does
+    this, the step in front, and None if no step of ``tries`` decreases the value.
+    """
+    low = (0.0, value, slope, None)
+    high = None
+    step, best = first, None
+    for _ in range(tries):
+        f, d, what = along(step)
+        if f <= value + decrease * step * slope and (best is None or f < best[1]):
+            best = (step, f, d, what)
+        if f > value + decrease * step * slope or (low[3] is not None and f >= low[1]):
+            high = (step, f, d)
+        elif abs(d) <= -curvature * slope:
+            return step, f, d, what
+        else:
+            if high is None and d >= 0 or high is not None and d * (high[0] - low[0]) >= 0:
+                high = low[:3]
+            low = (step, f, d, what)
+        step = 4 * step if high is None else _cubic(*low[:3], *high)
+        if high is not None and abs(high[0] - low[0]) < 1e-12 * max(1.0, low[0]):
+            break
+    return best
+
+
 def _quasi_newton(data: DataFrame, model: Model, course: list, l1: bool, c: float, eta: float, rounds: int) -> None:
     def measure(w: np.ndarray) -> tuple[float, np.ndarray, dict]:
         model.weights = w
@@ -199,9 +306,28 @@ def _quasi_newton(data: DataFrame, model: Model, course: list, l1: bool, c: floa
         up, down = grad + 1 / c, grad - 1 / c
         return np.where(w > 0, up, np.where(w < 0, down, np.where(up < 0, up, np.where(down > 0, down, 0.0))))
 
+    def projected(w: np.ndarray, d: np.ndarray, slope: np.ndarray, value: float, step: float):
+        """A step with a sufficient decrease that stays in the orthant of the start."""
+        sign = np.where(w != 0, np.sign(w), -np.sign(slope))
+        while step > 1e-12:
+            new = np.where((w + step * d) * sign > 0, w + step * d, 0.0)
+            f, grad, stats = measure(new)
+            if f <= value + 1e-4 * (slope @ (new - w)):
+                return f, new, grad, stats
+            step /= 2
+        return None
+
+    def straight(w: np.ndarray, d: np.ndarray, slope: np.ndarray, value: float, step: float):
+        def along(t: float):
+            f, grad, stats = measure(w + t * d)
+            return f, float(grad @ d), (grad, stats)
+
+        found = wolfe_step(along, value, float(slope @ d), step)
+        return found and (found[1], w + found[0] * d, *found[3])
+
     w, memory, calm = model.weights, _Memory(), 0
     value, grad, stats = measure(w)
-    course.append(_step(0, stats, value))
+    course.append(_step(0, stats, value, model))
     for k in range(1, rounds):
         slope = pseudo(w, grad)
         d = memory.direction(slope)
@@ -210,22 +336,15 @@ def _quasi_newton(data: DataFrame, model: Model, course: list, l1: bool, c: floa
         if d @ slope >= 0:
             d = -slope
         step = 1.0 if memory.s else 1.0 / max(1.0, float(np.sqrt(slope @ slope)))
-        for _ in range(20):
-            new = w + step * d
-            if l1:  # stay in the orthant of the start
-                sign = np.where(w != 0, np.sign(w), -np.sign(slope))
-                new = np.where(new * sign > 0, new, 0.0)
-            new_value, new_grad, stats = measure(new)
-            if new_value <= value + 1e-4 * (slope @ (new - w)):
-                break
-            step /= 2
-        else:
-            model.weights = w
-            break
+        found = (projected if l1 else straight)(w, d, slope, value, step)
+        if not found:
+            break  # nothing decreases any more
+        new_value, new, new_grad, stats = found
         memory.push(new - w, new_grad - grad)
         change = abs(value - new_value) / max(abs(value), 1e-12)
         w, value, grad = new, new_value, new_grad
-        course.append(_step(k, stats, value))
+        model.weights = w
+        course.append(_step(k, stats, value, model))
         calm = calm + 1 if change < eta else 0
         if calm >= 3:
             break

@@ -16,7 +16,13 @@ def is_stop_word(word: Column, prefixes: str = PREFIXES, suffixes: str = SUFFIXE
     return F.substring(word, 1, 1).isin(*prefixes) | F.right(word, F.lit(1)).isin(*suffixes)
 
 
-def killed_by(word: Column) -> Column:
+def affix_lists(affixes: DataFrame) -> tuple[str, str]:
+    """Prefixes and suffixes of a table ``(affix, flag)``; there are as many as a list of stop words has."""
+    rows = [(r["affix"], r["flag"]) for r in affixes.where("length(affix) = 1").distinct().collect()]
+    return "".join(sorted(a for a, f in rows if f == 0)), "".join(sorted(a for a, f in rows if f == 1))
+
+
+def killed_by(word: Column, prefixes: str = PREFIXES, suffixes: str = SUFFIXES) -> Column:
     """The first filter that kills the word, null if none does; the filters run cheapest first."""
     first, last = F.substring(word, 1, 1), F.right(word, F.lit(1))
     return (
@@ -24,7 +30,7 @@ def killed_by(word: Column) -> Column:
         .when(~is_zh(word), "is_not_chinese_word")
         .when(is_zh_number(first) & is_zh_number(last), "is_number")
         .when((F.length(word) == 2) & (first == last), "is_AA")
-        .when(is_stop_word(word), "is_stop_word")
+        .when(is_stop_word(word, prefixes, suffixes), "is_stop_word")
     )
 
 

@@ -7,7 +7,10 @@ from lexmill.operators import lexicon as lex
 from lexmill.operators.corpus import _OTHER, _OTHER_OR_END, SENTENCE
 from lexmill.operators.crf.features import TEMPLATES, Template
 from lexmill.operators.wordfilter import PREFIXES, SUFFIXES
-from lexmill.queries import ARPA, CEDICT, DICTIONARY_PAGES, KEEP_ABOVE, PAGES, PINYIN, RANKS, TAGS, UNIHAN, ZHUYIN
+from lexmill.queries import (
+    AFFIX_LINES, ARPA, BLOCK_LINES, CEDICT, DICTIONARY_PAGES, FIELD_LINES, KEEP_ABOVE, LEXICON_LINES, PAGES, PINYIN, RANK_LINES, RANKS, STROKE_LINES, TAGS, UNIHAN, UNIHAN_LINES,
+    ZHUYIN,
+)
 
 
 # Accented letters and their plain ones, readings of punctuation.
@@ -159,6 +162,34 @@ best AS (
   FROM paths WHERE i = len(tokens))"""
 
 
+def _marginals() -> str:
+    """CTEs ``fwd`` and ``bwd``: logarithms of the sums over all beginnings that end in a tag, and over all endings that follow it."""
+    special = _set("的了在是一不，。！？、")
+
+    def emit(t: int, at: str) -> str:
+        return f"CASE WHEN tokens[{at}] IN {special} THEN {(-1.0, -1.0, -2.0, 2.0)[t]} ELSE 0.0 END"
+
+    def total(terms: list[str]) -> str:
+        top = f"greatest({', '.join(terms)})"
+        return f"{top} + ln({' + '.join(f'exp({x} - {top})' for x in terms)})"
+
+    first = ", ".join(f"CAST({emit(t, '1')} AS DOUBLE)" for t in range(4))
+    on = ", ".join(f"CAST({total([f'(a[{u + 1}] + {_MOVES[u][t]})' for u in range(4)])} + {emit(t, 'i + 1')} AS DOUBLE)" for t in range(4))
+    back = ", ".join(f"CAST({total([f'(b[{t + 1}] + {_MOVES[u][t]} + {emit(t, chr(105))})' for t in range(4)])} AS DOUBLE)" for u in range(4))
+    z = total([f"a[{t}]" for t in range(1, 5)])
+    return f"""fwd AS (
+  SELECT doc_id, line_no, sent_no, tokens, 1 AS i, [{first}] AS a FROM tokens WHERE len(tokens) > 0
+  UNION ALL SELECT doc_id, line_no, sent_no, tokens, i + 1, [{on}] FROM fwd WHERE i < len(tokens)),
+bwd AS (
+  SELECT doc_id, line_no, sent_no, tokens, len(tokens) AS i, [CAST(0 AS DOUBLE), 0, 0, 0] AS b FROM tokens WHERE len(tokens) > 0
+  UNION ALL SELECT doc_id, line_no, sent_no, tokens, i - 1, [{back}] FROM bwd WHERE i > 1),
+whole AS (SELECT doc_id, line_no, sent_no, {z} AS z FROM fwd WHERE i = len(tokens)),
+probs AS (
+  SELECT f.tokens[f.i] AS token, [exp(f.a[t] + b.b[t] - z) for t in [1, 2, 3, 4]] AS p
+  FROM fwd f JOIN bwd b ON f.doc_id = b.doc_id AND f.line_no = b.line_no AND f.sent_no = b.sent_no AND f.i = b.i
+  JOIN whole w ON f.doc_id = w.doc_id AND f.line_no = w.line_no AND f.sent_no = w.sent_no)"""
+
+
 def _grams(n: int) -> str:
     return (
         f"SELECT array_to_string(tokens[i:i + {n - 1}], ' ') AS gram, count(*) AS n, {n} AS \"order\" "
@@ -259,6 +290,12 @@ ORACLES = {
     "crf_tagset": f"""WITH {_GOLD}, used AS (SELECT DISTINCT unnest(tags) AS tag FROM letters)
       SELECT tag, CAST(row_number() OVER (ORDER BY tag) - 1 AS INTEGER) AS tag_id FROM used""",
     "crf_viterbi": f"WITH RECURSIVE {_TOKENS}, {_paths()} SELECT doc_id, line_no, sent_no, tags, round(score, 6) AS score FROM best",
+    "crf_marginals": f"""WITH RECURSIVE {_TOKENS}, {_marginals()}
+      SELECT token, tag, round(sum(p[k]), 3) AS expected, count(*) AS n FROM probs, (VALUES (1, 'B'), (2, 'E'), (3, 'M'), (4, 'S')) AS t(k, tag) GROUP BY token, tag""",
+    "crf_results": f"""WITH RECURSIVE {_GOLD}, tokens AS (SELECT doc_id, line_no, 0 AS sent_no, tokens FROM letters), {_paths()}
+      SELECT CAST(list_position(['B', 'E', 'M', 'S'], best.tags[i]) - 1 AS INTEGER) AS tag_id, CAST(list_position(['B', 'E', 'M', 'S'], g.tags[i]) - 1 AS INTEGER) AS gold_id, count(*) AS n
+      FROM best JOIN letters g USING (doc_id, line_no), unnest(range(1, len(g.tags) + 1)) AS t(i) GROUP BY 1, 2""",
+    "crf_model_shape": "SELECT 4 AS ysize, 2 AS n_templates, 12 AS dsize, 60 AS maxid, 60 AS n_active, CAST(1 AS DOUBLE) AS cost_factor",
     "segment_words": f"""WITH RECURSIVE {_TOKENS}, {_paths()} SELECT doc_id, line_no, sent_no,
       coalesce(array_to_string(list_transform(range(1, len(tokens)), lambda k: CASE WHEN k > 1 AND tags[k] IN ('B', 'S') THEN '/' ELSE '' END || tokens[k]), ''), '') AS words
       FROM best""",
@@ -267,6 +304,32 @@ ORACLES = {
       SELECT word, row_number() OVER (ORDER BY k NULLS LAST, word) + {lex.FIRST_ID - 1} AS id,
         coalesce(array_to_string(list_transform(readings, lambda r: array_to_string(list_transform(string_split(r, ''''), lambda p: {_normal('p')}), '''')), ' '), '') AS readings
       FROM body UNION ALL SELECT word, id, '' FROM head""",
+    "lexicon_lines": f"""WITH {_values(LEXICON_LINES, 'lines', 'line_no, line')},
+      f AS (SELECT line_no, regexp_split_to_array(trim(line), '\\s+') AS f FROM lines WHERE trim(line) <> '')
+      SELECT line_no, f[1] AS word, array_to_string(f[2:len(f) - 1], ' ') AS readings, TRY_CAST(f[len(f)] AS BIGINT) AS freq FROM f""",
+    "affix_lines": f"""WITH {_values(AFFIX_LINES, 'lines', 'line_no, line')},
+      f AS (SELECT regexp_split_to_array(trim(line), '\\s+') AS f FROM lines WHERE trim(line) <> '' AND NOT starts_with(line, '#')),
+      affixes AS (SELECT f[1] AS affix, TRY_CAST(f[2] AS INTEGER) AS flag FROM f),
+      {_STORE}
+      SELECT DISTINCT word FROM store, affixes WHERE flag = 1 AND right(word, 1) = affix OR flag = 0 AND left(word, 1) = affix""",
+    "stroke_lines": f"""WITH {_values(STROKE_LINES, 'lines', 'line_no, line')}
+      SELECT split_part(trim(line), ' ', 1) AS ch, TRY_CAST(split_part(trim(line), ' ', 2) AS INTEGER) AS strokes FROM lines WHERE len(string_split(trim(line), ' ')) = 2""",
+    "unihan_lines": f"""WITH {_values(UNIHAN_LINES, 'lines', 'line_no, line')}
+      SELECT line_no, split_part(line, chr(9), 1) AS cp, split_part(line, chr(9), 2) AS prop, split_part(line, chr(9), 3) AS value FROM lines
+      WHERE regexp_matches(line, '^U\\+[0-9A-F]+\t[^\t]*\t[^\t]*$')""",
+    "rank_lines": f"""WITH {_values(RANK_LINES, 'lines', 'file, line_no, line')},
+      numbered AS (SELECT split_part(trim(line), ' ', 1) AS word, row_number() OVER (ORDER BY file, line_no) - 1 AS rank FROM lines)
+      SELECT word, max(rank) AS rank FROM numbered GROUP BY word""",
+    "token_blocks": f"""WITH {_values(BLOCK_LINES, 'lines', 'line_no, line')},
+      marked AS (SELECT *, line = '' OR line[1] IN (' ', chr(9)) AS ends, sum(CASE WHEN line = '' OR line[1] IN (' ', chr(9)) THEN 1 ELSE 0 END) OVER (ORDER BY line_no) AS block FROM lines)
+      SELECT CAST(block AS BIGINT) AS block, count(*) AS n_tokens, string_agg(regexp_replace(trim(line), '[ \t]+', '|', 'g'), ' ' ORDER BY line_no) AS rows
+      FROM marked WHERE NOT ends GROUP BY block""",
+    "field_split": f"""WITH {_values([(k, v) for k, v in enumerate(FIELD_LINES)], 'lines', 'line_no, line')}
+      SELECT line_no, len(regexp_split_to_array(line, '[ \t]')) AS n_each, len(list_filter(regexp_split_to_array(line, '[ \t]+'), lambda f: f <> '')) AS n_runs FROM lines""",
+    "cedict_store": f"""WITH {_values(CEDICT, 'cedict', 'line_no, line')},
+      parsed AS (SELECT regexp_extract(line, '^\\S+ (\\S+) \\[([^\\]]+)\\]', 1) AS word, string_split(regexp_extract(line, '^\\S+ (\\S+) \\[([^\\]]+)\\]', 2), ' ') AS ps
+        FROM cedict WHERE NOT starts_with(line, '#'))
+      SELECT DISTINCT word, CAST(1 AS BIGINT) AS freq FROM parsed WHERE word <> '' AND len(list_filter(ps, lambda p: NOT regexp_matches(p, '[1-5]$'))) = 0""",
     "hit_query_url": "SELECT DISTINCT word, 'http://www.baidu.com/s?wd=' || url_encode(word) AS url FROM lexicon_freq WHERE word IS NOT NULL",
     "extract_with_model": f"""WITH RECURSIVE {_TOKENS}, {_paths()}, {_STORE},
       joined AS (SELECT coalesce(array_to_string(list_transform(range(1, len(tokens)), lambda k: CASE WHEN k > 1 AND tags[k] IN ('B', 'S') THEN chr(31) ELSE '' END || tokens[k]), ''), '') AS ws FROM best),

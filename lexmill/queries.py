@@ -8,10 +8,10 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.functions import chars, hits, readings
+from lexmill.functions import chars, fields, hits, readings
 from lexmill.operators import corpus, ordering, webreadings, wordfilter, wordstore
 from lexmill.operators import lexicon as lex
-from lexmill.operators.crf import decode, features, train
+from lexmill.operators.crf import decode, features, files, train
 from lexmill.operators.crf.model import Model, number_features
 from lexmill.plans import pipelines
 from lexmill.session import table
@@ -386,6 +386,63 @@ def arpa_rank_sort(spark: SparkSession, d: str) -> DataFrame:
     return lex.numbered(keyed, ["section", "body", "key", "line_no"], 1, "place").select("line_no", "line", "section", "place")
 
 
+# Readers
+
+LEXICON_LINES = [(0, "中 zhong 12"), (1, "山 shan"), (2, ""), (3, "行 xing hang 900"), (4, "国 guo x")]
+AFFIX_LINES = [(0, "# affix flag"), (1, "的 1"), (2, "最 0"), (3, "了 1"), (4, ""), (5, "很 0"), (6, "啊 2")]
+STROKE_LINES = [(0, "一 1"), (1, "山 3"), (2, "bad"), (3, "a b c"), (4, "龙 x")]
+UNIHAN_LINES = [(0, "# Unihan"), (1, "U+4E2D\tkMandarin\tzhōng"), (2, "U+4E2D\tkTotalStrokes\t4"), (3, "x\ty\tz"), (4, "U+884C\tkMandarin")]
+RANK_LINES = [("a", 0, "甲 1"), ("a", 1, "乙"), ("b", 0, "丙 x"), ("b", 1, "甲"), ("c", 0, "丁")]
+BLOCK_LINES = [(0, "我 S"), (1, "爱\tB"), (2, ""), (3, "北  B"), (4, "京 E"), (5, " "), (6, ""), (7, "x S")]
+FIELD_LINES = ["a b", "a  b", " a\tb ", "", "a"]
+
+
+@query
+def lexicon_lines(spark: SparkSession, d: str) -> DataFrame:
+    return text.as_lexicon(_rows(spark, LEXICON_LINES, "line_no int, line string"), with_freq=True).withColumn("readings", sinks.spaced(F.col("readings")))
+
+
+@query
+def affix_lines(spark: SparkSession, d: str) -> DataFrame:
+    """The stored words that a list of affixes, read from its lines, makes stop words."""
+    prefixes, suffixes = wordfilter.affix_lists(text.as_affixes(_rows(spark, AFFIX_LINES, "line_no int, line string")))
+    return _store(spark, d).where(wordfilter.is_stop_word(F.col("word"), prefixes, suffixes)).select("word")
+
+
+@query
+def stroke_lines(spark: SparkSession, d: str) -> DataFrame:
+    return text.as_strokes(_rows(spark, STROKE_LINES, "line_no int, line string"))
+
+
+@query
+def unihan_lines(spark: SparkSession, d: str) -> DataFrame:
+    return text.as_unihan(_rows(spark, UNIHAN_LINES, "line_no int, line string"))
+
+
+@query
+def rank_lines(spark: SparkSession, d: str) -> DataFrame:
+    return text.as_ranks(_rows(spark, RANK_LINES, "file string, line_no int, line string"))
+
+
+@query
+def token_blocks(spark: SparkSession, d: str) -> DataFrame:
+    blocks = text.as_blocks(_rows(spark, [("f", *r) for r in BLOCK_LINES], "file string, line_no int, line string"))
+    rows = F.array_join(F.transform("rows", lambda r: F.array_join(r, "|")), " ")
+    return blocks.select("block", F.size("rows").cast("bigint").alias("n_tokens"), rows.alias("rows"))
+
+
+@query
+def field_split(spark: SparkSession, d: str) -> DataFrame:
+    lines = _rows(spark, [(k, v) for k, v in enumerate(FIELD_LINES)], "line_no int, line string")
+    each, runs = fields.split_each(F.col("line")), fields.split_runs(F.col("line"))
+    return lines.select("line_no", F.size(each).cast("bigint").alias("n_each"), F.size(runs).cast("bigint").alias("n_runs"))
+
+
+@query
+def cedict_store(spark: SparkSession, d: str) -> DataFrame:
+    return wordstore.upsert(wordstore.from_cedict(text.as_cedict(_rows(spark, CEDICT, "line_no int, line string")))).select("word", "freq")
+
+
 # Conditional random fields
 
 
@@ -451,6 +508,27 @@ def crf_nbest(spark: SparkSession, d: str) -> DataFrame:
     return best.select(F.col("key").alias("doc_id"), "line_no", "sent_no", "rank", F.array_join("tags", "").alias("tags"), F.round("prob", 6).alias("prob"))
 
 
+@query
+def crf_results(spark: SparkSession, d: str) -> DataFrame:
+    """Of the segmented lines, how often the model gives which tag where the line has which."""
+    rows = features.gold(_docs(spark, d)).withColumn("sent_no", F.lit(0))
+    return decode.results(rows, literal_model()).groupBy("tag_id", "gold_id").agg(F.count("*").alias("n"))
+
+
+@query
+def crf_model_shape(spark: SparkSession, d: str) -> DataFrame:
+    """Metadata of the model once written to its binary file and read again."""
+    return files.shape(spark, files.from_binary(files.to_binary(literal_model())))
+
+
+@query
+def segment_with_trained(spark: SparkSession, d: str) -> DataFrame:
+    """Words of the corpus and their counts, by a model trained on its segmented lines."""
+    model, _ = train.train(features.gold(_docs(spark, d)).select("tokens", "tags"), "mira")
+    words = decode.tag(corpus.process(_docs(spark, d)), model, columns=["words"]).select(F.explode("words").alias("word"))
+    return words.groupBy("word").agg(F.count("*").alias("n"))
+
+
 def _trained(spark: SparkSession, d: str, algorithm: str) -> DataFrame:
     sentences = features.gold(_docs(spark, d)).select("tokens", "tags")
     _, course = train.train(sentences, algorithm)

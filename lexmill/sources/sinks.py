@@ -27,3 +27,13 @@ def write_lines(rows: DataFrame, line: Column, path: str, mode: str = "append",
     if order:
         rows = rows.orderBy(*order)
     rows.select(line.alias("value")).write.mode(mode).text(path)
+
+
+def tagged_text(results: DataFrame, verbose: int = 0) -> DataFrame:
+    """``(key, line_no, sent_no, text)``: a line per token with its tag, from ``decode.results``; with ``verbose`` the tag's probability.
+
+    A sentence's lines end with an empty one.
+    """
+    line = F.concat("token", F.lit("\t"), "tag", *([F.lit("/"), F.format_number("prob", 6)] if verbose else []))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("i", line.alias("line")))), lambda x: x["line"])
+    return results.groupBy("key", "line_no", "sent_no").agg(F.concat(F.array_join(ordered, "\n"), F.lit("\n\n")).alias("text"))

@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
 def read_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """``(file, line_no, line)`` of a file or of all files below a directory.
 
-    Files are read whole, one row each, so that a line keeps its number.
+    A large file is read in splits by many tasks: the lines of each split are
+    counted first, and a line's number is its place in the split after the lines
+    of the splits before.
     """
-    read = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob)
-    files = read.select(F.input_file_name().alias("file"), F.regexp_replace("value", r"\r?\n\z", "").alias("text"))
-    return files.select("file", F.posexplode(F.split("text", r"\r?\n")).alias("line_no", "line"))
+    reader = spark.read.option("recursiveFileLookup", True)
+    read = (reader.option("pathGlobFilter", glob) if glob else reader).text(path)
+    rows = read.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("place"), F.col("value").alias("line")
+    )
+    splits = rows.groupBy("file", "start").agg(F.min("place").alias("first"), F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
+    splits = splits.select("file", "start", (F.coalesce(before, F.lit(0)) - F.col("first")).alias("shift"))
+    return rows.join(splits, ["file", "start"]).select("file", (F.col("place") + F.col("shift")).cast("int").alias("line_no"), "line")
 
 
 def as_cedict(lines: DataFrame) -> DataFrame:
@@ -66,14 +74,19 @@ def as_ranks(lines: DataFrame) -> DataFrame:
     return ranked.groupBy("word").agg(F.max("rank").alias("rank"))
 
 
-def as_blocks(lines: DataFrame) -> DataFrame:
-    """``(file, block, rows)``: blocks of token lines, ended by an empty line or one that starts with white space."""
-    from pyspark.sql import Window
+def as_blocks(lines: DataFrame, chunk: int = 65536) -> DataFrame:
+    """``(file, block, rows)``: blocks of token lines, ended by an empty line or one that starts with white space.
 
-    ends = F.col("line").rlike(r"^(?:[ \t].*)?\z")
-    run = Window.partitionBy("file").orderBy("line_no")
-    marked = lines.withColumn("ends", ends).withColumn("block", F.sum(F.col("ends").cast("int")).over(run))
-    kept = marked.where(~F.col("ends"))
+    The ends are counted in chunks of lines, so that no task has to run through a whole file.
+    """
+    part = F.floor(F.col("line_no") / chunk)
+    marked = lines.withColumns({"ends": F.col("line").rlike(r"^(?:[ \t].*)?\z"), "part": part})
+    counts = marked.groupBy("file", "part").agg(F.count_if("ends").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("file").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.select("file", "part", F.coalesce(before, F.lit(0)).alias("before"))
+    run = Window.partitionBy("file", "part").orderBy("line_no")
+    numbered = marked.withColumn("own", F.sum(F.col("ends").cast("int")).over(run)).join(counts, ["file", "part"])
+    kept = numbered.where(~F.col("ends")).withColumn("block", F.col("own") + F.col("before"))
     ordered = F.array_sort(F.collect_list(F.struct("line_no", F.split(F.trim("line"), r"[ \t]+").alias("columns"))))
     return kept.groupBy("file", "block").agg(F.transform(ordered, lambda r: r["columns"]).alias("rows"))
 

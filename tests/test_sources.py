@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from lexmill.functions import readings
-from lexmill.operators import ordering, webreadings
+from lexmill.functions import fields, readings
+from lexmill.operators import ordering, webreadings, wordstore
 from lexmill.sources import sinks, text
 from lexmill.streaming import tokens
 
@@ -16,8 +16,16 @@ def test_files_and_lines(spark, tmp_path):
     (tmp_path / "a").mkdir()
     (tmp_path / "a" / "x.txt").write_text("一\n二\n", encoding="utf-8")
     (tmp_path / "y.txt").write_text("三", encoding="utf-8")
-    rows = text.read_lines(spark, str(tmp_path)).select("line_no", "line").collect()
+    rows = text.read_lines(spark, str(tmp_path), "*.txt").select("line_no", "line").collect()
     assert sorted(map(tuple, rows)) == [(0, "一"), (0, "三"), (1, "二")]
+    (tmp_path / "long.log").write_text("".join(f"{k}行\n" for k in range(3000)), encoding="utf-8")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        long = text.read_lines(spark, str(tmp_path), "*.log")
+        assert long.rdd.getNumPartitions() > 3 and sorted((r["line_no"], r["line"]) for r in long.collect()) == [(k, f"{k}行") for k in range(3000)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
     sinks.write_lines(_lines(spark, "b", "a"), F.col("line"), str(tmp_path / "out"), order=["line"])
     assert sorted(r["line"] for r in text.read_lines(spark, str(tmp_path / "out"), "*.txt").collect()) == ["a", "b"]
 
@@ -33,6 +41,8 @@ def test_formats(spark):
     assert {tuple(r) for r in text.as_ranks(two).collect()} == {("甲", 3), ("乙", 1), ("丙", 2)}
     blocks = text.as_blocks(_lines(spark, "a X", "b\tY", "", "c Z", " ", "")).orderBy("block").collect()
     assert [[list(x) for x in r["rows"]] for r in blocks] == [[["a", "X"], ["b", "Y"]], [["c", "Z"]]]
+    small = text.as_blocks(_lines(spark, "a X", "b\tY", "", "c Z", " ", ""), chunk=2).orderBy("block").collect()
+    assert [(r["block"], r["rows"]) for r in small] == [(r["block"], r["rows"]) for r in blocks]
     assert text.read_options("; c\na=1\n b = 2\na=3\nno") == {"a": "1", "b": "2"}
 
 
@@ -58,6 +68,20 @@ def test_pages(spark):
     assert {r["word"]: list(r["readings"]) for r in found.collect()} == {"行": ["háng", "xíng"], "无": []}
 
 
+def test_fields(spark):
+    one = lambda f, s: list(spark.createDataFrame([(s,)], "s string").select(f(F.col("s"))).first()[0])
+    assert one(fields.split_each, "a  b ") == ["a", "", "b", ""] and one(fields.split_runs, " a \t b ") == ["a", "b"]
+    assert one(fields.split_csv, 'a, "b, ""c""",,d') == ["a", 'b, "c"', "", "d"] and one(fields.split_csv, "") == [""]
+
+
+def test_store_on_disk(spark, tmp_path):
+    path = str(tmp_path / "store")
+    assert wordstore.open_store(spark, path).count() == 0
+    wordstore.add(path, spark.createDataFrame([("a", 1, 1), ("b", 2, 2)], wordstore.SCHEMA))
+    wordstore.add(path, spark.createDataFrame([("a", 3, 3)], wordstore.SCHEMA))
+    assert [tuple(r) for r in wordstore.items(wordstore.open_store(spark, path)).collect()] == [("b", 2), ("a", 3)]
+
+
 def test_orders(spark):
     strokes = spark.createDataFrame([("一", 1), ("山", 3)], "ch string, strokes int")
     words = spark.createDataFrame([("山",), ("一山",), ("一",), ("x",), ("山",), (None,), ("",)], "word string")
