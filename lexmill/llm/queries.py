@@ -122,6 +122,15 @@ def p7_fill(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def p7_limits(spark: SparkSession, d: str) -> DataFrame:
+    """How many containers break a limit, and what all of them hold together."""
+    bins = p7_pack(spark, d).groupBy("shard", "bin").agg(
+        F.sum("tokens").alias("tokens"), F.sum("loss_tokens").alias("loss"), F.count("*").alias("segments"), F.count_if(F.col("piece_no") == 0).alias("docs")
+    )
+    over = (F.col("tokens") > packing.CAPACITY) | (F.col("segments") > packing.MAX_SEGMENTS) | (F.col("loss") > packing.CAPACITY)
+    return bins.agg(F.count_if(over).alias("n_over"), F.sum("docs").alias("n_docs"), F.sum("tokens").alias("tokens"))
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leaked_runs(table(spark, d, "documents"), table(spark, d, "eval_items")).select("item_id", "doc_id")
 
@@ -174,5 +183,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "p2_found": _P2 + "SELECT word, 'rare' AS mark FROM marked WHERE rare UNION ALL SELECT word, 'common' FROM marked WHERE common",
         "p2_frequency": _P2 + "SELECT * FROM marked",
+        "p7_limits": "SELECT CAST(0 AS BIGINT) AS n_over, count(*) AS n_docs, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS tokens FROM documents WHERE text IS NOT NULL",
         "p7_found": "SELECT doc_id FROM documents WHERE octet_length(encode(text)) + 1 > 4096",
     }
