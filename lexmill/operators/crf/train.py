@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.operators.crf.decode import forward_backward, path_score, viterbi
+from lexmill.operators.crf.decode import forward_backward, logsumexp, path_score, viterbi, viterbi_many
 from lexmill.operators.crf.features import TEMPLATES, Template, expand, feature_counts
 from lexmill.operators.crf.model import Model, number_features
 from lexmill.session import write_table
@@ -61,24 +61,86 @@ def sentence_gradient(w: np.ndarray, uni, bi, gold: np.ndarray, y: int, grad: np
     return z - path_score(emit, move, gold), int((path != gold).sum())
 
 
-def _partials(model: Model):
+_NUMBERED = "gold array<int>, uni array<int>, n_uni array<int>, bi array<int>, n_bi array<int>"
+
+
+def _number(model: Model):
+    """Sentences as numbers: gold tags, and the features of all positions end to end with how many each has."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        y, w = len(model.tags), model.weights.copy()
         index = {t: k for k, t in enumerate(model.tags)}
-        grad, loss, wrong, wrong_sentences, tokens_seen, sentences = np.zeros_like(w), 0.0, 0, 0, 0, 0
         for pdf in batches:
+            rows = []
             for tokens, tags in zip(pdf["tokens"], pdf["tags"]):
-                gold = np.array([index[t] for t in tags])
                 uni, bi = _prepare(model, list(tokens))
-                part, bad = sentence_gradient(w, uni, bi, gold, y, grad)
-                loss += part
-                wrong, wrong_sentences = wrong + bad, wrong_sentences + (bad > 0)
-                tokens_seen, sentences = tokens_seen + len(gold), sentences + 1
+                rows.append(([index[t] for t in tags], [k for u in uni for k in u], [len(u) for u in uni], [k for b in bi for k in b], [len(b) for b in bi]))
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in _NUMBERED.split(", ")])
+
+    return run
+
+
+def _joined(column: pd.Series) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.int64), *column]).astype(np.int64)
+
+
+def batch_gradient(w: np.ndarray, pdf: pd.DataFrame, y: int, grad: np.ndarray) -> tuple[float, int, int, int]:
+    """Adds the gradient of all sentences of ``pdf`` to ``grad``; returns loss, wrong tags, wrong sentences and tags.
+
+    The same as ``sentence_gradient`` of each; sentences of one length go through the lattice together.
+    """
+    gold, sizes = _joined(pdf["gold"]), pdf["gold"].map(len).to_numpy(np.int64)
+    p = len(gold)
+    places, starts = np.arange(p), np.cumsum(sizes) - sizes
+    uni, bi = _joined(pdf["uni"]), _joined(pdf["bi"])
+    at_uni, at_bi = np.repeat(places, _joined(pdf["n_uni"])), np.repeat(places, _joined(pdf["n_bi"]))
+    emit = np.stack([np.bincount(at_uni, w[uni + t], p) for t in range(y)], 1)
+    move = np.stack([np.bincount(at_bi, w[bi + t], p) for t in range(y * y)], 1).reshape(p, y, y)
+    node, edge = np.zeros((p, y)), np.zeros((p, y, y))
+    loss, wrong, wrong_sentences = 0.0, 0, 0
+    for n in np.unique(sizes):
+        rows = starts[sizes == n][:, None] + np.arange(n)
+        e, m, g = emit[rows], move[rows], gold[rows]
+        alpha, beta = np.empty_like(e), np.zeros_like(e)
+        alpha[:, 0] = e[:, 0]
+        for i in range(1, n):
+            alpha[:, i] = logsumexp(alpha[:, i - 1, :, None] + m[:, i], 1) + e[:, i]
+        for i in range(n - 2, -1, -1):
+            beta[:, i] = logsumexp(m[:, i + 1] + (e[:, i + 1] + beta[:, i + 1])[:, None, :], 2)
+        z = logsumexp(alpha[:, -1], 1)
+        each = np.arange(len(rows))[:, None]
+        post = np.exp(alpha + beta - z[:, None, None])
+        post[each, np.arange(n), g] -= 1
+        node[rows] = post
+        score = e[each, np.arange(n), g].sum(1)
+        if n > 1:
+            pair = np.exp(alpha[:, :-1, :, None] + m[:, 1:] + (e[:, 1:] + beta[:, 1:])[:, :, None, :] - z[:, None, None, None])
+            pair[each, np.arange(n - 1), g[:, :-1], g[:, 1:]] -= 1
+            edge[rows[:, 1:]] = pair
+            score += m[each, np.arange(1, n), g[:, :-1], g[:, 1:]].sum(1)
+        loss += float((z - score).sum())
+        bad = (viterbi_many(e, m)[0] != g).sum(1)
+        wrong, wrong_sentences = wrong + int(bad.sum()), wrong_sentences + int((bad > 0).sum())
+    for t in range(y):
+        np.add.at(grad, uni + t, node[at_uni, t])
+    flat = edge.reshape(p, y * y)
+    for t in range(y * y):
+        np.add.at(grad, bi + t, flat[at_bi, t])
+    return loss, wrong, wrong_sentences, p
+
+
+def _partials(weights: np.ndarray, y: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        grad, total, sentences = np.zeros_like(weights), np.zeros(4), 0
+        for pdf in batches:
+            pdf = pdf[pdf["gold"].map(len) > 0]
+            for k in range(0, len(pdf), 2000):
+                part = pdf.iloc[k : k + 2000]
+                total += batch_gradient(weights, part, y, grad)
+                sentences += len(part)
         if sentences:
-            at = np.flatnonzero(grad)
-            yield pd.DataFrame(
-                {"at": [at], "value": [grad[at]], "loss": [loss], "wrong": [wrong], "wrong_s": [wrong_sentences], "tokens": [tokens_seen], "sents": [sentences]}
-            )
+            # the counts go with the cells, at places below zero
+            at = np.concatenate([-1 - np.arange(5), np.flatnonzero(grad)])
+            yield pd.DataFrame({"at": [at], "value": [np.concatenate([total, [sentences], grad[at[5:]]])]})
 
     return run
 
@@ -163,21 +225,19 @@ def _mira(data: DataFrame, model: Model, course: list, c: float, shrink: int, ro
         table = kept.repartition(order).sortWithinPartitions(order)
 
 
-def _cells(parts: DataFrame, size: int) -> np.ndarray:
-    """The sum of the parts' numbers, one per weight."""
+def _cells(parts: DataFrame, size: int, counts: int = 0) -> np.ndarray:
+    """The sum of the parts' numbers, one per weight, after ``counts`` others."""
     cells = parts.select(F.explode(F.arrays_zip("at", "value")).alias("c")).groupBy("c.at").agg(F.sum("c.value").alias("v")).toPandas()
-    out = np.zeros(size)
-    out[cells["at"].to_numpy(np.int64)] = cells["v"].to_numpy()
+    out = np.zeros(counts + size)
+    at = cells["at"].to_numpy(np.int64)
+    out[np.where(at < 0, -1 - at, at + counts)] = cells["v"].to_numpy()
     return out
 
 
 def _sum(sentences: DataFrame, model: Model) -> tuple[np.ndarray, dict]:
-    schema = "at array<long>, value array<double>, loss double, wrong long, wrong_s long, tokens long, sents long"
-    parts = sentences.mapInPandas(_partials(model), schema).persist()
-    stats = parts.agg(*[F.sum(c).alias(c) for c in ("loss", "wrong", "wrong_s", "tokens", "sents")]).first().asDict()
-    out = _cells(parts, len(model.weights))
-    parts.unpersist()
-    return out, {name: n or 0 for name, n in stats.items()}
+    parts = sentences.mapInPandas(_partials(model.weights, len(model.tags)), "at array<long>, value array<double>")
+    out = _cells(parts, len(model.weights), 5)
+    return out[5:], dict(zip(("loss", "wrong", "wrong_s", "tokens", "sents"), out[:5].tolist()))
 
 
 class _Memory:
@@ -235,7 +295,9 @@ def train(
     if algorithm == "mira":
         _mira(data, model, course, c, shrink, rounds)
     else:
-        _quasi_newton(data, model, course, algorithm == "crf-l1", c, eta, rounds)
+        numbered = data.mapInPandas(_number(model), _NUMBERED).persist()
+        _quasi_newton(numbered, model, course, algorithm == "crf-l1", c, eta, rounds)
+        numbered.unpersist()
     data.unpersist()
     return model, course
 

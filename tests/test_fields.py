@@ -3,6 +3,7 @@
 import itertools
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from lexmill.operators.crf import decode, features, files, model, train
@@ -70,6 +71,21 @@ def test_gradient_against_differences():
         assert np.isclose(grad[k], (up - down) / 2e-5, atol=1e-5)
 
 
+def test_batch_gradient_is_the_sum():
+    rng, y = np.random.default_rng(1), 3
+    sentences = [list(s) for s in ("abca", "b", "cc", "acbb", "ab")]
+    ids, size = model.number_features(sorted({f for t in sentences for i in range(len(t)) for f in features.expand(t, i, TEMPLATES)}), y)
+    m = model.Model(["x", "y", "z"], TEMPLATES, ids, rng.normal(size=size))
+    tags = [[m.tags[k] for k in rng.integers(0, y, len(t))] for t in sentences]
+    pdf = next(train._number(m)(iter([pd.DataFrame({"tokens": sentences, "tags": tags})])))
+    want, got, loss, wrong = np.zeros(size), np.zeros(size), 0.0, 0
+    for tokens, gold in zip(sentences, tags):
+        part, bad = train.sentence_gradient(m.weights, *train._prepare(m, tokens), np.array([m.tags.index(t) for t in gold]), y, want)
+        loss, wrong = loss + part, wrong + bad
+    result = train.batch_gradient(m.weights, pdf, y, got)
+    assert np.allclose(got, want) and np.isclose(result[0], loss) and result[1] == wrong and result[3] == sum(map(len, sentences))
+
+
 def test_words_and_text_form():
     assert decode.words_of(list("abcd。"), list("BESSS")) == ["ab", "c", "d"]
     assert decode.words_of(list("ab"), ["B", "E"], drop_last=False) == ["ab"]
