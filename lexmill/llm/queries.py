@@ -58,24 +58,30 @@ def p3_clean(spark: SparkSession, d: str) -> DataFrame:
     return markup.strip_markup(_sentences(spark, d)).withColumnRenamed("row_id", "sent_id")
 
 
-def _pages(spark: SparkSession, d: str) -> DataFrame:
-    """Rows of web pages; a garbled one with what could be restored of it."""
+def _pages(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of web pages, and the garbled ones with what could be restored of them."""
     web = table(spark, d, "baseseg").where("channel = 'web'")
     rows = web.select(F.col("sent_id").alias("row_id"), "page_id", "site", "line_no", F.col("sentence").alias("text"))
-    restored = encoding.garbled(rows.select("row_id", F.col("site").alias("source"), "text"))
-    restored = restored.where("restored IS NOT NULL").groupBy("row_id").agg(F.max("restored").alias("restored"))
-    return rows.join(restored, "row_id", "left").withColumn("text", F.coalesce("restored", "text")).drop("restored")
+    key = F.concat_ws(",", "row_id", F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.coalesce(F.col("line_no").cast("string"), F.lit("")))
+    found = encoding.garbled(rows.select(key.alias("row_id"), F.col("site").alias("source"), "text")).where("restored IS NOT NULL")
+    part = F.split("row_id", ",")
+    restored = found.select(
+        *[F.nullif(part[k], F.lit("")).cast(kind).alias(name) for k, (name, kind) in enumerate([("row_id", "long"), ("page_id", "long"), ("line_no", "int")])],
+        F.col("restored").alias("text"),
+    )
+    return rows, restored.dropDuplicates(["row_id"])
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return boilerplate.frame_lines(_pages(spark, d)).where("NOT main").select(F.col("row_id").alias("sent_id"), "seg_no")
+    return boilerplate.frame_lines(*_pages(spark, d)).where("NOT main").select(F.col("row_id").alias("sent_id"), "seg_no")
 
 
 def p4_main(spark: SparkSession, d: str) -> DataFrame:
-    pages = _pages(spark, d)
-    main = boilerplate.frame_lines(pages).where("main")
+    rows, restored = _pages(spark, d)
+    main = boilerplate.frame_lines(rows, restored).where("main")
+    texts = rows.join(restored.select("row_id", F.col("text").alias("again")), "row_id", "left").select("row_id", F.coalesce("again", "text").alias("text"))
     text = F.element_at(F.split("text", "\n"), F.col("seg_no").cast("int"))
-    joined = main.join(pages.select("row_id", "text"), "row_id")
+    joined = main.join(texts, "row_id")
     return joined.select("page_id", "line_no", F.col("row_id").alias("sent_id"), "seg_no", text.alias("line"))
 
 

@@ -268,3 +268,6 @@ def test_page_frame(spark):
     assert frame == {0, 1, 4, 6}
     assert len(out) == 40 * 7 + 2
     assert boilerplate.frame_lines(df.limit(0)).count() == 0
+    again = spark.createDataFrame([(31, 3, 1, "今天又下雨，大家还在家里看书写字。\n返回顶部")], "row_id long, page_id long, line_no int, text string")
+    out = boilerplate.frame_lines(df, again).collect()
+    assert sorted((r["seg_no"], r["main"]) for r in out if r["row_id"] == 31) == [(1, True), (2, False)] and len(out) == 40 * 7 + 3

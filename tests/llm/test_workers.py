@@ -13,7 +13,7 @@ from lexmill.llm import boilerplate, encoding, lookalike, markup, packing, sente
 TEXT = "今天下雨。\n<b>The</b> lantern ρaper burned. Ã©tÃ© ロ音…"
 BIGRAMS = encoding.Bigrams(np.array([1, 2]), np.array([5, 6]), np.ones(encoding.FIRSTS))
 LINE = {
-    "row_id": ["1"], "page": ["p1"], "line_no": [0], "k": [0], "textual": [False], "structural": [False], "lost": [False], "labelled": [False], "running": [False],
+    "row_id": ["1"], "page": ["p1"], "line_no": [0], "k": [0], "again": [0], "textual": [False], "structural": [False], "lost": [False], "labelled": [False], "running": [False],
     "bare": ["首页 地图"], "head": [1], "tail": [2], "chars": [5], "linked": [0], "links": [0], "tags": [1], "elements": [""],
 }
 TASKS = {
