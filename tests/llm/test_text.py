@@ -211,6 +211,42 @@ def test_frequent_garbling_stays_suspect(spark):
         assert sorted(out) == sorted(r[0] for r in wrong * 2)
 
 
+RUSSIAN = (
+    "старик жил у самого моря и каждое утро выходил на берег смотреть как возвращаются лодки рыбаки привозили сети полные рыбы и рассказывали о далёких островах "
+    "его дочь работала в школе учила детей читать и писать вечером они пили чай говорили о погоде и о том что зима в этом году будет долгая и холодная мельник "
+    "привёз муку кузнец починил старую телегу а соседка принесла свежий хлеб и банку мёда когда выпал первый снег все жители деревни вышли на улицу чтобы помочь "
+    "друг другу убрать дорогу после этого они собрались в большом доме и долго пели песни"
+).split()
+
+
+def _russian(rng, n):
+    return " ".join(rng.choice(RUSSIAN) for _ in range(n))
+
+
+def test_cells_are_learned_from_pairs():
+    import random
+
+    import numpy as np
+    import pandas as pd
+
+    rng = random.Random(8)
+    clean = pd.concat(encoding._count(iter([pd.DataFrame({"text": [_russian(rng, 400) for _ in range(60)]})])))
+    both = np.zeros(encoding.BUCKETS + encoding.FIRSTS + 1)
+    both[clean["bucket"]] = clean["n"]
+    lm = encoding._of_counts(both[: encoding.BUCKETS], both[encoding.BUCKETS : -1])
+    # a swap of pages that is not among the listed ones
+    assert ("mac_greek", "cp1251") not in encoding.KEYS
+    text = _russian(rng, 3000)
+    wrong = "".join(ch if ch.isascii() else ch.encode("cp1251").decode("mac_greek") for ch in text)
+    counts = pd.concat(encoding._count_signs(iter([pd.DataFrame({"source": ["s"], "odd": [wrong]})])))
+    cells = encoding._learn_source(lm)(("s",), counts).iloc[0]
+    assert encoding.ALPHABETS[cells["alphabet"]] == "cp1251"
+    back = wrong.translate(str.maketrans(cells["signs"], cells["letters"]))
+    assert sum(a == b for a, b in zip(back, text)) / len(text) > 0.9, back[:200]
+    done = pd.concat(encoding._decipher(lm)(iter([pd.DataFrame({"row_id": ["1"], "source": ["s"], "odd": [wrong], "restored": ["a\n" + wrong], **{c: [cells[c]] for c in ("signs", "letters", "alphabet")}})])))
+    assert done["restored"].iloc[0] == "a\n" + back
+
+
 def _cut(spark, rows):
     df = spark.createDataFrame(rows, "doc_id long, source string, text string").withColumn("trailer", F.lit(1))
     return {r["doc_id"]: r["evidence"] for r in truncation.truncated(df).collect()}
