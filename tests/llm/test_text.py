@@ -65,6 +65,18 @@ def test_union_find_is_transitive():
     assert len({sets.find(x) for x in "abcd"}) == 1 and sets.find("e") == "e"
 
 
+def test_prefilter_loses_nothing(spark, rewriter):
+    import random
+
+    rng, signs = random.Random(2), "aB１Ａｶﾞ\u0301e\u00a0\u200b⽔水ロニ口カp р ο Տ Ꭺ ーのあ中文。，\n\t\x85é"
+    texts = [*PLAIN, *("".join(rng.choice(signs) for _ in range(rng.randint(0, 9))) for _ in range(4000))]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k long, text string")
+    looked = {r["k"] for r in df.where(lookalike.may_differ(F.col("text"))).collect()}
+    by_one = {r["k"] for r in df.where(F.col("text").rlike(lookalike.CANDIDATE)).collect()}
+    assert looked == by_one
+    assert not [t for k, t in enumerate(texts) if rewriter.plain(t) != t and k not in looked]
+
+
 def test_plain_forms_of_rows(spark):
     rows = [("w", 1, "Ａ"), ("w", 1, "Ａ"), ("w", 2, None), ("w", 3, ""), ("w", None, "好"), ("w", 4, "x" * 50000 + "\u200b")]
     df = spark.createDataFrame(rows, "field string, row_id long, text string").withColumn("plain", F.lit(1))
