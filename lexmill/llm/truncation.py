@@ -98,15 +98,20 @@ class Trie:
     """Hashed nodes of every position of many texts."""
 
     def __init__(self):
-        self.letter = np.zeros(0x30000, bool)
-        self.letter[[c for c in range(0x30000) if chr(c).isalpha() or regex.match(r"\p{M}", chr(c))]] = True
-        unspaced = _pattern(f"[{_UNSPACED}]")
-        self.unspaced = np.array([bool(unspaced.match(chr(c))) for c in range(0x30000)])
+        self.letter, self.unspaced = self._of(r"[\p{L}\p{M}]+"), self._of(f"[{_UNSPACED}]+")
         self.parting = np.zeros(0x30000, bool)
         self.parting[[ord(c) for c in _PARTING]] = True
         self.power = self.back = np.zeros(0, np.uint64)
         self.closing = np.array([ord(c) for c in _CLOSING], np.int64)
 
+    @staticmethod
+    def _of(runs: str) -> np.ndarray:
+        """Which code points the pattern matches."""
+        out = np.zeros(0x30000, bool)
+        for m in _pattern(runs).finditer("".join(map(chr, range(0x30000)))):
+            out[m.start() : m.end()] = True
+        return out
+
     def read(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Code points of the texts (a run of digits is one letter), each after a break; the place of each last character."""
         cp = np.frombuffer("".join(f"{chr(_BREAK)}\n{t}" for t in texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
