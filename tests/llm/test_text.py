@@ -1,5 +1,7 @@
 """Look-alikes, markup, page frames, sentences, encodings, cut texts: small cases and odd input."""
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -223,6 +225,57 @@ def test_frequent_garbling_stays_suspect(spark):
         assert sorted(out) == sorted(r[0] for r in wrong * 2)
 
 
+def _stocked(rng, n):
+    stock = ["守闸人", "不肯卖", "渔网", "只答应", "借用到", "春天", "编词典的", "老人", "在河边", "登记了", "铜铃", "和木桥"]
+    return "".join(rng.choice(stock) for _ in range(n)) + "。"
+
+
+def _late_garbled():
+    """Clean texts, and the same with texts that a cipher garbled beyond their first 1000 characters."""
+    import random
+
+    rng = random.Random(7)
+    clean = [_stocked(rng, 8) for _ in range(300)]
+    wrong = clean[0].encode().decode("koi8_r")
+    return clean, clean + [_stocked(rng, 600) + "\n" + wrong for _ in range(100)]
+
+
+def test_pairs_of_ciphers_are_taken_off_the_counts_wherever_they_stand(spark):
+    clean, texts = _late_garbled()
+    wrong = texts[-1].split("\n")[1]
+    lm = encoding.learn_bigrams(spark.createDataFrame([(t,) for t in texts], "text string"))
+    (a, e, _), *_ = encoding.spans(wrong, ("koi8_r", "utf-8"))
+    none, known = np.float32(np.log(encoding.SMOOTH)), encoding.pair_hash(encoding.code_points("".join(clean)))
+    gone = [h for h in encoding.pair_hash(encoding.code_points(wrong[a:e])) if h not in known]
+    assert len(gone) > 5 and (lm.pair[gone] == none).all() and (lm.pair[known] > none).mean() > 0.9
+
+
+def test_spans_of_a_batch_are_those_of_its_texts():
+    import random
+
+    rng = random.Random(9)
+    clean = [_stocked(rng, 6) for _ in range(100)] + [_russian(rng, 12) for _ in range(100)] + ["Müller aß dort Käse à la carte, señor; où est l'été"]
+    texts = clean + ["", "\n", "a\nﾀ𠀀é😀", "甲乙\x81é"]
+    for read, written in encoding.KEYS:
+        texts += [rng.choice(clean).encode(written, "ignore").decode(read, "ignore") for _ in range(8)]
+    for _ in range(300):
+        parts = [(1, 0x100), (0x100, 0x3100), (0x3400, 0xA000), (0xE000, 0x30000)]
+        texts.append("".join(chr(rng.randrange(*rng.choice(parts))) for _ in range(rng.randrange(12))) + rng.choice(clean)[:9])
+    texts, cp, starts = encoding.sound_texts(texts)
+    both = encoding._of_buckets(next(encoding._count(iter([pd.DataFrame({"text": clean})]))))
+    lm = encoding._of_counts(both[: encoding.BUCKETS], both[encoding.BUCKETS :])
+    found = encoding.spoiled_spans(cp, starts, lm)
+    assert len(found) > 10
+    for key in encoding.KEYS:
+        want = set()
+        for text, start in zip(texts, starts.tolist()):
+            padded = f"\n{text}\n"
+            for a, e, original in encoding.spans(text, key) if encoding._SIGNS[key[0]].search(text) else []:
+                if lm.score(padded[a] + original + padded[e + 1]) >= encoding.USUAL * (len(original) + 1):
+                    want.add((start + a, start + e, original))
+        assert set(found.get(key, [])) == want, key
+
+
 RUSSIAN = (
     "старик жил у самого моря и каждое утро выходил на берег смотреть как возвращаются лодки рыбаки привозили сети полные рыбы и рассказывали о далёких островах "
     "его дочь работала в школе учила детей читать и писать вечером они пили чай говорили о погоде и о том что зима в этом году будет долгая и холодная мельник "

@@ -12,6 +12,9 @@ from lexmill.llm import boilerplate, encoding, lookalike, markup, packing, sente
 
 TEXT = "今天下雨。\n<b>The</b> lantern ρaper burned. Ã©tÃ© ロ音…"
 BIGRAMS = encoding.Bigrams(np.array([1, 2]), np.array([5, 6]), np.ones(encoding.FIRSTS))
+CLEAN = "今天下雨，明天放晴。"
+COUNTED = encoding._of_buckets(next(encoding._count(iter([pd.DataFrame({"text": [CLEAN]})]))))
+WRONG = CLEAN.encode().decode("gb18030", "ignore")
 LINE = {
     "row_id": ["1"], "page": ["p1"], "line_no": [0], "k": [0], "again": [0], "textual": [False], "structural": [False], "lost": [False], "labelled": [False], "running": [False],
     "bare": ["首页 地图"], "head": [1], "tail": [2], "chars": [5], "linked": [0], "links": [0], "tags": [1], "elements": [""],
@@ -25,6 +28,7 @@ TASKS = {
     "p5": (sentences._split({"en": sentences.Statistics()}), {"row_id": ["1"], "lang": ["en"], "text": [TEXT]}),
     "p6": (encoding._analyse(BIGRAMS), {"row_id": ["1"], "source": ["a"], "lost": [True], "text": [TEXT]}),
     "p6 counts": (encoding._count, {"text": [TEXT]}),
+    "p6 spoiled": (encoding._count_spoiled(encoding._of_counts(COUNTED[: encoding.BUCKETS], COUNTED[encoding.BUCKETS :])), {"text": [WRONG]}),
     "p7": (packing._split(8, 8), {"doc_id": ["1"], "text": [TEXT], "prompt": [3]}),
     "p9": (truncation._of_texts(np.full(truncation.BITS // 8, 255, np.uint8)), {"text": [TEXT]}),
     "p9 ends": (truncation._of_ends, {"tail_id": [1], "tail": [TEXT]}),
