@@ -250,6 +250,16 @@ def test_pairs_of_ciphers_are_taken_off_the_counts_wherever_they_stand(spark):
     assert len(gone) > 5 and (lm.pair[gone] == none).all() and (lm.pair[known] > none).mean() > 0.9
 
 
+def test_pages_are_restored_of_what_a_frequent_cipher_did(spark, tmp_path):
+    from lexmill.llm import queries
+
+    clean, texts = _late_garbled()
+    rows = [(k, k // 10, k % 10, "s", "web", t) for k, t in enumerate(texts)]
+    spark.createDataFrame(rows, "sent_id long, page_id long, line_no int, site string, channel string, sentence string").write.parquet(f"{tmp_path}/baseseg.parquet")
+    _, restored = queries._pages(spark, str(tmp_path))
+    assert {r["row_id"] for r in restored.collect() if r["text"].endswith("\n" + clean[0])} == set(range(300, 400))
+
+
 def test_spans_of_a_batch_are_those_of_its_texts():
     import random
 
