@@ -260,6 +260,12 @@ def test_pages_are_restored_of_what_a_frequent_cipher_did(spark, tmp_path):
     assert {r["row_id"] for r in restored.collect() if r["text"].endswith("\n" + clean[0])} == set(range(300, 400))
 
 
+def test_values_of_a_cipher_are_found_wherever_they_stand(spark):
+    clean, texts = _late_garbled()
+    out = encoding.garbled(spark.createDataFrame([(k, "a", t) for k, t in enumerate(texts)], "row_id long, source string, text string")).collect()
+    assert {r["row_id"] for r in out} == set(range(300, 400)) and all(r["restored"].endswith("\n" + clean[0]) for r in out)
+
+
 def test_spans_of_a_batch_are_those_of_its_texts():
     import random
 
