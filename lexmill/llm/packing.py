@@ -181,5 +181,5 @@ def pack_documents(
 
 
 def split_documents(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """``doc_id`` of every document that has more than one piece."""
-    return pieces(docs, capacity).where(F.col("piece_no") == 1).select("doc_id")
+    """``doc_id`` of every document of which more than one piece was packed."""
+    return pack_documents(docs, capacity).where(F.col("piece_no") == 1).select("doc_id")

@@ -98,6 +98,13 @@ def test_packed_documents(spark):
     assert packing.pack_documents(df.limit(0)).count() == 0
 
 
+def test_split_documents_come_from_the_containers(spark):
+    docs = [(1, "甲" * 3000, None), (1, "甲" * 3000, None), (2, "x" * 4095, None), (3, None, None), (None, "x" * 9000, "x")]
+    out = packing.split_documents(spark.createDataFrame(docs, "doc_id long, text string, title string"))
+    assert "FlatMapGroupsInPandas" in out._jdf.queryExecution().toString()  # packed, not only measured
+    assert sorted((r["doc_id"] for r in out.collect()), key=str) == [1, 1, None]
+
+
 def _common(a: str, b: str) -> int:
     best, row = 0, [0] * (len(b) + 1)
     for ch in a:
