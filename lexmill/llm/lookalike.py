@@ -326,8 +326,12 @@ def _count(members: list[str]):
             cp = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
             total += np.bincount(cp, minlength=0x110000)
             kinds = kind[cp]
-            if (kinds & 4).any():
-                for _, m in automaton.iter(joined):
+            later = np.concatenate([[False], (kinds & 4) > 0, [False]])
+            if later.any():
+                # a longer member is a character and second parts: each run of these with the character before it
+                edges = np.flatnonzero(later[1:] != later[:-1])
+                runs = "\n".join(joined[max(a - 1, 0) : e] for a, e in zip(edges[::2].tolist(), edges[1::2].tolist()))
+                for _, m in automaton.iter(runs):
                     longer[m] += 1
             with np.errstate(over="ignore"):
                 at = np.flatnonzero(kinds & 1)

@@ -190,6 +190,15 @@ def test_statistics_are_learned(spark):
     assert found.count() == 3 * 60
 
 
+def test_members_of_several_code_points_are_counted_once_for_each_place():
+    members = sorted({m for ms in lookalike.classes().values() for m in ms if m})
+    texts = ["e\u0301e\u0301\u0302", "\u0301", "か\u3099ｶﾞﾞ", "a\u0301\n\u0301b", "", "ﾊﾟﾊ甲a\u0323\u0302", "ﾞ"]
+    counted = pd.concat(lookalike._count(members)(iter([pd.DataFrame({"text": texts})])))
+    found = counted[counted["member"].str.len() > 1].set_index("member")["n"].to_dict()
+    want = {m: sum(t.startswith(m, k) for t in texts for k in range(len(t))) for m in members if len(m) > 1}
+    assert found == {m: n for m, n in want.items() if n} and len(found) > 5
+
+
 GARBLED = [("utf-8", "latin-1"), ("gb18030", "latin-1"), ("gb18030", "cp1251"), ("utf-8", "gb18030")]
 
 
