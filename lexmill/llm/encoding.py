@@ -274,15 +274,39 @@ def _joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return code_points("\n" + "\n".join(texts) + "\n"), 1 + np.cumsum(lengths + 1) - (lengths + 1)
 
 
-def sound_texts(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """The texts without anything ``unsound``, and what ``_joined`` makes of them."""
+def _end_signs() -> np.ndarray:
+    """Code point to whether it ends a sentence wherever it stands; U+2026 and half-width stops are also letters read in a wrong page."""
+    out = np.zeros(0x110000, bool)
+    out[[ord(ch) for ch in "\n。．！？!?।"]] = True
+    return out
+
+
+def sound_parts(texts: list[str]) -> list[str | None]:
+    """Of each text what is left without the sentences that hold anything ``unsound``, with a line end in their place; None if nothing is."""
     cp, starts = _joined(texts)
     at = np.flatnonzero(unsound(cp))
-    if len(at):
-        bad = set((np.searchsorted(starts, at, "right") - 1).tolist())
-        texts = [t for i, t in enumerate(texts) if i not in bad]
-        cp, starts = _joined(texts)
-    return texts, cp, starts
+    if not len(at):
+        return list(texts)
+    end = _once(_end_signs)[cp]
+    end[:-1] |= (cp[:-1] == ord(".")) & ((cp[1:] == ord(" ")) | (cp[1:] == ord("\n")))
+    ends = np.flatnonzero(end)
+    bad = np.unique(np.searchsorted(ends, at))
+    lo, hi = ends[bad - 1] + 1, ends[bad] + 1
+    of = np.searchsorted(starts, lo, "right") - 1
+    gaps: dict[int, list[tuple[int, int]]] = {}
+    for i, a, e in zip(of.tolist(), (lo - starts[of]).tolist(), (hi - starts[of]).tolist()):
+        gaps.setdefault(i, []).append((a, e))
+    out: list[str | None] = list(texts)
+    for i, of_text in gaps.items():
+        pieces = [texts[i][a:e].strip("\n") for a, e in zip([0, *(e for _, e in of_text)], [*(a for a, _ in of_text), None])]
+        out[i] = "\n".join(p for p in pieces if p) or None
+    return out
+
+
+def sound_texts(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The ``sound_parts`` of the texts, and what ``_joined`` makes of them."""
+    texts = [t for t in sound_parts(texts) if t is not None]
+    return texts, *_joined(texts)
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -297,7 +321,7 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _count_sound(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    return _count(pd.DataFrame({"text": sound_texts(pdf["text"].tolist())[0]}) for pdf in batches)
+    return _count(pd.DataFrame({"text": [t for t in sound_parts(pdf["text"].tolist()) if t is not None]}) for pdf in batches)
 
 
 def _of_buckets(found: pd.DataFrame) -> np.ndarray:
@@ -314,8 +338,9 @@ def _of_counts(pairs: np.ndarray, firsts: np.ndarray) -> Bigrams:
 def learn_bigrams(texts: DataFrame) -> Bigrams:
     """Bigram counts of a one-column DataFrame ``text`` over all its rows, without what ciphers have put among them.
 
-    Values with characters that no page writes in running text (lost bytes, C1
-    controls and the like) say nothing of a language and are left out.
+    Sentences with characters that no page writes in running text (lost bytes, C1
+    controls and the like) say nothing of a language and are left out; what else
+    their values hold is counted.
     A cipher of many values makes its own pairs usual. But what its key restores
     is usual too, which a sound text read by a key is not, however usual itself.
     The pairs that lie in such spans are taken off the counts. Where a key and
@@ -537,10 +562,15 @@ def _count_spoiled(lm: Bigrams):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         without: set[str] = set()  # texts that hold no such span
         for pdf in batches:
-            times = Counter(t for t in pdf["text"] if t not in without)
-            texts, cp, starts = sound_texts(list(times))
+            stored = Counter(t for t in pdf["text"] if t not in without)
+            times: Counter[str] = Counter()
+            for part, n in zip(sound_parts(list(stored)), stored.values()):
+                if part is not None:
+                    times[part] += n
+            texts = list(times)
             if not texts:
                 continue
+            cp, starts = _joined(texts)
             found = spoiled_spans(cp, starts, lm)
             # of which text each span is
             of_text = {key: (np.searchsorted(starts, [a for a, _, _ in of_key], "right") - 1).tolist() for key, of_key in found.items()}

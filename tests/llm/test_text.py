@@ -275,6 +275,40 @@ def test_values_of_a_cipher_are_found_wherever_they_stand(spark):
     assert {r["row_id"] for r in out} == set(range(300, 400)) and all(r["restored"].endswith("\n" + clean[0]) for r in out)
 
 
+def _each_with_a_lost_byte():
+    """Pages of clean sentences, each with a lost byte in one of them, and other clean texts as a cipher garbled them."""
+    import random
+
+    rng = random.Random(7)
+    pages = ["\n".join([*(_stocked(rng, 8) + _stocked(rng, 8) for _ in range(10)), "甲�乙。" + _stocked(rng, 8)]) for _ in range(60)]
+    clean = [_stocked(rng, 8) for _ in range(40)]
+    return pages, clean, [t.encode("gb18030").decode("cp866") for t in clean]
+
+
+def test_a_lost_byte_keeps_no_other_sentence_out_of_the_counts(spark):
+    texts = ["甲。乙�丙！丁戊\n己", "a b. c\x85\x90 d. e. f", "�", "", "3.5 �.", "ｱｲｳｴ\n\n庚", "clean. text", "辛。�"]
+    assert encoding.sound_parts(texts) == ["甲。\n丁戊\n己", "a b.\n e. f", None, "", None, "庚", "clean. text", "辛。"]
+    for k in range(len(texts)):  # whatever stands beside a text
+        assert encoding.sound_parts(texts[k:] + texts[:k]) == encoding.sound_parts(texts)[k:] + encoding.sound_parts(texts)[:k]
+    pages, clean, wrong = _each_with_a_lost_byte()
+    whole, parts = (
+        encoding.learn_bigrams(spark.createDataFrame([(t,) for t in each], "text string"))
+        for each in (pages + wrong, [p.replace("甲�乙。", "\n") for p in pages] + wrong)
+    )
+    inside = encoding.pair_hash(encoding.code_points("".join(clean)))
+    assert len(inside) > 500 and np.allclose(whole.pair[inside], parts.pair[inside], atol=0.01)
+
+
+def test_pages_are_restored_where_each_has_a_lost_byte(spark, tmp_path):
+    from lexmill.llm import queries
+
+    pages, clean, wrong = _each_with_a_lost_byte()
+    rows = [(k, k, 1, "a", "web", t) for k, t in enumerate(pages)] + [(1000 + k, 1000, k, "b", "web", t) for k, t in enumerate(wrong)]
+    spark.createDataFrame(rows, "sent_id long, page_id long, line_no int, site string, channel string, sentence string").write.parquet(f"{tmp_path}/baseseg.parquet")
+    _, restored = queries._pages(spark, str(tmp_path))
+    assert {r["row_id"]: r["text"] for r in restored.collect()} == {1000 + k: t for k, t in enumerate(clean)}
+
+
 def test_spans_of_a_batch_are_those_of_its_texts():
     import random
 
