@@ -309,6 +309,14 @@ def test_pages_are_restored_where_each_has_a_lost_byte(spark, tmp_path):
     assert {r["row_id"]: r["text"] for r in restored.collect()} == {1000 + k: t for k, t in enumerate(clean)}
 
 
+def test_values_are_found_where_others_each_have_a_lost_byte(spark):
+    pages, clean, wrong = _each_with_a_lost_byte()
+    rows = [(k, "a", t) for k, t in enumerate(pages)] + [(1000 + k, "b", t) for k, t in enumerate(wrong)]
+    out = {r["row_id"]: r for r in encoding.garbled(spark.createDataFrame(rows, "row_id long, source string, text string")).collect()}
+    assert set(out) == set(range(60)) | set(range(1000, 1040)) and all(out[k]["lost"] and out[k]["restored"] is None for k in range(60))
+    assert [out[1000 + k]["restored"] for k in range(40)] == clean
+
+
 def test_spans_of_a_batch_are_those_of_its_texts():
     import random
 
