@@ -317,6 +317,27 @@ def test_values_are_found_where_others_each_have_a_lost_byte(spark):
     assert [out[1000 + k]["restored"] for k in range(40)] == clean
 
 
+def test_values_are_found_where_every_other_sentence_holds_an_unsound_sign(spark):
+    import random
+
+    for sign in ("××××", "····", "�"):
+        rng = random.Random(7)
+        clean = [_stocked(rng, 8) for _ in range(40)]
+        rows = [(k, "a", _stocked(rng, 10)[:-1] + sign + _stocked(rng, 10)) for k in range(200)]
+        rows += [(1000 + k, "b", t.encode("gb18030").decode("cp866")) for k, t in enumerate(clean)]
+        out = {r["row_id"]: r for r in encoding.garbled(spark.createDataFrame(rows, "row_id long, source string, text string")).collect()}
+        assert [out[1000 + k]["restored"] for k in range(40)] == clean
+        assert all(r["lost"] and r["restored"] is None for k, r in out.items() if k < 200) and len(out) == (240 if sign == "�" else 40)
+
+
+def test_pairs_beside_lost_bytes_are_not_known():
+    long, short = "一二三四五六七八", "一二三"
+    cp = encoding.code_points(f"\n{long}�{long}�{short}�\n�{short}\n")
+    pairs = [chr(a) + chr(b) for a, b in zip(cp[:-1][encoding.known_pairs(cp)], cp[1:][encoding.known_pairs(cp)])]
+    inside = [a + b for a, b in zip(long, long[1:])]
+    assert pairs == ["\n一", *inside, *inside, "一二", "二三", "三\n"]
+
+
 def test_spans_of_a_batch_are_those_of_its_texts():
     import random
 
