@@ -29,9 +29,10 @@ import codecs
 import math
 from bisect import bisect_left, bisect_right
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import blake2b
 from itertools import accumulate
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -549,11 +550,8 @@ def read_as(cp: np.ndarray, read: str) -> Read:
     return data, starts, np.cumsum(letter, dtype=np.int32)
 
 
-def restorable(cp: np.ndarray, bytes_read: Read, written: str, lm: Bigrams) -> list[tuple[int, int, str]]:
-    """``(start, end, original)`` of the spans, as in ``spans``, that read well once they are restored.
-
-    ``cp`` has code points of any number of texts between line ends; no shape has a line end.
-    """
+def readable(bytes_read: Read, written: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Where the spans begin and end, as in ``spans``, whatever they are read as: their letters and their bytes."""
     data, starts, letter = bytes_read
     inside = np.zeros(len(data) + 2, np.int8)
     inside[1:-1] = shaped(data, written)
@@ -568,9 +566,12 @@ def restorable(cp: np.ndarray, bytes_read: Read, written: str, lm: Bigrams) -> l
         whole = e > a
         a, e = a[whole], e[whole]
         lo, hi = starts[a], starts[e]
-    if not len(a):
-        return []
-    # all spans in a row, each between two line ends in the place of its neighbours
+    return a, e, lo, hi
+
+
+def read_again(bytes_read: Read, written: str, lo: np.ndarray, hi: np.ndarray) -> tuple[str, np.ndarray, np.ndarray, np.ndarray]:
+    """The spans of bytes in the page in which they were written, in a row between two line ends each; its code points, and where these line ends are."""
+    data, starts, _ = bytes_read
     taken = np.zeros(len(data) + 1, np.int8)
     taken[lo] = 1
     taken[hi] -= 1
@@ -584,8 +585,19 @@ def restorable(cp: np.ndarray, bytes_read: Read, written: str, lm: Bigrams) -> l
     text = row.tobytes().decode(written, "lexmill.undecoded" if starts is None else "ignore")
     q = code_points(text).copy()
     ends = np.flatnonzero(q == 10)
-    left, right = ends[::2], ends[1::2]
-    q[left], q[right] = cp[a - 1], cp[e]
+    return text, q, ends[::2], ends[1::2]
+
+
+def restorable(cp: np.ndarray, bytes_read: Read, written: str, lm: Bigrams) -> list[tuple[int, int, str]]:
+    """``(start, end, original)`` of the spans, as in ``spans``, that read well once they are restored.
+
+    ``cp`` has code points of any number of texts between line ends; no shape has a line end.
+    """
+    a, e, lo, hi = readable(bytes_read, written)
+    if not len(a):
+        return []
+    text, q, left, right = read_again(bytes_read, written, lo, hi)
+    q[left], q[right] = cp[a - 1], cp[e]  # its neighbours beside each span
     # beside a lost sign nothing speaks for or against the first or the last letter
     lost = _once(_lost_signs)
     begins, stops = left + lost[q[left]], right - lost[q[right]]
@@ -610,9 +622,8 @@ def _sign_classes() -> tuple[list[regex.Pattern], np.ndarray]:
     return signs, out
 
 
-def spoiled_spans(cp: np.ndarray, starts: np.ndarray, lm: Bigrams) -> dict[tuple[str, str], list[tuple[int, int, str]]]:
-    """The spans of each key in all the texts that read well once they are restored."""
-    out: dict[tuple[str, str], list[tuple[int, int, str]]] = {}
+def tried_keys(cp: np.ndarray, starts: np.ndarray) -> Iterator[tuple[tuple[str, str], np.ndarray, np.ndarray, Read]]:
+    """Each key with the places of the texts on which it is to be tried, their code points, and what ``read_as`` makes of them."""
     signs, of_char = _once(_sign_classes)
     has = np.bitwise_or.reduceat(of_char[cp], starts)
     sizes = np.diff(np.append(starts, len(cp)))
@@ -625,25 +636,88 @@ def spoiled_spans(cp: np.ndarray, starts: np.ndarray, lm: Bigrams) -> dict[tuple
         for page in [page for page in _SIGNS if _SIGNS[page] is sign]:
             bytes_read = read_as(some, page)
             for key in KEYS:
-                if key[0] == page and (found := restorable(some, bytes_read, key[1], lm)):
-                    out[key] = [(int(place[a]), int(place[e - 1]) + 1, original) for a, e, original in found]
+                if key[0] == page:
+                    yield key, place, some, bytes_read
+
+
+def spoiled_spans(cp: np.ndarray, starts: np.ndarray, lm: Bigrams) -> dict[tuple[str, str], list[tuple[int, int, str]]]:
+    """The spans of each key in all the texts that read well once they are restored."""
+    out: dict[tuple[str, str], list[tuple[int, int, str]]] = {}
+    for key, place, some, bytes_read in tried_keys(cp, starts):
+        if found := restorable(some, bytes_read, key[1], lm):
+            out[key] = [(int(place[a]), int(place[e - 1]) + 1, original) for a, e, original in found]
+    return out
+
+
+class Spans(NamedTuple):
+    """The spans of a key in texts between line ends, in order."""
+
+    of: np.ndarray  # number of the text
+    start: np.ndarray
+    end: np.ndarray
+    old: np.ndarray  # log-likelihood as it stands
+    new: np.ndarray  # and restored
+    size: np.ndarray  # letters of the original
+    sound: np.ndarray  # whether the original holds nothing unsound
+    text: str  # all originals
+    at: np.ndarray  # where in it each begins
+
+
+def _unreadable_signs() -> np.ndarray:
+    """Code point to whether no original may hold it."""
+    out = np.zeros(0x110000, bool)
+    out[[*range(0x20), *range(0x7F, 0xA0), ord(_UNDECODED)]] = True
     return out
 
 
+def all_spans(cp: np.ndarray, starts: np.ndarray, lm: Bigrams, wanted: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]) -> Iterator[tuple[int, Spans]]:
+    """The ``spans`` of each key in all the texts of which ``wanted`` is true, given their starts, ends and log-likelihoods as they stand."""
+    sums = np.zeros(len(cp))
+    np.cumsum(lm.pair[pair_hash(cp)] - lm.first[first_hash(cp[:-1])], out=sums[1:])
+    for key, place, some, bytes_read in tried_keys(cp, starts):
+        a, e, lo, hi = readable(bytes_read, key[1])
+        start, end = place[a], place[e - 1] + 1
+        old = sums[end] - sums[start - 1]
+        if not (kept := wanted(start, end, old)).any():
+            continue
+        a, e, lo, hi, start, end, old = (x[kept] for x in (a, e, lo, hi, start, end, old))
+        text, q, left, right = read_again(bytes_read, key[1], lo, hi)
+        inside = np.arange(len(q)) - np.repeat(left, right - left + 1)  # place in its span, the line end before it being 0
+        of = np.repeat(np.arange(len(left)), right - left + 1)
+        unreadable, odd = _once(_unreadable_signs)[q], unsound(q)
+        unreadable[left] = unreadable[right] = False
+        same = some[np.minimum(a[of] + inside - 1, len(some) - 1)] == q
+        same[left] = same[right] = True
+        same = (np.bincount(of, ~same, len(left)) == 0) & (right - left - 1 == e - a)
+        readable_ = (right > left + 1) & ~same & (np.bincount(of, unreadable, len(left)) == 0)
+        sound = np.bincount(of, odd, len(left)) == 0
+        q[left], q[right] = some[a - 1], some[e]
+        steps = lm.pair[pair_hash(q)] - lm.first[first_hash(q[:-1])]
+        steps[right[:-1]] = 0
+        # added up span by span: what two keys read alike is as likely by both, to the last bit
+        new = np.bincount(of[:-1], steps, len(left))
+        if readable_.any():
+            text_of = np.searchsorted(starts, start, "right") - 1
+            columns = (text_of, start, end, old, new, right - left - 1, sound)
+            yield KEYS.index(key), Spans(*(x[readable_] for x in columns), text, left[readable_] + 1)
+
+
 def key_bit(key: tuple[str, str]) -> int:
     """The key's bit in ``_count_spoiled``."""
     return 2 << REVERSIBLE.index(key) if key in REVERSIBLE else 1
 
 
-def freeing_key(text: str, lm: Bigrams) -> int:
-    """A key that makes fair text without unsound signs of a span that holds some (-1: none)."""
-    at = [i for i in np.flatnonzero(unsound(code_points(text))).tolist() if text[i] != "\ufffd"]
-    for k, key in enumerate(KEYS if at else []):
-        for a, e, original in spans(text, key) if _SIGNS[key[0]].search(text) else []:
-            if bisect_left(at, a) < bisect_left(at, e) and lm.score(f"{text[a - 1] if a else chr(10)}{original}{text[e : e + 1] or chr(10)}") >= FAIR * (len(original) + 1):
-                if not unsound(code_points(original)).any():
-                    return k
-    return -1
+def freeing_keys(texts: list[str], lm: Bigrams) -> list[int]:
+    """Of each text a key that makes fair text without unsound signs of a span that holds some (-1: none)."""
+    out = [-1] * len(texts)
+    if not texts:
+        return out
+    cp, starts = _joined(texts)
+    before = np.concatenate([[0], np.cumsum(unsound(cp) & (cp != 0xFFFD))])
+    for k, s in all_spans(cp, starts, lm, lambda start, end, old: before[end] > before[start]):
+        for i in set(s.of[s.sound & (s.new >= FAIR * (s.size + 1))].tolist()):
+            out[i] = min(k, out[i]) if out[i] >= 0 else k
+    return out
 
 
 def _count_spoiled(lm: Bigrams):
@@ -679,15 +753,11 @@ def _count_spoiled(lm: Bigrams):
             whole = dict.fromkeys(doubted, 0)
             known, beyond = known_pairs(cp), cp > 127
             told = known & (beyond[:-1] | beyond[1:])  # pairs that could tell garbled text
-            for i in set(doubted) - spoiled:
-                if not told[starts[i] - 1 : starts[i] + len(texts[i])].any():
-                    continue
-                k = freeing_key(texts[i], lm)
-                if k < 0:
-                    g, best, _ = best_key(texts[i], lm)
-                    k = best if g > SURE_OF_KEY else -1
-                if k >= 0:
-                    whole[i] = key_bit(KEYS[k])
+            asked_of = [i for i in doubted if i not in spoiled and told[starts[i] - 1 : starts[i] + len(texts[i])].any()]
+            freeing = dict(zip(asked_of, freeing_keys([texts[i] for i in asked_of], lm)))
+            rest = [i for i in asked_of if freeing[i] < 0]
+            freeing |= {i: best if g > SURE_OF_KEY else -1 for i, (g, best, _) in zip(rest, best_keys([texts[i] for i in rest], lm))}
+            whole |= {i: key_bit(KEYS[k]) for i, k in freeing.items() if k >= 0}
             spoiled.update(i for i, bits in whole.items() if bits)
             if len(without) > KEPT:
                 without.clear()
@@ -737,69 +807,60 @@ def common(ch: str) -> bool:
     return False
 
 
-Spans = list[tuple[int, int, str, float]]
-
-
-def doubtful(text: str, key: tuple[str, str], before: list[float]) -> Spans:
-    """The spans of the key that read badly as they stand, each with its log-likelihood.
-
-    ``before`` has the running sums of ``Bigrams.steps`` over the text between line ends.
-    """
-    out = []
-    for a, e, original in spans(text, key):
-        old = before[e + 1] - before[a]
-        if old <= USUAL * (e - a + 1):
-            out.append((a, e, original, old))
-    return out
-
-
-def gain(text: str, found: Spans, lm: Bigrams) -> tuple[float, str]:
-    """Gain in log-likelihood over the spans that gain, and the text with these restored."""
-    pieces = [f"{text[a - 1] if a else chr(10)}{original}{text[e : e + 1] or chr(10)}" for a, e, original, _ in found]
-    starts = list(accumulate((len(p) for p in pieces), initial=0))
-    steps = lm.steps("".join(pieces))
-    sums = np.concatenate([[0.0], np.cumsum(steps, dtype=np.float64)]).tolist()
-    total, out, done = 0.0, [], 0
-    for (a, e, original, old), lo, hi in zip(found, starts, starts[1:]):
-        new = sums[hi - 1] - sums[lo]
-        if new - old > FLOOR:
-            total += new - old
-            out += [text[done:a], original]
-            done = e
-    return total, "".join(out) + text[done:]
-
-
-def reread(text: str, key: tuple[str, str], controls: bool) -> str:
+def replaced(text: str, found: list[tuple[int, int, str]]) -> str:
     out, done = [], 0
-    for a, e, original in spans(text, key, controls):
+    for a, e, original in found:
         out += [text[done:a], original]
         done = e
     return "".join(out) + text[done:]
 
 
-def best_key(text: str, lm: Bigrams) -> tuple[float, int, str]:
-    """The largest gain, its key (-1: none) and what it restores.
+def reread(text: str, key: tuple[str, str], controls: bool) -> str:
+    return replaced(text, spans(text, key, controls))
+
+
+def best_keys(texts: list[str], lm: Bigrams) -> list[tuple[float, int, str]]:
+    """Of each text the largest gain in log-likelihood over the spans that gain, its key (-1: none) and what it restores.
 
-    A text that went the same wrong way twice is read twice.
+    A key is tried on all texts at once, on the spans that read badly as they
+    stand. A text that went the same wrong way twice is read twice.
     """
-    best = (0.0, -1, text)
-    before = [0.0, *np.cumsum(lm.steps(f"\n{text}\n"), dtype=np.float64).tolist()]
-    tries = []
-    for k, key in enumerate(KEYS):
-        if _SIGNS[key[0]].search(text) and (found := doubtful(text, key, before)):
-            # what the key could gain if each letter were as sure as can be
-            tries.append((sum(-old - len(original) * SUREST for _, _, original, old in found), k, found))
-    for most, k, found in sorted(tries, key=lambda x: (-x[0], x[1])):
-        if most <= best[0]:
-            break
-        g, t = gain(text, found, lm)
-        if g > best[0]:
-            best = (g, k, t)
-    if "\u00c3" in text:
-        t = reread(reread(text, TWICE, True), TWICE, False)
-        if t != text and (g := lm.score(f"\n{t}\n") - before[-1]) > best[0]:
-            best = (g, KEYS.index(TWICE), t)
-    return best
+    if not texts:
+        return []
+    cp, starts = _joined(texts)
+    tries: list[list[tuple[float, int, float]]] = [[] for _ in texts]
+    gaining: dict[int, Spans] = {}
+    for k, s in all_spans(cp, starts, lm, lambda start, end, old: old <= USUAL * (end - start + 1)):
+        gains = s.new - s.old > FLOOR
+        # what the key could gain if each letter were as sure as can be
+        most = np.bincount(s.of, -s.old - s.size * SUREST, len(texts))
+        total = np.bincount(s.of, np.where(gains, s.new - s.old, 0), len(texts))
+        at = np.unique(s.of)
+        for i, m, g in zip(at.tolist(), most[at].tolist(), total[at].tolist()):
+            tries[i].append((-m, k, g))
+        gaining[k] = Spans(*(x[gains] if isinstance(x, np.ndarray) else x for x in s))
+    best = []
+    for of_text in tries:
+        g, k = 0.0, -1
+        for least, tried, now in sorted(of_text):
+            if -least <= g:
+                break
+            if now > g:
+                g, k = now, tried
+        best.append((g, k))
+    chosen, begins = np.array([k for _, k in best]), starts.tolist()
+    pieces: dict[int, list[tuple[int, int, str]]] = {}
+    for k, s in gaining.items():
+        here = np.flatnonzero(chosen[s.of] == k)
+        for i, a, e, at, n in zip(*(x[here].tolist() for x in (s.of, s.start, s.end, s.at, s.size))):
+            pieces.setdefault(i, []).append((a - begins[i], e - begins[i], s.text[at : at + n]))
+    out = [(g, k, replaced(text, pieces.get(i, []))) for i, (text, (g, k)) in enumerate(zip(texts, best))]
+    for i, text in enumerate(texts):
+        if "\u00c3" in text:
+            t = reread(reread(text, TWICE, True), TWICE, False)
+            if t != text and (g := lm.score(f"\n{t}\n") - float(np.sum(lm.steps(f"\n{text}\n"), dtype=np.float64))) > out[i][0]:
+                out[i] = (g, KEYS.index(TWICE), t)
+    return out
 
 
 def suspects(texts: list[str], lm: Bigrams) -> np.ndarray:
@@ -831,11 +892,11 @@ def _analyse(lm: Bigrams):
             lost = pdf["lost"].to_numpy(bool)
             for source, n in pdf["source"].value_counts().items():
                 out.append((None, source, False, VALUES, float(n), None, None))
-            for r in sorted(odd.keys() | set(np.flatnonzero(lost))):
-                lines = texts[r].split("\n")
+            rows = sorted(odd.keys() | set(np.flatnonzero(lost)))
+            split = [texts[r].split("\n") for r in rows]
+            odd_texts = ["\n".join(lines[i] for i in odd.get(r, [])) for r, lines in zip(rows, split)]
+            for r, lines, odd_text, (g, k, restored) in zip(rows, split, odd_texts, best_keys(odd_texts, lm)):
                 at = odd.get(r, [])
-                g, k, restored = best_key("\n".join(lines[i] for i in at), lm)
-                odd_text = "\n".join(lines[i] for i in at)
                 unexplained = k < 0 and not lost[r] and bool(_ONE_BYTE.search(odd_text)) and not _EASTERN.search(odd_text)
                 if lost[r] or k >= 0 or unexplained:
                     for i, line in zip(at, restored.split("\n")):

@@ -364,6 +364,59 @@ def test_spans_of_a_batch_are_those_of_its_texts():
         assert set(found.get(key, [])) == want, key
 
 
+def _best_key(text, lm):
+    """The search for the best key, span by span."""
+    padded, tries = f"\n{text}\n", []
+    for k, key in enumerate(encoding.KEYS):
+        most = total = 0.0
+        out, done = "", 0
+        for a, e, original in encoding.spans(text, key) if encoding._SIGNS[key[0]].search(text) else []:
+            old = lm.steps(padded[a : e + 2])[: e - a + 1].sum(dtype=np.float64)
+            if old <= encoding.USUAL * (e - a + 1):
+                most += -old - len(original) * encoding.SUREST
+                new = lm.steps(padded[a] + original + padded[e + 1]).sum(dtype=np.float64)
+                if new - old > encoding.FLOOR:
+                    total, out, done = total + new - old, out + text[done:a] + original, e
+        if most:
+            tries.append((-most, k, total, out + text[done:]))
+    best = (0.0, -1, text)
+    for least, k, total, restored in sorted(tries):
+        if -least <= best[0]:
+            break
+        if total > best[0]:
+            best = (total, k, restored)
+    return best
+
+
+def test_keys_are_tried_on_all_texts_of_a_batch_at_once(monkeypatch):
+    import random
+
+    rng = random.Random(11)
+    clean = [_stocked(rng, 6) for _ in range(60)] + [_russian(rng, 12) for _ in range(60)] + ["Müller aß dort Käse à la carte, señor; où est l'été"] * 9
+    texts = ["", "\n", "�", "é�\né", "××××", "a\nﾀ𠀀é😀", "甲乙\x81é"]
+    for read, written in encoding.KEYS:
+        texts += [rng.choice(clean).encode(written, "ignore").decode(read, how) + end for how in ("ignore", "replace") for end in ("", "\nﾀ", rng.choice(clean))]
+    texts = [t.replace("Ã", "") for t in texts]  # these are read twice, one by one
+    both = encoding._of_buckets(next(encoding._count(iter([pd.DataFrame({"text": clean})]))))
+    lm = encoding._of_counts(both[: encoding.BUCKETS], both[encoding.BUCKETS :])
+    want = [_best_key(t, lm) for t in texts]
+    assert len({k for _, k, _ in want}) > 15
+
+    def one_by_one(*_):
+        raise AssertionError("a key was tried on a single text")
+
+    monkeypatch.setattr(encoding, "spans", one_by_one)
+    rows = pd.DataFrame({"row_id": [str(i) for i in range(len(texts))], "source": "a", "lost": True, "text": texts})
+    out = pd.concat(encoding._analyse(lm)(iter([rows]))).dropna(subset="row_id").set_index("row_id")
+    odd = {i: [line for line in t.split("\n") if encoding.suspects([line], lm)[0]] if encoding.suspects([t], lm)[0] else [] for i, t in enumerate(texts)}
+    assert sum(map(bool, odd.values())) > 100
+    got = encoding.best_keys(texts, lm)
+    for i, (text, (gain, k, restored)) in enumerate(zip(texts, want)):
+        assert got[i][1:] == (k, restored) and got[i][0] == pytest.approx(gain), text
+        if odd[i] == text.split("\n"):
+            assert (out.loc[str(i), "key"], out.loc[str(i), "restored"]) == (k, restored)
+
+
 RUSSIAN = (
     "старик жил у самого моря и каждое утро выходил на берег смотреть как возвращаются лодки рыбаки привозили сети полные рыбы и рассказывали о далёких островах "
     "его дочь работала в школе учила детей читать и писать вечером они пили чай говорили о погоде и о том что зима в этом году будет долгая и холодная мельник "
