@@ -224,8 +224,12 @@ class Bigrams:
 
     def steps(self, text: str) -> np.ndarray:
         """Log-probability of each character after the one before it."""
-        cp = code_points(text)
-        return self.pair[pair_hash(cp)] - self.first[first_hash(cp)[:-1]]
+        return self.steps_of(code_points(text))
+
+    def steps_of(self, cp: np.ndarray) -> np.ndarray:
+        """The ``steps`` of code points."""
+        at = cp.astype(np.intp)  # the kind of number by which arrays are indexed
+        return self.pair[pair_hash(at).astype(np.intp)] - self.first[first_hash(at[:-1])]
 
     def score(self, text: str) -> float:
         return float(self.steps(text).sum()) if len(text) > 1 else 0.0
@@ -239,13 +243,14 @@ def _hash_parts() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """What a code point adds to the hash of a pair as its first and as its second, and its own; all digits are one letter."""
     cp = np.arange(0x110000, dtype=np.int64)
     cp[48:58] = 48
-    return (cp * 40503 % PAIRS).astype(np.int32), (cp * 15731 % PAIRS).astype(np.int32), (cp % FIRSTS).astype(np.int32)
+    return (cp * 40503 % PAIRS).astype(np.uint32), (cp * 15731 % PAIRS).astype(np.uint32), (cp % FIRSTS).astype(np.int32)
 
 
 def pair_hash(cp: np.ndarray) -> np.ndarray:
     first, second, _ = _once(_hash_parts)
-    h = first[cp[:-1]] + second[cp[1:]]
-    h -= np.int32(PAIRS) * (h >= PAIRS)
+    h = first[cp[:-1]]
+    h += second[cp[1:]]
+    np.minimum(h, h - np.uint32(PAIRS), out=h)  # below PAIRS the difference wraps around
     return h
 
 
@@ -469,6 +474,11 @@ def _byte_classes(written: str) -> tuple[np.ndarray, ...]:
     }[written]
 
 
+def _those_of(raw: bytes, kind: np.ndarray) -> np.ndarray:
+    """Which bytes are of the kind."""
+    return np.frombuffer(bytearray(raw.translate(kind.tobytes())), bool)
+
+
 def shaped(data: np.ndarray, written: str) -> np.ndarray:
     """Which bytes lie in a match of the page's shape; each run of them is one match of ``_shape(written)``."""
     if written == "utf-8":
@@ -484,17 +494,21 @@ def shaped(data: np.ndarray, written: str) -> np.ndarray:
     if written not in _SHAPES:
         return data >= 0x80
     first, second, single = _once(_byte_classes, written)
-    pair = first[data]
-    pair[:-1] &= second[data[1:]]
+    raw = data.tobytes()
+    pair = _those_of(raw, first)
+    pair[:-1] &= _those_of(raw, second)[1:]
     pair[-1:] = False
     # a letter is read from the start of each run of possible first bytes: the byte after a run is none
     rise = pair.copy()
     rise[1:] &= ~pair[:-1]
-    at = np.arange(len(data), dtype=np.int32)
-    pair &= ((at - np.maximum.accumulate(np.where(rise, at, 0))) & 1) == 0
+    begins = np.flatnonzero(rise)
+    if len(begins):
+        odd = np.zeros(len(data), bool)
+        odd[1::2] = True
+        pair[begins[0] :] &= odd[begins[0] :] == np.repeat(odd[begins], np.diff(begins, append=len(data)))
     out = pair.copy()
     out[1:] |= pair[:-1]
-    return out | single[data] if single.any() else out
+    return out | _those_of(raw, single) if single.any() else out
 
 
 def _narrow_bytes(page: str) -> np.ndarray:
@@ -507,30 +521,32 @@ def _narrow_bytes(page: str) -> np.ndarray:
     return out
 
 
-def _wide_bytes(page: str) -> tuple[np.ndarray, np.ndarray]:
-    """Code point below U+10000 to its bytes in the page, a single 0 where there are none, in four places, and which of these are in use."""
+def _wide_bytes(page: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code point below U+10000 to its bytes in the page, a single 0 where there are none, in four places, which of these are in use, and how many."""
     each = "\n".join(map(chr, range(0x10000))).encode(page, "replace").split(b"\n")
     each[10:12] = [b"\n"]  # the line end itself was split in two
     rows = np.array(each, "S4").view(np.uint8).reshape(-1, 4).copy()
     rows[(rows[:, 0] == 0x3F) & (np.arange(0x10000) != 0x3F)] = 0
-    return rows, (rows > 0) | (np.arange(4) == 0)
+    used = (rows > 0) | (np.arange(4) == 0)
+    return rows, used, used.sum(1)
 
 
 def bytes_of(cp: np.ndarray, read: str) -> tuple[np.ndarray, np.ndarray | None]:
     """The bytes that were read as the code points, and where each letter starts (and the last ends) if they vary in length."""
     if read not in MULTI:
         return _once(_narrow_bytes, read)[cp], None
-    rows, used = _once(_wide_bytes, read)
+    rows, used, sizes = _once(_wide_bytes, read)
     if cp.max(initial=0) > 0xFFFF:
         beyond, at = np.unique(cp[cp > 0xFFFF], return_inverse=True)
         each = [chr(c).encode(read, "ignore") or b"\0" for c in beyond.tolist()]
         rows = np.concatenate([rows, np.array(each, "S4").view(np.uint8).reshape(-1, 4)])
         used = np.concatenate([used, np.array([[k < len(b) for k in range(4)] for b in each])])
+        sizes = np.concatenate([sizes, np.array([len(b) for b in each])])
         cp = cp.copy()
         cp[cp > 0xFFFF] = 0x10000 + at
     four = used.view(np.uint32)[cp, 0]  # the four places of a letter at once
     data = rows.view(np.uint32)[cp, 0].view(np.uint8)[four.view(bool)]
-    return data, np.concatenate([np.zeros(1, np.int64), np.cumsum(used.sum(1)[cp])])
+    return data, np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes[cp])])
 
 
 def _undecoded(e: UnicodeDecodeError) -> tuple[str, int]:
@@ -602,13 +618,20 @@ def restorable(cp: np.ndarray, bytes_read: Read, written: str, lm: Bigrams) -> l
     lost = _once(_lost_signs)
     begins, stops = left + lost[q[left]], right - lost[q[right]]
     sums = np.zeros(len(q))
-    np.cumsum(lm.pair[pair_hash(q)] - lm.first[first_hash(q[:-1])], out=sums[1:])
+    np.cumsum(lm.steps_of(q), out=sums[1:])
     steps = stops - begins
     well = (sums[stops] - sums[begins] >= USUAL * steps) & (steps > np.where(steps < right - left, 2, 1))
+    at = np.flatnonzero(well)
+    differs = right[at] - left[at] - 1 != e[at] - a[at]
+    if len(alike := at[~differs]):  # many are signs that two pages have in the same place
+        n = e[alike] - a[alike]
+        begins = np.cumsum(n) - n
+        inside = np.arange(n.sum()) - np.repeat(begins, n)
+        differs[~differs] = np.logical_or.reduceat(cp[np.repeat(a[alike], n) + inside] != q[np.repeat(left[alike] + 1, n) + inside], begins)
     out = []
-    for k in np.flatnonzero(well).tolist():
+    for k in at[differs].tolist():
         original = text[left[k] + 1 : right[k]]
-        if _UNDECODED not in original and not _CONTROL.search(original) and not np.array_equal(q[left[k] + 1 : right[k]], cp[a[k] : e[k]]):
+        if _UNDECODED not in original and not _CONTROL.search(original):
             out.append((int(a[k]), int(e[k]), original))
     return out
 
@@ -622,8 +645,26 @@ def _sign_classes() -> tuple[list[regex.Pattern], np.ndarray]:
     return signs, out
 
 
+def beside_upper(data: np.ndarray) -> np.ndarray:
+    """Where the bytes of the upper half are, and those that a span or its neighbours may need of the others.
+
+    A letter begins with such a byte, so a span ends at the latest with the byte
+    after one. What is left out lies between two neighbours of spans, of which none
+    begins a letter: the same spans begin and end at the same bytes without it.
+    """
+    upper = data >= 0x80
+    near = upper.copy()
+    near[:-1] |= upper[1:]
+    near[1:] |= upper[:-1]
+    near[2:] |= upper[:-2]
+    return np.flatnonzero(near)
+
+
 def tried_keys(cp: np.ndarray, starts: np.ndarray) -> Iterator[tuple[tuple[str, str], np.ndarray, np.ndarray, Read]]:
-    """Each key with the places of the texts on which it is to be tried, their code points, and what ``read_as`` makes of them."""
+    """Each key with the places of the texts on which it is to be tried, their code points, and what ``read_as`` makes of them.
+
+    Of a page of one byte a letter only the places ``beside_upper`` are given.
+    """
     signs, of_char = _once(_sign_classes)
     has = np.bitwise_or.reduceat(of_char[cp], starts)
     sizes = np.diff(np.append(starts, len(cp)))
@@ -634,10 +675,13 @@ def tried_keys(cp: np.ndarray, starts: np.ndarray) -> Iterator[tuple[tuple[str,
         place = np.flatnonzero(np.concatenate([[True], np.repeat(tried, sizes)]))  # the first line end, and each text with the one after it
         some = cp[place]
         for page in [page for page in _SIGNS if _SIGNS[page] is sign]:
-            bytes_read = read_as(some, page)
+            of_page, chars, bytes_read = place, some, read_as(some, page)
+            if page not in MULTI:
+                near = beside_upper(bytes_read[0])
+                of_page, chars, bytes_read = place[near], some[near], (bytes_read[0][near], None, None)
             for key in KEYS:
                 if key[0] == page:
-                    yield key, place, some, bytes_read
+                    yield key, of_page, chars, bytes_read
 
 
 def spoiled_spans(cp: np.ndarray, starts: np.ndarray, lm: Bigrams) -> dict[tuple[str, str], list[tuple[int, int, str]]]:
@@ -673,7 +717,7 @@ def _unreadable_signs() -> np.ndarray:
 def all_spans(cp: np.ndarray, starts: np.ndarray, lm: Bigrams, wanted: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]) -> Iterator[tuple[int, Spans]]:
     """The ``spans`` of each key in all the texts of which ``wanted`` is true, given their starts, ends and log-likelihoods as they stand."""
     sums = np.zeros(len(cp))
-    np.cumsum(lm.pair[pair_hash(cp)] - lm.first[first_hash(cp[:-1])], out=sums[1:])
+    np.cumsum(lm.steps_of(cp), out=sums[1:])
     for key, place, some, bytes_read in tried_keys(cp, starts):
         a, e, lo, hi = readable(bytes_read, key[1])
         start, end = place[a], place[e - 1] + 1
@@ -692,7 +736,7 @@ def all_spans(cp: np.ndarray, starts: np.ndarray, lm: Bigrams, wanted: Callable[
         readable_ = (right > left + 1) & ~same & (np.bincount(of, unreadable, len(left)) == 0)
         sound = np.bincount(of, odd, len(left)) == 0
         q[left], q[right] = some[a - 1], some[e]
-        steps = lm.pair[pair_hash(q)] - lm.first[first_hash(q[:-1])]
+        steps = lm.steps_of(q)
         steps[right[:-1]] = 0
         # added up span by span: what two keys read alike is as likely by both, to the last bit
         new = np.bincount(of[:-1], steps, len(left))

@@ -17,6 +17,7 @@ size.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
@@ -79,12 +80,15 @@ def may_differ(text: Column) -> Column:
     """Whether the text holds ``CANDIDATE``, by the cheapest tests first."""
     first, *scripts, before, after = CANDIDATE.split("|")
     beside = ~consists_of(text, f"^{_OTHER_SCRIPTS}") & text.rlike("|".join(scripts))
-    kana = ~consists_of(text, f"^{''.join(KANA_HAN)}") & text.rlike(f"{before}|{after}")
+    # one range is read much faster than single letters; what else lies in it the pattern tells
+    kana = ~consists_of(text, f"^{min(KANA_HAN)}-{max(KANA_HAN)}") & text.rlike(f"{before}|{after}")
     found = ~consists_of(text, _EVER_PLAIN) & (~consists_of(text, f"^{first[1:-1]}") | beside | kana)
     return F.coalesce(found, F.lit(False))
 
 _SCRIPTS = {name: regex.compile(rf"\p{{{name}}}") for name in ("Latin", "Cyrillic", "Greek", "Armenian", "Cherokee")}
 _WORD = regex.compile(r"[\p{Latin}\p{Cyrillic}\p{Greek}\p{Armenian}\p{Cherokee}]+")
+_NOT_LATIN = regex.compile("[" + "".join(rf"\p{{{name}}}" for name in _SCRIPTS if name != "Latin") + "]")
+_MIXED = regex.compile("|".join(rf"\p{{{name}}}[{''.join(rf'\p{{{other}}}' for other in _SCRIPTS if other != name)}]" for name in _SCRIPTS))
 _KANA = regex.compile(r"(?<![぀-ヿ])[" + "".join(KANA_HAN) + r"](?![぀-ヿ])")
 _HAN = regex.compile(r"[㐀-鿿]")
 _KEPT = regex.compile(r"(?<=\p{Extended_Pictographic})️|(?<=[\p{Extended_Pictographic}️\U0001F3FB-\U0001F3FF])‍(?=\p{Extended_Pictographic})")
@@ -238,6 +242,14 @@ class Frequencies:
         return int(self.counts[self.place(string)])
 
 
+def _any_of(chars: set[str]) -> re.Pattern:
+    """Runs of the characters; ``re`` looks each character up in a table."""
+    code = sorted(map(ord, chars))
+    starts = [c for c in code if chr(c - 1) not in chars]
+    ends = [c for c in code if chr(c + 1) not in chars]
+    return re.compile("[" + "".join(rf"\U{a:08x}-\U{e:08x}" for a, e in zip(starts, ends)) + "]+" if code else "(?!)")
+
+
 class Rewriter:
     """Plain form of texts, for given representatives, script frequencies and frequencies of strings."""
 
@@ -246,6 +258,7 @@ class Rewriter:
         for member, to in rewrite.items():
             self.automaton.add_word(member, (len(member), to))
         self.automaton.make_automaton()
+        self.telling = _any_of({m for m in rewrite if len(m) == 1} | {c for m in rewrite for c in m[1:]})
         self.scripts, self.known = scripts, known or Frequencies()
         self.same = letters(SAME_LOOK)
         similar = letters(SIMILAR_LOOK)
@@ -254,12 +267,15 @@ class Rewriter:
     def _pass(self, text: str) -> str:
         kept = {m.start() for m in _KEPT.finditer(text)} if _EMOJI.search(text) else ()
         out, done = [], 0
-        for end, (n, to) in self.automaton.iter_long(text):
-            start = end + 1 - n
-            if start in kept:
-                continue
-            out += [text[done:start], to]
-            done = end + 1
+        # a pattern is a telling character, or any character and telling ones: it lies in a run of these with the character before it
+        for run in self.telling.finditer(text):
+            begin = max(run.start() - 1, 0)
+            for end, (n, to) in self.automaton.iter_long(text[begin : run.end()]):
+                start = begin + end + 1 - n
+                if start in kept:
+                    continue
+                out += [text[done:start], to]
+                done = begin + end + 1
         return "".join(out) + text[done:] if done else text
 
     def spellings(self, word: str, own: list[str], tables: dict[str, dict[str, str]]) -> dict[str, str]:
@@ -300,7 +316,8 @@ class Rewriter:
         # what is rewritten may become part of a longer pattern; a pass that changes nothing is the last
         while _NOT_PLAIN.search(text) and (new := self._pass(text)) != text:
             text = new
-        text = _WORD.sub(self._word, text)
+        if _NOT_LATIN.search(text) and _MIXED.search(text):
+            text = _WORD.sub(self._word, text)
         return _KANA.sub(self._kana, text)
 
 

@@ -37,6 +37,25 @@ def test_plain_forms(rewriter, raw, plain):
     assert rewriter.plain(plain) == plain
 
 
+def test_patterns_are_looked_for_only_where_they_can_stand(rewriter, monkeypatch):
+    class Watched:
+        def __init__(self, automaton):
+            self.automaton, self.given = automaton, []
+
+        def iter_long(self, text):
+            self.given.append(text)
+            return self.automaton.iter_long(text)
+
+    long = "今天下雨，明天放晴。" * 50
+    text = f"{long}e\u0301t{long}ｶﾞ{long}❤\ufe0f{long}Ａ"
+    watched = Watched(rewriter.automaton)
+    monkeypatch.setattr(rewriter, "automaton", watched)
+    assert rewriter.plain(text) == f"{long}ét{long}ガ{long}❤\ufe0f{long}A"
+    assert watched.given[:4] == ["e\u0301", "。ｶﾞ", "❤\ufe0f", "。Ａ"]
+    monkeypatch.setattr(rewriter, "_word", None)  # nor are words looked at where no two scripts meet
+    assert rewriter.plain("карта и clock\u200b, Ａ") == "карта и clock, A"
+
+
 def test_frequent_spellings_represent_a_class():
     known = lookalike.Frequencies()
     for word, n in [("paper", 9), ("карта", 5), ("ニ重", 40), ("口音", 7)]:
@@ -364,6 +383,16 @@ def test_spans_of_a_batch_are_those_of_its_texts():
         assert set(found.get(key, [])) == want, key
 
 
+def test_pages_of_one_byte_are_tried_only_beside_their_letters():
+    long = "今天下雨，明天放晴。" * 50
+    text = f"{long}“a”{long}é"
+    cp, starts = encoding._joined([text])
+    tried = {key: (place, some) for key, place, some, _ in encoding.tried_keys(cp, starts)}
+    assert "".join(map(chr, tried["cp1252", "big5hkscs"][1])) == "。“a”今天。é\n"
+    assert all(np.array_equal(cp[place], some) for place, some in tried.values())
+    assert len(tried["gb18030", "utf-8"][1]) == len(text) + 2
+
+
 def _best_key(text, lm):
     """The search for the best key, span by span."""
     padded, tries = f"\n{text}\n", []
