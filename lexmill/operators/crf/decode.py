@@ -7,6 +7,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -89,6 +91,50 @@ def n_best(emit: np.ndarray, move: np.ndarray, n: int) -> list[tuple[np.ndarray,
     return out
 
 
+class Stack:
+    """Sentences one upon another, the longest first: a step along them is one operation for all that go so far.
+
+    ``rows`` is the row of each place of the sentences end to end, ``steps`` the
+    slice of the rows of each position, and ``ends`` each sentence's last row.
+    """
+
+    def __init__(self, sizes: np.ndarray):
+        self.sizes = sizes
+        rank = np.empty(len(sizes), np.int64)
+        rank[np.argsort(-sizes, kind="stable")] = np.arange(len(sizes))
+        alive = len(sizes) - np.cumsum(np.bincount(sizes))[:-1]
+        offsets = np.concatenate([[0], np.cumsum(alive)])
+        place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        self.rows = offsets[place] + np.repeat(rank, sizes)
+        self.ends = offsets[sizes - 1] + rank
+        self.steps = [slice(a, b) for a, b in zip(offsets.tolist(), offsets[1:].tolist())]
+
+    def stacked(self, x: np.ndarray) -> np.ndarray:
+        out = np.empty_like(x)
+        out[self.rows] = x
+        return out
+
+    def pairs(self, move: np.ndarray):
+        """From the second position on: the rows here, those before, and the transitions."""
+        for before, here in zip(self.steps, self.steps[1:]):
+            yield here, slice(before.start, before.start + here.stop - here.start), move[here] if len(move) > 1 else move
+
+
+def forward_many(stack: Stack, emit: np.ndarray, move: np.ndarray, add=logsumexp) -> np.ndarray:
+    """``alpha`` of stacked sentences; with ``np.max`` the best scores of all beginnings."""
+    out = emit.copy()
+    for here, before, m in stack.pairs(move):
+        out[here] += add(out[before][:, :, None] + m, axis=1)
+    return out
+
+
+def backward_many(stack: Stack, emit: np.ndarray, move: np.ndarray) -> np.ndarray:
+    out = np.zeros_like(emit)
+    for here, before, m in reversed(list(stack.pairs(move))):
+        out[before] = logsumexp(m + (emit[here] + out[here])[:, None, :], axis=2)
+    return out
+
+
 def words_of(tokens: list[str], tags: list[str], drop_last: bool = True) -> list[str]:
     """Words: a tag B or S starts one, every other goes on. The last token is dropped, as it mostly is the end mark."""
     out: list[str] = []
@@ -155,6 +201,25 @@ def _tagger(model: Model, nbest: int, drop_last: bool, marginals: bool, columns:
     return run
 
 
+def _lattices(model: Model, batches: Iterator[pa.RecordBatch], most: int = 100_000):
+    """Of sentences with tokens, about ``most`` tokens at a time: rows, tokens end to end, their numbers and names, sizes, stack, emissions and transitions."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.list_value_length(batch.column("tokens")), 0).to_numpy().astype(np.int64)
+        batch, sizes = batch.filter(pa.array(sizes > 0)), sizes[sizes > 0]
+        part = np.cumsum(sizes) // most
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(sizes)]
+        for a, b in zip(cuts, cuts[1:]):
+            if a == b:
+                continue
+            rows, n = batch.slice(a, b - a), sizes[a:b]
+            flat = rows.column("tokens").flatten().cast(pa.string())
+            coded = flat.dictionary_encode()
+            code, names = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+            emit, move = model.scores_of_codes(code, names, n)
+            stack = Stack(n)
+            yield rows, flat, code, names, n, stack, stack.stacked(emit), stack.stacked(move) if len(move) > 1 else move
+
+
 def _words(tokens: list, starts: np.ndarray, drop_last: bool) -> list[str]:
     """``words_of`` for tags of which it is known whether they start a word."""
     n = len(tokens) - 1 if drop_last else len(tokens)
@@ -180,22 +245,25 @@ def tag(
     return map_keyed(rows, _tagger(model, nbest, drop_last, marginals, wanted), schema, "key")
 
 
+def _posteriors(stack: Stack, emit: np.ndarray, move: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``alpha``, ``beta`` and the probabilities of each place's tags, of the sentences end to end."""
+    alpha, beta = forward_many(stack, emit, move)[stack.rows], backward_many(stack, emit, move)[stack.rows]
+    z = logsumexp(alpha[np.cumsum(stack.sizes) - 1], 1)
+    return alpha, beta, np.exp(alpha + beta - np.repeat(z, stack.sizes)[:, None])
+
+
 def _marginals(model: Model):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for r in pdf.itertuples(index=False):
-                tokens = list(r.tokens)
-                if not tokens:
-                    continue
-                emit, move = model.scores(tokens)
-                alpha, beta, z = forward_backward(emit, move)
-                best, p = viterbi(emit, move)[2], np.exp(alpha + beta - z)
-                for i in range(len(tokens)):
-                    for k, t in enumerate(model.tags):
-                        cells = (emit, alpha, beta, best, p)
-                        out.append((r.key, r.line_no, r.sent_no, i, tokens[i], t, *(float(c[i, k]) for c in cells)))
-            yield pd.DataFrame(out, columns=["key", "line_no", "sent_no", "i", "token", "tag", "emission", "alpha", "beta", "best", "prob"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        y = len(model.tags)
+        for rows, flat, _, _, sizes, stack, emit, move in _lattices(model, batches):
+            alpha, beta, p = _posteriors(stack, emit, move)
+            best = forward_many(stack, emit, move, np.max)[stack.rows]
+            i = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            owners = rows.select(["key", "line_no", "sent_no"]).take(pa.array(np.repeat(np.arange(len(sizes)), sizes * y)))
+            token, tag = flat.take(pa.array(np.repeat(np.arange(len(flat)), y))), pa.array(model.tags).take(pa.array(np.tile(np.arange(y), len(flat))))
+            cells = [pa.array(c.ravel()) for c in (emit[stack.rows], alpha, beta, best, p)]
+            names = ["key", "line_no", "sent_no", "i", "token", "tag", "emission", "alpha", "beta", "best", "prob"]
+            yield pa.RecordBatch.from_arrays([*owners.columns, pa.array(np.repeat(i, y).astype(np.int32)), token, tag, *cells], names)
 
     return run
 
@@ -205,8 +273,28 @@ def tag_marginals(sentences: DataFrame, model: Model) -> DataFrame:
 
     ``best`` is the score of the best beginning that ends in the tag there.
     """
-    schema = "key long, line_no int, sent_no int, i int, token string, tag string, emission double, alpha double, beta double, best double, prob double"
-    return map_keyed(sentences.select("key", "line_no", "sent_no", "tokens"), _marginals(model), schema, "key")
+    rows = sentences.select("key", "line_no", "sent_no", "tokens")
+    given = ", ".join(f"{c} {k}" for c, k in rows.dtypes[:3])
+    return rows.mapInArrow(_marginals(model), f"{given}, i int, token string, tag string, emission double, alpha double, beta double, best double, prob double")
+
+
+def _expected(model: Model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        y = len(model.tags)
+        for _, _, code, names, _, stack, emit, move in _lattices(model, batches):
+            p = _posteriors(stack, emit, move)[2]
+            sums = np.stack([np.bincount(code, p[:, t], len(names)) for t in range(y)], 1)
+            token, tag = np.repeat(np.arange(len(names)), y), np.tile(np.arange(y), len(names))
+            cells = [pa.array(names, pa.string()).take(pa.array(token)), pa.array(model.tags).take(pa.array(tag)), pa.array(sums.ravel())]
+            yield pa.RecordBatch.from_arrays([*cells, pa.array(np.repeat(np.bincount(code, minlength=len(names)), y))], ["token", "tag", "expected", "n"])
+
+    return run
+
+
+def expected_counts(sentences: DataFrame, model: Model) -> DataFrame:
+    """``(token, tag, expected, n)``: the sum of the probabilities of a tag over the places of a token, and their number; summed where they arise first."""
+    parts = sentences.select("tokens").mapInArrow(_expected(model), "token string, tag string, expected double, n bigint")
+    return parts.groupBy("token", "tag").agg(F.sum("expected").alias("expected"), F.sum("n").alias("n"))
 
 
 def _results(model: Model):

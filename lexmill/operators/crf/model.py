@@ -53,21 +53,22 @@ class Model:
         and looked up once; transitions that depend on no token are one matrix.
         The first place of a sentence has a transition that is not used.
         """
-        y = len(self.tags)
-        flat = [t for tokens in sentences for t in tokens]
-        code, names = pd.factorize(np.array(flat, object))
-        names = [str(n) for n in names]
-        sizes = np.array([len(s) for s in sentences], np.int64)
+        code, names = pd.factorize(np.array([t for tokens in sentences for t in tokens], object))
+        return self.scores_of_codes(code, [str(n) for n in names], np.array([len(s) for s in sentences], np.int64))
+
+    def scores_of_codes(self, code: np.ndarray, names: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``scores_of_batch``, of tokens that are numbers of ``names`` already, in sentences of ``sizes``."""
+        y, names = len(self.tags), list(names)
         ends = np.cumsum(sizes)
         last = np.repeat(ends, sizes)
         first = last - np.repeat(sizes, sizes)
-        at = np.arange(len(flat))
-        emit, move = np.zeros((len(flat), y)), np.zeros((1, y, y))
+        at = np.arange(len(code))
+        emit, move = np.zeros((len(code), y)), np.zeros((1, y, y))
 
         def cells(row: int) -> np.ndarray:
             """Numbers of the tokens ``row`` places on; beyond a sentence, those of names that count the distance."""
             to = at + row
-            out = code[np.clip(to, 0, len(flat) - 1)].astype(np.int64)
+            out = code[np.clip(to, 0, len(code) - 1)].astype(np.int64)
             for k in range(1, abs(row) + 1):
                 name = f"_B-{k}" if row < 0 else f"_B+{k}"
                 here = to == (first - k if row < 0 else last + k - 1)
@@ -81,7 +82,7 @@ class Model:
         beyond: dict[str, int] = {}
         for t in self.templates:
             columns = [cells(p[0]) for p in t.pieces if not isinstance(p, str)]
-            key = np.zeros(len(flat), np.int64)
+            key = np.zeros(len(code), np.int64)
             for c in columns:  # pairs of numbers stay small as they are numbered anew
                 key = pd.factorize(key * (len(names) + 1) + c)[0]
             distinct, where = np.unique(key, return_index=True)

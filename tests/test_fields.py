@@ -37,6 +37,44 @@ def test_decoding_against_every_path(seed):
     assert np.allclose(np.exp(alpha + beta - z).sum(1), 1)
 
 
+def _ragged(seed, n=6):
+    """Sentences end to end, of few scores so that many paths are equal: sizes, emissions, transitions of each place, and each sentence's own."""
+    rng, y = np.random.default_rng(seed), 3
+    sizes = rng.integers(1, 8, n)
+    emit, move = rng.integers(-2, 3, (sizes.sum(), y)) / 2, rng.integers(-2, 3, (1 if seed % 2 else sizes.sum(), y, y)) / 2
+    cuts = np.cumsum(sizes)[:-1]
+    return sizes, emit, move, list(zip(np.split(emit, cuts), np.split(np.broadcast_to(move, (sizes.sum(), y, y)), cuts)))
+
+
+def _stacked(sizes, emit, move):
+    stack = decode.Stack(sizes)
+    return stack, stack.stacked(emit), stack.stacked(move) if len(move) > 1 else move
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_stacked_marginals_are_those_of_each(seed):
+    sizes, emit, move, each = _ragged(seed)
+    stack = _stacked(sizes, emit, move)
+    want = [decode.forward_backward(*x) for x in each]
+    alpha, beta, p = decode._posteriors(*stack)
+    assert np.allclose(alpha, np.concatenate([a for a, _, _ in want])) and np.allclose(beta, np.concatenate([b for _, b, _ in want]))
+    assert np.allclose(p, np.concatenate([np.exp(a + b - z) for a, b, z in want]))
+    assert np.allclose(decode.forward_many(*stack, np.max)[stack[0].rows], np.concatenate([decode.viterbi(*x)[2] for x in each]))
+
+
+def test_expected_counts_sum_the_marginals(spark):
+    ids, size = model.number_features(["U1:a", "U1:_B-2", "U2:a/b", "B"], 2)
+    m = model.Model(["B", "S"], TEMPLATES, ids, np.random.default_rng(2).normal(size=size))
+    rows = spark.createDataFrame([(k, 0, 0, list(t)) for k, t in enumerate(("ab", "", "abba", "b"))] + [(None, 1, 2, ["a"])], "key long, line_no int, sent_no int, tokens array<string>")
+    each, sums = decode.tag_marginals(rows, m).collect(), {}
+    for r in each:
+        n, total = sums.get((r["token"], r["tag"]), (0, 0.0))
+        sums[r["token"], r["tag"]] = n + 1, total + r["prob"]
+    assert len(each) == 16 and sorted({str(r["key"]) for r in each}) == ["0", "2", "3", "None"]
+    got = decode.expected_counts(rows, m).collect()
+    assert {(r["token"], r["tag"]): r["n"] for r in got} == {k: n for k, (n, _) in sums.items()}
+    assert all(np.isclose(r["expected"], sums[r["token"], r["tag"]][1]) for r in got)
+
 def test_stacked_sentences_decode_as_single_ones():
     rng = np.random.default_rng(4)
     ids, size = model.number_features(["U1:a", "U1:_B-2", "U2:a/b", "B"], 3)
