@@ -135,6 +135,66 @@ def backward_many(stack: Stack, emit: np.ndarray, move: np.ndarray) -> np.ndarra
     return out
 
 
+def _merged(score: np.ndarray, entry: np.ndarray, above: np.ndarray, move: np.ndarray, at: int) -> tuple[np.ndarray, ...]:
+    """The best of the paths ``(sentences, tags, n)`` that go on to each next tag, in the order of ``n_best``.
+
+    That search takes equals first in, first out. A path is thus first by its
+    score, then by how far ahead the place lies where its loss occurs (``entry``),
+    then by the path it left there (``above``), then by its tag. Returns score,
+    entry, above, the tag before and the place among that tag's paths.
+    """
+    count, y, n = score.shape
+    z = move.shape[2]
+    top = score == score[:, :, :1]
+    pad = lambda x, by: np.concatenate([x, np.full((count, y, 1), by, x.dtype)], 2).ravel()
+    scores, entries, aboves = pad(score, -np.inf), pad(np.where(top, at - 1, entry), 0), pad(np.where(top, n, above), n)
+    head = np.broadcast_to((np.arange(count * y) * (n + 1)).reshape(count, y, 1), (count, y, z)).copy()
+    start = head.copy()
+    cells = np.arange(count * y * z).reshape(count, y, z) * (n + 1)
+    ranks = np.zeros(count * y * z * (n + 1), np.int64)  # of a path, its place among the merged ones
+    tags, out = np.arange(y)[:, None], [np.empty((count, z, n), t) for t in (float, np.int64, np.int64, np.int8, np.int8)]
+    pick = np.arange(count)[:, None] * (y * z) + np.arange(z)
+    for r in range(n):
+        total = scores[head] + move
+        if r:
+            over = ranks[cells + aboves[head]]
+            order = (entries[head] * (n + 1) + over) * y + tags
+            tag = np.where(total == total.max(1, keepdims=True), order, np.iinfo(np.int64).max).argmin(1)
+        else:
+            tag = total.argmax(1)
+        chosen = pick + tag * z
+        from_ = head.ravel()[chosen]
+        which = from_ - start.ravel()[chosen]
+        out[0][:, :, r] = total.ravel()[chosen]
+        out[1][:, :, r] = entries[from_]
+        out[2][:, :, r] = over.ravel()[chosen] if r else 0
+        out[3][:, :, r], out[4][:, :, r] = tag, np.minimum(which, n - 1)
+        ranks[chosen * (n + 1) + np.minimum(which, n - 1)] = r
+        head.ravel()[chosen] += which < n
+    return tuple(out)
+
+
+def n_best_many(stack: Stack, emit: np.ndarray, move: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """``n_best`` of stacked sentences: tags ``(rows, n)`` and scores ``(sentences, n)``, minus infinity where there are no more paths."""
+    y = emit.shape[1]
+    score, first = np.full((len(emit), y, n), -np.inf), stack.steps[0]
+    score[first, :, 0] = emit[first]
+    entry, above = np.zeros(score.shape, np.int64), np.zeros(score.shape, np.int64)
+    tag, which = np.zeros(score.shape, np.int8), np.zeros(score.shape, np.int8)
+    for at, (here, before, m) in enumerate(stack.pairs(move), 1):
+        best, entry[here], above[here], tag[here], which[here] = _merged(score[before], entry[before], above[before], m, at)
+        score[here] = best + emit[here][:, :, None]
+    ends = np.sort(stack.ends)
+    order = np.argsort(np.argsort(stack.ends, kind="stable"), kind="stable")
+    last = _merged(score[ends], entry[ends], above[ends], np.zeros((1, y, 1)), len(stack.steps))
+    t, k = np.zeros((2, len(emit), n), np.int8)
+    t[ends], k[ends] = last[3][:, 0], last[4][:, 0]
+    for here, before, _ in reversed(list(stack.pairs(move[:1]))):
+        rows = np.arange(here.start, here.stop)[:, None]
+        t[before], k[before] = tag[rows, t[here], k[here]], which[rows, t[here], k[here]]
+    return t, last[0][:, 0][order]
+
+
 def words_of(tokens: list[str], tags: list[str], drop_last: bool = True) -> list[str]:
     """Words: a tag B or S starts one, every other goes on. The last token is dropped, as it mostly is the end mark."""
     out: list[str] = []
@@ -220,6 +280,47 @@ def _lattices(model: Model, batches: Iterator[pa.RecordBatch], most: int = 100_0
             yield rows, flat, code, names, n, stack, stack.stacked(emit), stack.stacked(move) if len(move) > 1 else move
 
 
+def _joined(flat: pa.StringArray, starts: np.ndarray, sizes: np.ndarray, drop_last: bool) -> pa.ListArray:
+    """``words_of`` of sentences end to end, of whose tokens it is known whether they start a word."""
+    ends = np.cumsum(sizes)
+    starts, kept = starts.copy(), np.ones(len(flat), bool)
+    starts[ends - sizes] = True
+    if drop_last:
+        kept[ends - 1] = False
+    text, owner = pa.concat_arrays([flat.filter(pa.array(kept))]), np.repeat(np.arange(len(sizes)), sizes)[kept]
+    at = np.flatnonzero(starts[kept])
+    _, offsets, data = text.buffers()
+    bounds = np.frombuffer(offsets, np.int32)[text.offset : text.offset + len(text) + 1] if len(text) else np.zeros(1, np.int32)
+    words = pa.StringArray.from_buffers(len(at), pa.py_buffer(bounds[np.append(at, len(text))].astype(np.int32)), data or pa.py_buffer(b""))
+    counts = np.bincount(owner[at], minlength=len(sizes))
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), words)
+
+
+def _n_best_tagger(model: Model, nbest: int, drop_last: bool, columns: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        starting = np.array([t in ("B", "S") for t in model.tags])
+        for rows, _, _, _, sizes, stack, emit, move in _lattices(model, batches):
+            paths, scores = n_best_many(stack, emit, move, nbest)
+            z = logsumexp(forward_many(stack, emit, move)[stack.ends], 1)
+            sentence, rank = np.nonzero(np.isfinite(scores))
+            taken, n = rows.take(pa.array(sentence)), sizes[sentence]
+            first, to = (np.cumsum(sizes) - sizes)[sentence], np.append(0, np.cumsum(n))
+            place = np.repeat(first - to[:-1], n) + np.arange(to[-1])
+            tags, score = paths[stack.rows[place], np.repeat(rank, n)], scores[sentence, rank]
+            made = {
+                "tokens": lambda: taken.column("tokens"),
+                "tags": lambda: pa.ListArray.from_arrays(pa.array(to, pa.int32()), pa.array(model.tags).take(pa.array(tags))),
+                "words": lambda: _joined(taken.column("tokens").flatten().cast(pa.string()), starting[tags], n, drop_last),
+                "score": lambda: pa.array(score),
+                "prob": lambda: pa.array(np.exp(score - z[sentence])),
+                "rank": lambda: pa.array(rank.astype(np.int32)),
+            }
+            kept = ["key", "line_no", "sent_no"]
+            yield pa.RecordBatch.from_arrays([*[taken.column(c) for c in kept], *[made[c]() for c in columns]], [*kept, *columns])
+
+    return run
+
+
 def _words(tokens: list, starts: np.ndarray, drop_last: bool) -> list[str]:
     """``words_of`` for tags of which it is known whether they start a word."""
     n = len(tokens) - 1 if drop_last else len(tokens)
@@ -241,6 +342,10 @@ def tag(
     rows = sentences.select("key", "line_no", "sent_no", "tokens")
     kinds = dict(c.split() for c in _TAGGED.split(", "))
     wanted = columns or [c for c in kinds if c not in ("key", "line_no", "sent_no")]
+    given = dict(rows.dtypes)
+    if nbest > 1 and given["tokens"] == "array<string>":
+        schema = ", ".join(f"{c} {kinds.get(c) if c in wanted else given[c]}" for c in ("key", "line_no", "sent_no", *wanted))
+        return rows.mapInArrow(_n_best_tagger(model, nbest, drop_last, wanted), schema)
     schema = ", ".join(f"{c} {kinds[c]}" for c in ("key", "line_no", "sent_no", *wanted))
     return map_keyed(rows, _tagger(model, nbest, drop_last, marginals, wanted), schema, "key")
 

@@ -75,6 +75,34 @@ def test_expected_counts_sum_the_marginals(spark):
     assert {(r["token"], r["tag"]): r["n"] for r in got} == {k: n for k, (n, _) in sums.items()}
     assert all(np.isclose(r["expected"], sums[r["token"], r["tag"]][1]) for r in got)
 
+@pytest.mark.parametrize("n", [2, 3, 7])
+@pytest.mark.parametrize("seed", range(6))
+def test_stacked_paths_are_those_of_each_even_among_equals(seed, n):
+    sizes, emit, move, each = _ragged(seed)
+    stack = _stacked(sizes, emit, move)
+    paths, scores = decode.n_best_many(*stack, n)
+    paths = np.split(paths[stack[0].rows], np.cumsum(sizes)[:-1])
+    for k, x in enumerate(each):
+        want = decode.n_best(*x, n)
+        assert np.isfinite(scores[k]).sum() == len(want) and np.allclose(scores[k, : len(want)], [s for _, s in want])
+        assert [tuple(p) for p in paths[k].T[: len(want)]] == [tuple(p) for p, _ in want]
+
+
+def test_paths_of_a_table(spark):
+    ids, size = model.number_features(["U1:a", "U1:_B-2", "U2:a/b", "B"], 2)
+    m = model.Model(["B", "E"], TEMPLATES, ids, np.random.default_rng(2).normal(size=size))
+    texts = {0: ["a", "bc", "龙", "a"], 1: [], 3: ["b"], None: ["a", "b"]}
+    rows = spark.createDataFrame([(k, 1, 2, t) for k, t in texts.items()], "key long, line_no int, sent_no int, tokens array<string>")
+    for drop_last in (True, False):
+        got = decode.tag(rows, m, nbest=3, drop_last=drop_last).collect()
+        assert sorted((str(r["key"]), r["rank"]) for r in got) == [("0", 0), ("0", 1), ("0", 2), ("3", 0), ("3", 1), ("None", 0), ("None", 1), ("None", 2)]
+        for r in got:
+            emit, move = m.scores(texts[r["key"]])
+            path, score = decode.n_best(emit, move, 3)[r["rank"]]
+            assert r["tags"] == [m.tags[t] for t in path] and r["words"] == decode.words_of(r["tokens"], r["tags"], drop_last)
+            assert np.isclose(r["score"], score) and np.isclose(r["prob"], np.exp(score - decode.forward_backward(emit, move)[2])) and r["tokens"] == texts[r["key"]]
+
+
 def test_stacked_sentences_decode_as_single_ones():
     rng = np.random.default_rng(4)
     ids, size = model.number_features(["U1:a", "U1:_B-2", "U2:a/b", "B"], 3)
