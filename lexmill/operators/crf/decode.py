@@ -135,6 +135,20 @@ def backward_many(stack: Stack, emit: np.ndarray, move: np.ndarray) -> np.ndarra
     return out
 
 
+def best_paths(stack: Stack, emit: np.ndarray, move: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``viterbi`` of stacked sentences: tags of the rows and scores of the sentences."""
+    best, back, path = emit.copy(), np.zeros(emit.shape, np.int8), np.zeros(len(emit), np.int64)
+    for here, before, m in stack.pairs(move):
+        total = best[before][:, :, None] + m
+        back[here] = total.argmax(1)
+        best[here] = total.max(1) + emit[here]
+    path[stack.ends] = best[stack.ends].argmax(1)
+    for here, before in reversed(list(zip(stack.steps[1:], stack.steps))):
+        n = here.stop - here.start
+        path[before.start : before.start + n] = back[here][np.arange(n), path[here]]
+    return path, best[stack.ends].max(1)
+
+
 def _merged(score: np.ndarray, entry: np.ndarray, above: np.ndarray, move: np.ndarray, at: int) -> tuple[np.ndarray, ...]:
     """The best of the paths ``(sentences, tags, n)`` that go on to each next tag, in the order of ``n_best``.
 

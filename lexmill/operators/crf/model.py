@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -58,12 +59,26 @@ class Model:
 
     def scores_of_codes(self, code: np.ndarray, names: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """As ``scores_of_batch``, of tokens that are numbers of ``names`` already, in sentences of ``sizes``."""
-        y, names = len(self.tags), list(names)
+        y = len(self.tags)
+        emit, move = np.zeros((len(code), y)), np.zeros((1, y, y))
+        for t, ids, key in self.features_of_codes(code, names, sizes):
+            width = y if t.is_unigram else y * y
+            rows = np.where(ids[:, None] >= 0, self.weights[np.maximum(ids, 0)[:, None] + np.arange(width)] if len(self.weights) >= width else 0.0, 0.0)
+            if t.is_unigram:
+                emit += rows[key]
+            elif len(ids) == 1:
+                move = move + rows[0].reshape(1, y, y)
+            else:
+                move = move + rows[key].reshape(-1, y, y)
+        return emit * self.cost_factor, move * self.cost_factor
+
+    def features_of_codes(self, code: np.ndarray, names: list[str], sizes: np.ndarray) -> Iterator[tuple[Template, np.ndarray, np.ndarray]]:
+        """Of each template the identifiers of its distinct features (-1 of an unknown one), and which of them each place has."""
+        names = list(names)
         ends = np.cumsum(sizes)
         last = np.repeat(ends, sizes)
         first = last - np.repeat(sizes, sizes)
         at = np.arange(len(code))
-        emit, move = np.zeros((len(code), y)), np.zeros((1, y, y))
 
         def cells(row: int) -> np.ndarray:
             """Numbers of the tokens ``row`` places on; beyond a sentence, those of names that count the distance."""
@@ -90,15 +105,7 @@ class Model:
             for j, i in enumerate(where):
                 values = iter([names[c[i]] for c in columns])
                 ids[j] = self.ids.get("".join(p if isinstance(p, str) else next(values) for p in t.pieces), -1)
-            width = y if t.is_unigram else y * y
-            rows = np.where(ids[:, None] >= 0, self.weights[np.maximum(ids, 0)[:, None] + np.arange(width)] if len(self.weights) >= width else 0.0, 0.0)
-            if t.is_unigram:
-                emit += rows[key]
-            elif len(distinct) == 1:
-                move = move + rows[0].reshape(1, y, y)
-            else:
-                move = move + rows[key].reshape(-1, y, y)
-        return emit * self.cost_factor, move * self.cost_factor
+            yield t, ids, key
 
 
 def number_features(features: list[str], n_tags: int) -> tuple[dict[str, int], int]:

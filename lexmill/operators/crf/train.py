@@ -5,8 +5,8 @@ sentences and only the sums visit the driver; they have one number per weight.
 
 MIRA bounds the sum of a sentence's steps by ``c``, passes over a sentence that was
 right ``shrink`` times in a row, and ends after two rounds without a violated
-margin. These numbers belong to the sentence: they are columns of the table, which
-is written anew every round.
+margin. These numbers belong to the sentence: every round gives them anew, in the order
+of the numbered sentences, which stay as they are.
 """
 
 from __future__ import annotations
@@ -15,13 +15,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import RDD
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.operators.crf.decode import forward_backward, logsumexp, path_score, viterbi, viterbi_many
+from lexmill.operators.crf.decode import Stack, backward_many, best_paths, forward_backward, forward_many, logsumexp, path_score, viterbi
 from lexmill.operators.crf.features import TEMPLATES, Template, expand, feature_counts
 from lexmill.operators.crf.model import Model, number_features
-from lexmill.session import write_table
+from lexmill.session import cut_rdd
 
 MAX_FEATURES = 5_000_000  # a model beyond this is not broadcast; raise ``least`` or this bound
 
@@ -61,86 +62,153 @@ def sentence_gradient(w: np.ndarray, uni, bi, gold: np.ndarray, y: int, grad: np
     return z - path_score(emit, move, gold), int((path != gold).sum())
 
 
-_NUMBERED = "gold array<int>, uni array<int>, n_uni array<int>, bi array<int>, n_bi array<int>"
+_NUMBERED = "sizes binary, gold binary, uni binary, bi binary"
+_TOKENS = 200_000  # about so many tokens are numbered, and stepped through, together
 
 
 def _number(model: Model):
-    """Sentences as numbers: gold tags, and the features of all positions end to end with how many each has."""
+    """Sentences as numbers: sizes, gold tags, and of each place the identifiers of its features; an unknown one has that after the last weight."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index = {t: k for k, t in enumerate(model.tags)}
+        held, size = [], 0
+
+        def made() -> pd.DataFrame:
+            tokens = np.concatenate([t for t, _ in held])
+            sizes = np.array([len(t) for t, _ in held], np.int64)
+            code, names = pd.factorize(tokens)
+            ids = {True: [], False: []}
+            for t, found, key in model.features_of_codes(code, [str(n) for n in names], sizes):
+                ids[t.is_unigram].append(np.where(found < 0, len(model.weights), found)[key].astype(np.int32))
+            gold = np.array([index[t] for _, tags in held for t in tags], np.int32)
+            row = [sizes.tobytes(), gold.tobytes(), *[np.array(ids[k], np.int32).tobytes() for k in (True, False)]]
+            return pd.DataFrame([row], columns=[c.split()[0] for c in _NUMBERED.split(", ")])
+
         for pdf in batches:
-            rows = []
             for tokens, tags in zip(pdf["tokens"], pdf["tags"]):
-                uni, bi = _prepare(model, list(tokens))
-                rows.append(([index[t] for t in tags], [k for u in uni for k in u], [len(u) for u in uni], [k for b in bi for k in b], [len(b) for b in bi]))
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in _NUMBERED.split(", ")])
+                if len(tokens):
+                    held.append((np.array(tokens, object), tags))
+                    size += len(tokens)
+                if size >= _TOKENS:
+                    yield made()
+                    held, size = [], 0
+        if held:
+            yield made()
 
     return run
 
 
-def _joined(column: pd.Series) -> np.ndarray:
-    return np.concatenate([np.zeros(0, np.int64), *column]).astype(np.int64)
+def _numbers(row) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sizes, gold tags, and features by template and place, of one row of numbered sentences."""
+    gold = np.frombuffer(row["gold"], np.int32)
+    uni, bi = (np.frombuffer(row[k], np.int32).reshape(-1, len(gold)) for k in ("uni", "bi"))
+    return np.frombuffer(row["sizes"], np.int64), gold, uni, bi
+
+
+def _wide(w: np.ndarray, y: int) -> np.ndarray:
+    """Weights with those of the unknown feature after them."""
+    return np.concatenate([w, np.zeros(y * y)])
+
+
+def _scores(w: np.ndarray, uni: np.ndarray, bi: np.ndarray, y: int) -> tuple[np.ndarray, np.ndarray]:
+    """Emissions and transitions of every place; transitions that are the same everywhere are one matrix."""
+    emit, move = np.zeros((uni.shape[1], y)), np.zeros((1, y, y))
+    each = w.reshape(-1, y)
+    for u in uni:
+        emit += each[u // y]
+    for b in bi:
+        same = b[:1] if (b == b[0]).all() else b
+        move = move + w[same[:, None] + np.arange(y * y)].reshape(-1, y, y)
+    return emit, move
+
+
+def _add_gradient(w: np.ndarray, row, y: int, grad: np.ndarray) -> np.ndarray:
+    """Adds the gradient of a row of sentences to ``grad``, both wide; returns loss, wrong tags, wrong sentences, tags and sentences."""
+    sizes, gold, uni, bi = _numbers(row)
+    stack = Stack(sizes)
+    emit, move = _scores(w, uni, bi, y)
+    emit, g = stack.stacked(emit), stack.stacked(gold)
+    move = stack.stacked(move) if len(move) > 1 else move
+    p, alpha, beta = len(gold), forward_many(stack, emit, move), backward_many(stack, emit, move)
+    every, edge, z = np.arange(p), np.zeros((p, y, y)), np.empty(p)
+    total, score = logsumexp(alpha[stack.ends], 1), emit[every, g]
+    z[stack.rows] = np.repeat(total, sizes)
+    for here, before, m in stack.pairs(move):
+        pair = edge[here]
+        pair[:] = alpha[before][:, :, None] + m
+        pair += (emit[here] + beta[here] - z[here][:, None])[:, None, :]
+        np.exp(pair, out=pair)
+        pair[np.arange(len(pair)), g[before], g[here]] -= 1
+        score[here] += m[np.arange(len(m)) if len(m) > 1 else 0, g[before], g[here]]
+    node = np.exp(alpha + beta - z[:, None])
+    node[every, g] -= 1
+    node, edge, bad = node[stack.rows], edge[stack.rows].reshape(p, y * y), (best_paths(stack, emit, move)[0] != g)[stack.rows]
+    for u in uni:
+        np.add.at(grad, (u[:, None] + np.arange(y)).ravel(), node.ravel())
+    for b in bi:
+        if (b == b[0]).all():
+            grad[b[0] : b[0] + y * y] += edge.sum(0)
+        else:
+            np.add.at(grad, (b[:, None] + np.arange(y * y)).ravel(), edge.ravel())
+    wrong = np.add.reduceat(bad.astype(np.int64), np.cumsum(sizes) - sizes)
+    return np.array([total.sum() - score.sum(), wrong.sum(), (wrong > 0).sum(), p, len(sizes)], float)
 
 
 def batch_gradient(w: np.ndarray, pdf: pd.DataFrame, y: int, grad: np.ndarray) -> tuple[float, int, int, int]:
     """Adds the gradient of all sentences of ``pdf`` to ``grad``; returns loss, wrong tags, wrong sentences and tags.
 
-    The same as ``sentence_gradient`` of each; sentences of one length go through the lattice together.
+    The same as ``sentence_gradient`` of each; sentences go through the lattice together.
     """
-    gold, sizes = _joined(pdf["gold"]), pdf["gold"].map(len).to_numpy(np.int64)
-    p = len(gold)
-    places, starts = np.arange(p), np.cumsum(sizes) - sizes
-    uni, bi = _joined(pdf["uni"]), _joined(pdf["bi"])
-    at_uni, at_bi = np.repeat(places, _joined(pdf["n_uni"])), np.repeat(places, _joined(pdf["n_bi"]))
-    emit = np.stack([np.bincount(at_uni, w[uni + t], p) for t in range(y)], 1)
-    move = np.stack([np.bincount(at_bi, w[bi + t], p) for t in range(y * y)], 1).reshape(p, y, y)
-    node, edge = np.zeros((p, y)), np.zeros((p, y, y))
-    loss, wrong, wrong_sentences = 0.0, 0, 0
-    for n in np.unique(sizes):
-        rows = starts[sizes == n][:, None] + np.arange(n)
-        e, m, g = emit[rows], move[rows], gold[rows]
-        alpha, beta = np.empty_like(e), np.zeros_like(e)
-        alpha[:, 0] = e[:, 0]
-        for i in range(1, n):
-            alpha[:, i] = logsumexp(alpha[:, i - 1, :, None] + m[:, i], 1) + e[:, i]
-        for i in range(n - 2, -1, -1):
-            beta[:, i] = logsumexp(m[:, i + 1] + (e[:, i + 1] + beta[:, i + 1])[:, None, :], 2)
-        z = logsumexp(alpha[:, -1], 1)
-        each = np.arange(len(rows))[:, None]
-        post = np.exp(alpha + beta - z[:, None, None])
-        post[each, np.arange(n), g] -= 1
-        node[rows] = post
-        score = e[each, np.arange(n), g].sum(1)
-        if n > 1:
-            pair = np.exp(alpha[:, :-1, :, None] + m[:, 1:] + (e[:, 1:] + beta[:, 1:])[:, :, None, :] - z[:, None, None, None])
-            pair[each, np.arange(n - 1), g[:, :-1], g[:, 1:]] -= 1
-            edge[rows[:, 1:]] = pair
-            score += m[each, np.arange(1, n), g[:, :-1], g[:, 1:]].sum(1)
-        loss += float((z - score).sum())
-        bad = (viterbi_many(e, m)[0] != g).sum(1)
-        wrong, wrong_sentences = wrong + int(bad.sum()), wrong_sentences + int((bad > 0).sum())
-    for t in range(y):
-        np.add.at(grad, uni + t, node[at_uni, t])
-    flat = edge.reshape(p, y * y)
-    for t in range(y * y):
-        np.add.at(grad, bi + t, flat[at_bi, t])
-    return loss, wrong, wrong_sentences, p
-
-
-def _partials(weights: np.ndarray, y: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        grad, total, sentences = np.zeros_like(weights), np.zeros(4), 0
-        for pdf in batches:
-            pdf = pdf[pdf["gold"].map(len) > 0]
-            for k in range(0, len(pdf), 2000):
-                part = pdf.iloc[k : k + 2000]
-                total += batch_gradient(weights, part, y, grad)
-                sentences += len(part)
-        if sentences:
-            # the counts go with the cells, at places below zero
-            at = np.concatenate([-1 - np.arange(5), np.flatnonzero(grad)])
-            yield pd.DataFrame({"at": [at], "value": [np.concatenate([total, [sentences], grad[at[5:]]])]})
+    out, total = _wide(np.zeros_like(w), y), np.zeros(5)
+    for _, row in pdf.iterrows():
+        total += _add_gradient(_wide(w, y), row, y, out)
+    grad += out[: len(w)]
+    return float(total[0]), *map(int, total[1:4])
+
+
+_BLOCK = 1 << 18  # sums of so many weights make one row
+
+
+def _blocks(at: np.ndarray, value: np.ndarray) -> Iterator[tuple[int, tuple[np.ndarray, np.ndarray]]]:
+    """Places, ascending, and their values, by block."""
+    cuts = np.searchsorted(at, np.arange(0, (at[-1] if len(at) else 0) + 2 * _BLOCK, _BLOCK))
+    for k, (a, b) in enumerate(zip(cuts.tolist(), cuts[1:].tolist())):
+        if b > a:
+            yield k, ((at[a:b] - k * _BLOCK).astype(np.int32), value[a:b])
+
+
+def _plus(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    out, some = np.zeros(_BLOCK), np.zeros(_BLOCK, bool)
+    for at, value in (a, b):
+        out[at] += value
+        some[at] = True
+    at = np.flatnonzero(some).astype(np.int32)
+    return at, out[at]
+
+
+def _total(parts: RDD, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sums of all parts' counts (block -1) and of their weights' blocks; the driver sees one number per weight."""
+    counts, out = np.zeros(5), np.zeros(size)
+    for k, (at, value) in parts.reduceByKey(_plus, min(parts.getNumPartitions(), size // _BLOCK + 1)).collect():
+        if k < 0:
+            counts[at] = value
+        else:
+            out[at + k * _BLOCK] = value
+    return counts, out
+
+
+def _partials(weights, y: int):
+    """Of a partition its counts, as block -1, and its gradient in blocks."""
+
+    def run(rows: Iterator) -> Iterator:
+        w = _wide(weights.value, y)
+        grad, counts = np.zeros_like(w), np.zeros(5)
+        for row in rows:
+            counts += _add_gradient(w, row, y, grad)
+        if counts[4]:
+            at = np.flatnonzero(grad[: len(w) - y * y])
+            yield -1, (np.arange(5, dtype=np.int32), counts)
+            yield from _blocks(at, grad[at])
 
     return run
 
@@ -179,65 +247,120 @@ def mira_step(w: np.ndarray, uni, bi, gold: np.ndarray, y: int, room: float = 1.
     return wrong, step, margin if full <= room else 0.0
 
 
-_MIRA = "tokens array<string>, tags array<string>, used double, right int, at array<long>, value array<double>, wrong long, wrong_s long, n_tokens long, sents long, active long, kkt double"
+def _mira_row(w: np.ndarray, row, y: int, used: np.ndarray, right: np.ndarray, c: float, shrink: int) -> np.ndarray:
+    """``mira_step`` of each sentence of a row, with wide weights; returns wrong tags, wrong sentences, tags, sentences and violations.
 
-
-def _mira_pass(model: Model, c: float, shrink: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        y, w = len(model.tags), model.weights.copy()
-        index = {t: k for k, t in enumerate(model.tags)}
-        wrong, wrong_sentences, tokens_seen, sentences, active, kkt = 0, 0, 0, 0, 0, 0.0
-        empty = {"at": None, "value": None, "wrong": 0, "wrong_s": 0, "n_tokens": 0, "sents": 0, "active": 0, "kkt": 0.0}
-        for pdf in batches:
-            used, right = pdf["used"].to_numpy(float).copy(), pdf["right"].to_numpy(np.int32).copy()
-            for k, (tokens, tags) in enumerate(zip(pdf["tokens"], pdf["tags"])):
-                tokens_seen, sentences = tokens_seen + len(tags), sentences + 1
-                if right[k] >= shrink:
-                    continue
-                gold = np.array([index[t] for t in tags])
-                bad, step, violated = mira_step(w, *_prepare(model, list(tokens)), gold, y, c - used[k])
-                right[k], used[k] = (right[k] + 1 if not bad else 0), used[k] + step
-                wrong, wrong_sentences, active, kkt = wrong + bad, wrong_sentences + (bad > 0), active + 1, max(kkt, violated)
-            yield pdf[["tokens", "tags"]].assign(used=used, right=right, **empty)
-        if sentences:
-            total = w * sentences
-            at = np.flatnonzero(total)
-            counts = {"wrong": [wrong], "wrong_s": [wrong_sentences], "n_tokens": [tokens_seen], "sents": [sentences], "active": [active], "kkt": [kkt]}
-            yield pd.DataFrame({"tokens": [None], "tags": [None], "used": [0.0], "right": [0], "at": [at], "value": [total[at]], **counts})
+    Sentences are decoded some at a time; after the first of them that changes
+    the weights, those behind it are decoded again.
+    """
+    sizes, gold, uni, bi = _numbers(row)
+    each, at_uni, square = w.reshape(-1, y), uni // y, np.arange(y * y)
+    same = all((b == b[0]).all() for b in bi)
+    starts, known, counts = np.cumsum(sizes) - sizes, len(w) - y * y, np.zeros(5)
+    counts[2:4] = len(gold), len(sizes)
+    todo, done, some = np.flatnonzero(right < shrink), 0, 8
+    while done < len(todo):
+        ks = todo[done : done + some]
+        n = sizes[ks]
+        ends = np.cumsum(n)
+        places = np.repeat(starts[ks] - ends + n, n) + np.arange(ends[-1])
+        stack, g = Stack(n), gold[places]
+        emit = each[at_uni[:, places]].sum(0)
+        move = w[bi[:, places[:1] if same else places, None] + square].sum(0).reshape(-1, y, y)
+        path, scores = best_paths(stack, stack.stacked(emit), stack.stacked(move) if len(move) > 1 else move)
+        path = path[stack.rows]
+        bad = np.add.reduceat((path != g).astype(np.int64), ends - n)
+        upto, step = 0, 0.0
+        for j in np.flatnonzero(bad).tolist():
+            right[ks[upto:j]] += 1
+            upto, k, here = j + 1, ks[j], slice(ends[j] - n[j], ends[j])
+            right[k] = 0
+            counts[:2] += bad[j], 1
+            step, violated = _step_of(w, uni[:, places[here]], bi[:, places[here]], emit[here], move[here] if len(move) > 1 else move, g[here], path[here], scores[j], c - used[k], known)
+            used[k] += step
+            counts[4] += violated
+            if step:
+                break
+        if step:
+            done, some = done + upto, max(8, min(some, 2 * upto))
+        else:
+            right[ks[upto:]] += 1
+            done, some = done + len(ks), min(2 * some, 512)
+    return counts
+
+
+def _step_of(w, uni, bi, emit, move, gold, path, score, room, known) -> tuple[float, float]:
+    """Changes ``w`` as ``mira_step`` does, given a wrong best path; returns the length of the step and the violation."""
+    y, off = emit.shape[1], path != gold
+    turned = np.flatnonzero(off[1:] | off[:-1]) + 1
+    at = [[(uni[:, off] + p[off]).ravel(), (bi[:, turned] + p[turned - 1] * y + p[turned]).ravel()] for p in (gold, path)]
+    at = np.concatenate(at[0] + at[1])
+    by = np.repeat([1.0, -1.0], len(at) // 2)[at < known]
+    at, where = np.unique(at[at < known], return_inverse=True)
+    by = np.bincount(where, by, len(at))
+    norm = float(by @ by)
+    if not norm:
+        return 0.0, 0.0
+    inner = np.arange(1, len(gold))
+    margin = int(off.sum()) - float(emit[np.arange(len(gold)), gold].sum() + move[inner if len(move) > 1 else 0, gold[:-1], gold[1:]].sum()) + float(score)
+    full = max(0.0, margin / norm)
+    step = min(full, room)
+    w[at] += step * by
+    return step, margin if full <= room else 0.0
+
+
+def _mira_pass(weights, y: int, c: float, shrink: int, anew: bool):
+    """Of a partition the numbers of its sentences, with no key, then its counts and what its weights changed by, in blocks."""
+
+    def run(rows: Iterator) -> Iterator:
+        start, counts = weights.value, np.zeros(5)
+        w = _wide(start, y)
+        for row, (used, right) in rows:
+            used, right = used.copy(), np.zeros_like(right) if anew else right.copy()
+            counts += _mira_row(w, row, y, used, right, c, shrink)
+            yield None, (used, right)
+        if counts[3]:
+            change = (w[: len(start)] - start) * counts[3]
+            at = np.flatnonzero(change)
+            yield -1, (np.arange(5, dtype=np.int32), counts)
+            yield from _blocks(at, change[at])
 
     return run
 
 
-def _mira(data: DataFrame, model: Model, course: list, c: float, shrink: int, rounds: int) -> None:
-    table, calm, order = data.withColumns({"used": F.lit(0.0), "right": F.lit(0)}), 0, F.xxhash64("tokens", "tags")
+def _fresh(row) -> tuple[np.ndarray, np.ndarray]:
+    n = len(row["sizes"]) // 8
+    return np.zeros(n), np.zeros(n, np.int32)
+
+
+def _mira(data: RDD, spark: SparkSession, model: Model, course: list, c: float, shrink: int, rounds: int) -> None:
+    state, calm, before = data.map(_fresh), 0, None
     for k in range(rounds):
-        done = write_table(table.mapInPandas(_mira_pass(model, c, shrink), _MIRA))
-        parts = done.where("tokens IS NULL")
-        stats = parts.agg(*[F.sum(x).alias(x) for x in ("wrong", "wrong_s", "sents", "active")], F.sum("n_tokens").alias("tokens"), F.max("kkt").alias("kkt")).first().asDict()
-        stats = {name: n or 0 for name, n in stats.items()}
-        model.weights = _cells(parts, len(model.weights)) / max(1, stats["sents"])
+        # after a round without a violation all sentences are looked at again
+        weights = data.context.broadcast(model.weights)
+        done = data.zip(state).mapPartitions(_mira_pass(weights, len(model.tags), c, shrink, calm > 0)).persist()
+        counts, change = _total(done.filter(lambda x: x[0] is not None), len(model.weights))
+        stats = dict(zip(("wrong", "wrong_s", "tokens", "sents", "kkt"), counts.tolist()))
+        model.weights = model.weights + change / max(1, stats["sents"])
         course.append(_step(k, stats, float(model.weights @ model.weights), model))
         calm = calm + 1 if stats["kkt"] <= 0 else 0
+        state = done.filter(lambda x: x[0] is None).map(lambda x: x[1])
+        if k % 8 == 7:
+            state = cut_rdd(spark, state)
+        if before:
+            before.unpersist()
+        before = done
         if calm == 2 or not stats["sents"]:
             break
-        # the same partitions every round; after one without a violation all sentences are looked at again
-        kept = done.where("tokens IS NOT NULL").select("tokens", "tags", "used", (F.lit(0) if calm else F.col("right")).alias("right"))
-        table = kept.repartition(order).sortWithinPartitions(order)
-
-
-def _cells(parts: DataFrame, size: int, counts: int = 0) -> np.ndarray:
-    """The sum of the parts' numbers, one per weight, after ``counts`` others."""
-    cells = parts.select(F.explode(F.arrays_zip("at", "value")).alias("c")).groupBy("c.at").agg(F.sum("c.value").alias("v")).toPandas()
-    out = np.zeros(counts + size)
-    at = cells["at"].to_numpy(np.int64)
-    out[np.where(at < 0, -1 - at, at + counts)] = cells["v"].to_numpy()
-    return out
+    if before:
+        before.unpersist()
 
 
-def _sum(sentences: DataFrame, model: Model) -> tuple[np.ndarray, dict]:
-    parts = sentences.mapInPandas(_partials(model.weights, len(model.tags)), "at array<long>, value array<double>")
-    out = _cells(parts, len(model.weights), 5)
-    return out[5:], dict(zip(("loss", "wrong", "wrong_s", "tokens", "sents"), out[:5].tolist()))
+def _sum(sentences: RDD, model: Model) -> tuple[np.ndarray, dict]:
+    weights = sentences.context.broadcast(model.weights)
+    counts, out = _total(sentences.mapPartitions(_partials(weights, len(model.tags))), len(model.weights))
+    weights.destroy()
+    return out, dict(zip(("loss", "wrong", "wrong_s", "tokens", "sents"), counts.tolist()))
 
 
 class _Memory:
@@ -292,12 +415,12 @@ def train(
         raise ValueError(f"more than {MAX_FEATURES} features occur {least} times")
     ids, size = number_features(feats, len(tags))
     model, course = Model(tags, used, ids, np.zeros(size)), []
+    numbered = data.mapInPandas(_number(model), _NUMBERED).rdd.persist()
     if algorithm == "mira":
-        _mira(data, model, course, c, shrink, rounds)
+        _mira(numbered, sentences.sparkSession, model, course, c, shrink, rounds)
     else:
-        numbered = data.mapInPandas(_number(model), _NUMBERED).persist()
         _quasi_newton(numbered, model, course, algorithm == "crf-l1", c, eta, rounds)
-        numbered.unpersist()
+    numbered.unpersist()
     data.unpersist()
     return model, course
 
@@ -353,7 +476,7 @@ def wolfe_step(along, value: float, slope: float, first: float = 1.0, decrease:
     return best
 
 
-def _quasi_newton(data: DataFrame, model: Model, course: list, l1: bool, c: float, eta: float, rounds: int) -> None:
+def _quasi_newton(data: RDD, model: Model, course: list, l1: bool, c: float, eta: float, rounds: int) -> None:
     def measure(w: np.ndarray) -> tuple[float, np.ndarray, dict]:
         model.weights = w
         grad, stats = _sum(data, model)

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+from pyspark import RDD
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +38,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def cut_rdd(spark: SparkSession, rdd: RDD) -> RDD:
+    """``rdd`` written to the checkpoint folder, from where it is read henceforth."""
+    _shared_folder(spark)
+    rdd.checkpoint()
+    rdd.count()
+    return rdd
+
+
 def write_table(df: DataFrame) -> DataFrame:
     """``df`` written as Parquet to the checkpoint folder, and read back: smaller than a checkpoint, pruned by column."""
     path = f"{_shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"

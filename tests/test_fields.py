@@ -211,6 +211,29 @@ def test_mira_bounds_a_sentence():
     assert train.mira_step(np.zeros(4), [[0], [2]], bi, gold, 2, 9.0)[2] > 0
 
 
+@pytest.mark.parametrize("room", [0.2, 9.0])
+@pytest.mark.parametrize("templates", [TEMPLATES, [*TEMPLATES, features.Template("B2:%x[-1,0]%x[0,0]")]])
+def test_mira_rows_take_the_steps_of_each_sentence(templates, room):
+    rng, y = np.random.default_rng(3), 3
+    sentences = [list(rng.choice(list("abcd"), n)) for n in rng.integers(1, 9, 60)]
+    ids, size = model.number_features(sorted({f for t in sentences for i in range(len(t)) for f in features.expand(t, i, templates)})[::2] + ["B0"], y)
+    m = model.Model(["x", "y", "z"], templates, ids, rng.normal(size=size))
+    tags = [[m.tags["abcd".index(c) % y] for c in t] for t in sentences]
+    row = next(train._number(m)(iter([pd.DataFrame({"tokens": sentences, "tags": tags})]))).iloc[0]
+    w, wide = m.weights.copy(), train._wide(m.weights, y)
+    used, right, got_used, got_right = np.zeros(60), np.zeros(60, int), np.zeros(60), np.zeros(60, int)
+    for _ in range(5):
+        wrong, wrong_sentences, violations = 0, 0, 0.0
+        for k, (tokens, gold) in enumerate(zip(sentences, tags)):
+            if right[k] < 2:
+                bad, step, violated = train.mira_step(w, *train._prepare(m, tokens), np.array([m.tags.index(t) for t in gold]), y, room - used[k])
+                right[k], used[k] = (right[k] + 1 if not bad else 0), used[k] + step
+                wrong, wrong_sentences, violations = wrong + bad, wrong_sentences + (bad > 0), violations + violated
+        counts = train._mira_row(wide, row, y, got_used, got_right, room, 2)
+        assert np.allclose(counts, [wrong, wrong_sentences, sum(map(len, sentences)), 60, violations])
+        assert (right == got_right).all() and np.allclose(used, got_used) and np.allclose(w, wide[:size]) and not wide[size:].any()
+
+
 @pytest.mark.parametrize("algorithm", ["crf-l2", "crf-l1", "mira"])
 def test_training_learns(spark, algorithm):
     docs = spark.createDataFrame([(k, "我/爱/北京\n北京/我/爱/天安门\n") for k in range(3)] + [(9, None), (10, "无")], "doc_id long, text string")
