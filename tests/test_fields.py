@@ -245,6 +245,14 @@ def test_training_learns(spark, algorithm):
         assert (m.weights == 0).any()
 
 
+def test_mira_goes_on_with_its_sentences_after_they_are_written(spark):
+    docs = spark.createDataFrame([(1, "我/爱\n我爱/\n")], "doc_id long, text string")
+    m, course = train.train(features.gold(docs).select("tokens", "tags"), "mira", c=1e9, rounds=10)
+    assert [c["iteration"] for c in course] == list(range(10)) and all(c["sentence_error"] > 0 for c in course)
+    rows = spark.createDataFrame([(1, 0, 0, list("我爱。"))], "key long, line_no int, sent_no int, tokens array<string>")
+    assert "".join(decode.tag(rows, m, columns=["words"]).first()["words"]) == "我爱"
+
+
 def test_training_queries_run_to_their_own_end(spark):
     from lexmill import queries
 
